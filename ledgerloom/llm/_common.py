@@ -180,6 +180,15 @@ class Words:
         return self
 
 
+_PLAIN = np.arange(256, dtype=np.uint8)
+_PLAIN[9:14] = 32
+_PLAIN[65:91] += 32
+
+
 def lower_words(texts: pa.Array) -> Words:
-    """Words between ASCII white space, A-Z in lower case."""
-    return Words(pa.compute.ascii_lower(texts.cast(pa.large_string())), pa.compute.ascii_split_whitespace).drop_empty()
+    """Words between ASCII white space, A-Z in lower case; bytes beyond ASCII stay as they are."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    plain = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(_PLAIN[data]))
+    return Words(plain, lambda x: pa.compute.split_pattern(x, " ")).drop_empty()

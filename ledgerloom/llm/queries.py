@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_pairs, packing
-from ._common import table
+from . import byte_pairs, packing, toxicity
+from ._common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxic_spans_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold("doc_id", 3) != 1)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 3) == 1).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= toxicity.REJECT).cast("int").alias("predicted"),
+    )
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -21,5 +34,5 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Query] = {"op2_byte_bpe": op2_byte_bpe, "op5_best_fit_packing": op5_best_fit_packing}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op5_best_fit_packing)}
 ORACLE_SQL: dict[str, str] = {}
