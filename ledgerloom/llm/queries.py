@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_pairs, packing, toxicity
+from . import byte_pairs, packing, secret_scan, toxicity, url_filter
 from ._common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,5 +34,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op5_best_fit_packing)}
+def op9_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan_documents(docs, secret_scan.train(docs))
+
+
+def op10_url_words_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op5_best_fit_packing, op9_secret_crf, op10_url_words_bayes)}
 ORACLE_SQL: dict[str, str] = {}
