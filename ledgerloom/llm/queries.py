@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_pairs, packing, secret_scan, toxicity, url_filter
+from . import byte_pairs, packing, pivot_search, secret_scan, toxicity, url_filter
 from ._common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return pivot_search.top_k(rows, F.pmod("vec_id", F.lit(50)) == 0)
+
+
 def op9_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_scan.scan_documents(docs, secret_scan.train(docs))
@@ -43,5 +48,18 @@ def op10_url_words_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op5_best_fit_packing, op9_secret_crf, op10_url_words_bayes)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op5_best_fit_packing, op8_pivot_topk, op9_secret_crf, op10_url_words_bayes)}
+ORACLE_SQL: dict[str, str] = {
+    "op8_pivot_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), p AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
