@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_pairs, packing, pivot_search, secret_scan, toxicity, url_filter
+from . import byte_pairs, hidden_markov, packing, pivot_search, secret_scan, toxicity, url_filter
 from ._common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_hidden_markov_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return pivot_search.top_k(rows, F.pmod("vec_id", F.lit(50)) == 0)
@@ -48,7 +52,7 @@ def op10_url_words_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op5_best_fit_packing, op8_pivot_topk, op9_secret_crf, op10_url_words_bayes)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op5_best_fit_packing, op6_hidden_markov_lm, op8_pivot_topk, op9_secret_crf, op10_url_words_bayes)}
 ORACLE_SQL: dict[str, str] = {
     "op8_pivot_topk": """
         WITH v AS (
