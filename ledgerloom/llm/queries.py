@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_pairs, edit_embedding, hidden_markov, packing, pivot_search, secret_scan, toxicity, url_filter
+from . import byte_pairs, edit_embedding, hidden_markov, packing, pivot_search, prob_minhash, secret_scan, toxicity, url_filter
 from ._common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op3_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prob_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_embedding.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -56,7 +60,7 @@ def op10_url_words_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op4_edit_embedding, op5_best_fit_packing, op6_hidden_markov_lm, op8_pivot_topk, op9_secret_crf, op10_url_words_bayes)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op3_prob_minhash, op4_edit_embedding, op5_best_fit_packing, op6_hidden_markov_lm, op8_pivot_topk, op9_secret_crf, op10_url_words_bayes)}
 ORACLE_SQL: dict[str, str] = {
     "op8_pivot_topk": """
         WITH v AS (
