@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_pairs, edit_embedding, hidden_markov, packing, pivot_search, prob_minhash, secret_scan, toxicity, url_filter
+from . import byte_pairs, edit_embedding, hidden_markov, packing, pivot_search, private_spans, prob_minhash, secret_scan, toxicity, url_filter
 from ._common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op6_hidden_markov_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
 
 
+def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_spans.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("found")
+
+
 def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return pivot_search.top_k(rows, F.pmod("vec_id", F.lit(50)) == 0)
@@ -60,7 +64,7 @@ def op10_url_words_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op3_prob_minhash, op4_edit_embedding, op5_best_fit_packing, op6_hidden_markov_lm, op8_pivot_topk, op9_secret_crf, op10_url_words_bayes)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxic_spans_crf, op2_byte_bpe, op3_prob_minhash, op4_edit_embedding, op5_best_fit_packing, op6_hidden_markov_lm, op7_bootstrapped_pii, op8_pivot_topk, op9_secret_crf, op10_url_words_bayes)}
 ORACLE_SQL: dict[str, str] = {
     "op8_pivot_topk": """
         WITH v AS (
