@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from ._common import TimeMajor, Words, lower_words, per_block, whole
 from .crf import fit, forward_backward
 
-SAMPLE_ROWS, SAMPLE_CHARS = 3000, 24_000_000
+SAMPLE_ROWS, SAMPLE_CHARS = 2000, 12_000_000
+#: Of that the chain is fitted on texts of at most FIT_TEXT words, up to FIT_WORDS words per label.
+FIT_TEXT, FIT_WORDS = 1500, 150_000
 #: Characters of a word's beginning, and what a feature needs to be taken: texts it newly explains
 #: and the share of the sample's texts with it that are toxic.
 PREFIX, LEAST_TEXTS, LEAST_SHARE = 5, 3, 0.9
@@ -147,24 +149,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = spark.createDataFrame(fits, f"doc_id {kind}, toxic int")
     sample = rows.join(F.broadcast(chosen), "doc_id").select("text", "toxic").toPandas().drop_duplicates("text").sort_values(["toxic", "text"])
     toxic = sample["toxic"].to_numpy() == 1
-    words, vocab = _tokens(pa.array(sample["text"], pa.string()))
+    texts = sample["text"].tolist()
+    words, vocab = _tokens(pa.array(texts, pa.string()))
     model = Model()
     marked, heads = _cover(words, vocab, toxic)
-    is_bad = np.array([w in marked or w[:PREFIX] in heads for w in vocab], bool)
-    labels = (is_bad[words.codes] & np.repeat(toxic, words.counts)).astype(np.int64)
-    if len(labels):
-        word_id = {w: i + 2 for i, w in enumerate(sorted({w for w, b in zip(vocab, is_bad, strict=True) if b}))}
-        head_id = {h: i + 1 for i, h in enumerate(sorted({w[:PREFIX] for w in word_id if len(w) > PREFIX}))}
-        fw = np.array([word_id.get(w, 1) for w in vocab], np.int64)[words.codes]
-        fh = np.array([head_id.get(w[:PREFIX], 0) if len(w) > PREFIX else 0 for w in vocab], np.int64)[words.codes]
-        (ww, wh), model.trans, model.start = fit([fw, fh], [len(word_id) + 2, len(head_id) + 1], labels, words.counts, 2, steps=40, l2=0.1)
-        gap = lambda w: (w[:, 1] - w[:, 0]).tolist()
-        by_word, by_head = gap(ww), gap(wh)
-        model.base = by_word[1]
-        model.words = {w: by_word[i] - model.base for w, i in word_id.items()}
-        model.prefixes = {h: by_head[i] for h, i in head_id.items()}
-    p, _ = _marginals(words, model.weights(vocab), model)
-    x, y = _summary(p, words.counts), toxic.astype(float)
+    usable = words.counts <= FIT_TEXT
+    used = [i for want in (True, False) for i in np.flatnonzero(usable & (toxic == want))[np.cumsum(words.counts[usable & (toxic == want)]) <= FIT_WORDS].tolist()]
+    if used:
+        _fit_chain(model, [texts[i] for i in used], toxic[used], marked, heads)
+    x, y = np.zeros((len(texts), 3)), toxic.astype(float)
+    for a in range(0, len(texts), 250):
+        words, vocab = _tokens(pa.array(texts[a : a + 250], pa.string()))
+        x[a : a + 250] = _summary(_marginals(words, model.weights(vocab), model)[0], words.counts)
     rate = y.mean()
     wt = np.where(toxic, 0.5 / max(rate, 1e-6), 0.5 / max(1 - rate, 1e-6)) if 0 < rate < 1 else np.ones(len(y))
     for _ in range(50):  # Newton's method on the penalised logistic likelihood
@@ -175,6 +171,22 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
+def _fit_chain(model: Model, texts: list[str], toxic: np.ndarray, marked: set[str], heads: set[str]) -> None:
+    """Label the tokens of toxic texts that hold a chosen word or beginning, and fit the chain."""
+    words, vocab = _tokens(pa.array(texts, pa.string()))
+    is_bad = np.array([w in marked or w[:PREFIX] in heads for w in vocab], bool)
+    labels = (is_bad[words.codes] & np.repeat(toxic, words.counts)).astype(np.int64)
+    word_id = {w: i + 2 for i, w in enumerate(sorted({w for w, b in zip(vocab, is_bad, strict=True) if b}))}
+    head_id = {h: i + 1 for i, h in enumerate(sorted({w[:PREFIX] for w in word_id if len(w) > PREFIX}))}
+    fw = np.array([word_id.get(w, 1) for w in vocab], np.int64)[words.codes]
+    fh = np.array([head_id.get(w[:PREFIX], 0) if len(w) > PREFIX else 0 for w in vocab], np.int64)[words.codes]
+    (ww, wh), model.trans, model.start = fit([fw, fh], [len(word_id) + 2, len(head_id) + 1], labels, words.counts, 2, steps=40, l2=0.1)
+    by_word, by_head = ((w[:, 1] - w[:, 0]).tolist() for w in (ww, wh))
+    model.base = by_word[1]
+    model.words = {w: by_word[i] - model.base for w, i in word_id.items()}
+    model.prefixes = {h: by_head[i] for h, i in head_id.items()}
+
+
 def score(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     """All columns of ``docs`` with toxic_score (0 to 1) and, if asked, toxic_spans: start and end
     (code points) and marginal of each token whose marginal is a half or more. Null and empty texts
