@@ -1,0 +1 @@
+"""Queries put together from operators."""

@@ -1,0 +1 @@
+"""Readers of the formats that filings come in, and sinks."""
