@@ -3,10 +3,11 @@
 1. Each document becomes ids and an end id; one longer than the capacity is cut into pieces, all
    but the first of them full. Pieces (not texts) are what later steps move.
 2. Pieces are dealt by hash to partitions of about ``GROUP`` pieces; each runs best-fit decreasing.
-3. Dual-feasible functions give each partition a lower bound on its bins. A partition that meets
-   it is certified and gives up only its emptiest bin; one with a gap gives up every bin that is
-   not full. What was given up is dealt anew among fewer partitions and packed again, until
-   rounds stop saving bins. A round that saves nothing is discarded, so no round makes it worse.
+3. Dual-feasible functions give each partition, and the whole, a lower bound on the bins. A
+   partition that meets its bound with at most one bin not full is done; the others have gaps.
+   While the whole is over its bound, the documents of bins that are not full are exchanged: dealt
+   anew among fewer partitions and packed again. A round that saves no bin is discarded and ends
+   the exchange, so none makes it worse.
 """
 
 from __future__ import annotations
@@ -146,14 +147,14 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> np.nda
     return out
 
 
-def bin_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
-    """The best lower bound over two families of dual-feasible functions.
+def bin_bound(lengths: np.ndarray, capacity: int = CAPACITY, count: np.ndarray | None = None) -> int:
+    """Of lengths, or of ``count`` by length, the best lower bound over two families of dual-feasible functions.
 
     Threshold t: sizes over capacity-t count as a whole bin, those under t as nothing, the rest
     in proportion. Rounding k: x -> floor((k+1)x)/k, and x itself where (k+1)x is whole."""
-    if not len(lengths):
-        return 0
-    count = np.bincount(lengths, minlength=capacity + 1)[: capacity + 1].astype(np.int64)
+    if count is None:
+        count = np.bincount(lengths, minlength=capacity + 1)[: capacity + 1]
+    count = count.astype(np.int64)
     size = np.arange(capacity + 1)
     above, mass = np.cumsum(count[::-1])[::-1], np.r_[0, np.cumsum(count * size)]
     best = -(-int(mass[-1]) // capacity)
@@ -174,14 +175,13 @@ def _pack(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
     bins = best_fit_decreasing(lengths, capacity)
     fill = np.bincount(bins, weights=lengths).astype(np.int64)
     opened = fill < capacity
-    if len(fill) == bin_bound(lengths, capacity):  # certified
-        opened &= np.arange(len(fill)) == np.argmin(fill)
+    certified = len(fill) == bin_bound(lengths, capacity)
     order = np.argsort(bins, kind="stable")
     total = np.cumsum(lengths[order]) - lengths[order]
     first = np.r_[True, np.diff(bins[order]) != 0]
     offset = np.empty_like(total)
     offset[order] = total - np.maximum.accumulate(np.where(first, total, 0))
-    return pd.DataFrame({"uid": group["uid"], "length": lengths, "part": group["part"], "bin": bins, "offset": offset, "open": opened[bins]})
+    return pd.DataFrame({"uid": group["uid"], "length": lengths, "part": group["part"], "bin": bins, "offset": offset, "open": opened[bins], "certified": certified})
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = ROUNDS) -> DataFrame:
@@ -189,18 +189,26 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds:
 
     def deal(df: DataFrame, n: int, salt: int) -> DataFrame:
         dealt = df.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(salt)), F.lit(max(1, -(-n // group)))).alias("part"))
-        packed = dealt.groupBy("part").applyInPandas(lambda g: _pack(g, capacity), "uid long, length long, part long, bin long, offset long, open boolean")
+        packed = dealt.groupBy("part").applyInPandas(lambda g: _pack(g, capacity), "uid long, length long, part long, bin long, offset long, open boolean, certified boolean")
         return staged(packed.withColumn("round", F.lit(salt)), "packed")
 
-    def opened(df: DataFrame) -> tuple[int, int]:
-        got = df.where("open").groupBy("part", "bin").agg(F.count("*").alias("n")).agg(F.count("*"), F.sum("n")).first()
-        return got[0], got[1] or 0
+    def opened(df: DataFrame) -> tuple[int, int, int]:
+        """Bins not full, what lies in them, and partitions with a gap: short of their bound, or
+        with several bins not full."""
+        bins = df.where("open").groupBy("part", "bin").agg(F.count("*").alias("n"), F.every("certified").alias("ok"))
+        parts = bins.groupBy("part").agg(F.count("*").alias("bins"), F.sum("n").alias("n"), F.every("ok").alias("ok"))
+        got = parts.agg(F.sum("bins"), F.sum("n"), F.count_if((~F.col("ok")) | (F.col("bins") > 1)), F.count("*")).first()
+        return got[0] or 0, got[1] or 0, max(got[2], got[3] - 1)
 
     now = deal(items, items.count(), 0)
     done = [now.where("not open")]
-    bins, n = opened(now)
+    (bins, n, gaps), full = opened(now), now.where("not open").select("part", "bin").distinct().count()
+    count = np.zeros(capacity + 1)
+    for length, many in items.groupBy("length").count().collect():  # as many rows as there are lengths
+        count[length] = many
+    bound = bin_bound(np.empty(0), capacity, count)
     for salt in range(1, rounds):
-        if bins < 2:
+        if not gaps or full + bins <= bound:
             break
         again = deal(now.where("open"), n, salt)
         made = again.select("part", "bin").distinct().count()
@@ -208,7 +216,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds:
             break
         now = again
         done.append(now.where("not open"))
-        bins, n = opened(now)
+        (bins, n, gaps), filled = opened(now), now.where("not open").select("part", "bin").distinct().count()
+        full += filled
     done.append(now.where("open"))
     out = done[0]
     for df in done[1:]:

@@ -1,7 +1,7 @@
 """Secrets: fixed patterns, and a linear-chain CRF that tags further ones.
 
 The CRF tags the words between white space as begin, inside or outside of a secret. A word's
-emission has weights for its shape, for the words before and after it (those that stand beside
+emission has weights for its shape, coarse and fine, for the words before and after it (those that stand beside
 known secrets in the sample) and for the file it stands in (whether it names a secret or holds a
 match at all) together with its shape. Viterbi decodes every whole text. What it tags and no base
 match overlaps is added as kind ``crf``; base matches always stay.
@@ -84,6 +84,15 @@ def _shapes(vocab: pa.Array) -> np.ndarray:
     return out
 
 
+#: Share of digits, and whether the word has 16 characters or more: what shapes have in common.
+COARSE = 2 + 4 * 2
+
+
+def _coarse(shape: np.ndarray) -> np.ndarray:
+    rest = (shape - 2) // 18
+    return np.where(shape < 2, shape, 2 + rest % 4 * 2 + (rest // 4 >= 4))
+
+
 @dataclass
 class Model:
     beside: dict[str, int] = field(default_factory=dict)
@@ -93,8 +102,9 @@ class Model:
 
 
 def _features(words: Words, found: np.ndarray, beside: dict[str, int]) -> list[np.ndarray]:
-    """Per position: shape, word before, word after, shape by file."""
-    shape = _shapes(words.vocab)[words.codes]
+    """Per position: shape, coarse shape, word before, word after, shape by file."""
+    fine = _shapes(words.vocab)
+    shape, coarse = fine[words.codes], _coarse(fine)[words.codes]
     vocab = words.vocab.to_pylist()
     near = np.array([beside.get(w, 1) for w in vocab], np.int64)[words.codes]
     first = np.r_[0, np.cumsum(words.counts)]
@@ -102,7 +112,7 @@ def _features(words: Words, found: np.ndarray, beside: dict[str, int]) -> list[n
     full = words.counts > 0
     before[first[:-1][full]], after[first[1:][full] - 1] = 0, 0
     file = np.repeat(found, words.counts)
-    return [shape, before, after, np.where(file, shape, 0)]
+    return [shape, coarse, before, after, np.where(file, shape, 0)]
 
 
 def _files(texts: list[str], spans: list[list]) -> np.ndarray:
@@ -132,7 +142,10 @@ def train(docs: DataFrame) -> Model:
     kept = sorted((w for w, n in beside.items() if n >= 3))
     model = Model({w: i + 2 for i, w in enumerate(kept)})
     near = len(kept) + 2
-    model.weights, model.trans, model.start = fit(_features(words, _files(texts, spans), model.beside), [SHAPES, near, near, SHAPES], labels, words.counts, 3, steps=40, l2=0.3)
+    features = _features(words, _files(texts, spans), model.beside)
+    hidden = np.repeat(np.arange(len(texts)) % 2 == 1, words.counts)
+    features[0][hidden] = features[-1][hidden] = 0  # every other text, so that coarse shapes learn to stand alone
+    model.weights, model.trans, model.start = fit(features, [SHAPES, COARSE, near, near, SHAPES], labels, words.counts, 3, steps=40, l2=0.3)
     return model
 
 
