@@ -88,7 +88,7 @@ def document_quarter(title: Column) -> tuple[Column, Column]:
 def label_and_value(cell: Column) -> tuple[Column, Column]:
     """(label, value) of a merged line: the text before the first number that is no footnote mark,
     and that number; null where it is a percentage or the whole line is one."""
-    pattern = r"^(\D*?(?:\(\d{1,2}\)\D*?)*)\(?\$? ?(\(?\d[\d,]*\.?\d*\)?)(?!\s?\s?%|[\d,.])"
+    pattern = r"^(\D*?(?:\(\d{1,2}\)\D*?)*)\$? ?(?!\(\d{1,2}\))(\(?\d[\d,]*\.?\d*\)?)(?!\s?\s?%|[\d,.])"
     label, number = F.trim(F.regexp_extract(cell, pattern, 1)), F.regexp_extract(cell, pattern, 2)
     ok = (label != "") & (number != "")
     return F.when(ok, F.trim(F.regexp_replace(label, r"\(\d{1,2}\)|[$(]+$", ""))), F.when(ok, financial_number(number))

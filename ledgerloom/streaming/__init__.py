@@ -1,0 +1 @@
+"""Incremental ingest of filings with Structured Streaming."""
