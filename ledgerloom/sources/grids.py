@@ -142,7 +142,7 @@ def read_lines(text: str, rows: tuple[tuple[str, str], ...]) -> list[tuple[str,
             average = True
         if re.search(r"\b(period|quarter|year).end\b|\bspot\b", line, re.IGNORECASE):
             average = False
-        m = re.match(r"\s*(\D*?(?:\(\d{1,2}\)\D*?)*)\$?\s*(\(?\d[\d,]*\.?\d*\)?)(?!\s?%|[\d.])", line)
+        m = re.match(r"\s*(\D*?(?:\(\d{1,2}\)\D*?)*)\$?\s*(?!\(\d{1,2}\))(\(?\d[\d,]*\.?\d*\)?)(?!\s?%|[\d.])", line)
         if average or not m or not m[1].strip():
             continue
         label = re.sub(r"\(\d{1,2}\)", "", m[1]).strip()
