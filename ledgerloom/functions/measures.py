@@ -96,3 +96,10 @@ def capital_ratios(df: DataFrame, regimes: tuple[str, ...] = ("", "_basel1")) ->
     if tiers and "assets_average" in have:
         made["leverage_ratio"] = ratio(F.coalesce(*tiers), F.col("assets_average"))
     return df.withColumns(made) if made else df
+
+
+def with_groups(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
+    """Null-aware sums by name, in the order given: a group may hold an earlier one."""
+    for name, parts in groups.items():
+        df = df.withColumn(name, null_aware_sum(*(F.col(p) for p in parts if p in df.columns)))
+    return df

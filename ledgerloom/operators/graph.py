@@ -105,3 +105,20 @@ def identity_checks(df: DataFrame, checks: dict[str, tuple[list[str], str]]) ->
         holds = usable & (F.abs(built - F.col(total)) <= F.greatest(F.lit(1.0), F.abs(total) * 1e-6))
         out += [F.count_if(holds).alias(f"{name}_held"), F.count_if(usable).alias(f"{name}_checked")]
     return df.agg(*out)
+
+
+def pooled_events(events: DataFrame, rssds: DataFrame) -> DataFrame:
+    """rssd, predecessor, period: mergers of interest whose survivor restates the year, dated by the
+    first quarter end on or after them."""
+    from ..functions.periods import quarter_end
+
+    hit = events.where("pooled").join(rssds.select(F.col("rssd").alias("successor")).distinct(), "successor")
+    return hit.select(F.col("successor").alias("rssd"), "predecessor", quarter_end(F.col("date")).alias("period")).distinct()
+
+
+def top_holders(nodes: DataFrame, edges: DataFrame, depth: int = 12) -> DataFrame:
+    """(node, holder): the ancestors of each node that nobody holds, up to ``depth`` steps."""
+    up = edges.select(F.col("child").alias("parent"), F.col("parent").alias("child"), F.lit(1).alias("_g"))
+    reached = closure(nodes.select(F.col("node").alias("root"), F.lit(1).alias("_g")), up, ["_g"], depth)
+    held = edges.select(F.col("child").alias("node")).distinct()
+    return reached.join(held, "node", "left_anti").select(F.col("root").alias("node"), F.col("node").alias("holder"))

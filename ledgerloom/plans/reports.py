@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import rules, text
-from ..operators import fill, quality
+from ..functions import measures, rules, text
+from ..operators import fill, graph, quality
+from ..sources import discovery
 from ..sources import documents as docs
-from .catalog import BOOK, DAY, PANEL, query, read
+from .catalog import DAY, PANEL, query, read
 
 KEY = ["nation", "period"]
 SOURCES = f"SELECT nation, period, CASE WHEN nation % 3 <> 0 THEN total END AS total, CASE WHEN nation % 2 = 0 THEN urgent END AS urgent FROM ({PANEL}) p"
@@ -274,3 +275,48 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's tables and headings; the pages hold no table, so captions alone come back."""
     return docs.html_outline(read(spark, sf_dir, "SELECT page_id, html FROM {pages}"), "page_id", "html")
+
+
+# ---- stress, capital, discovery ----
+
+BALANCE = f"SELECT nation, period, total AS assets, urgent AS equity, CASE WHEN nation % 3 = 0 THEN high / 10 END AS goodwill, high / 100 AS acl_total, finished / 50 AS nonaccrual_total, CASE WHEN nation % 4 <> 0 THEN high / 50 END AS past_due_90, CASE WHEN nation % 5 = 0 THEN high END AS borrowings_other, high AS tier1_capital_basel1, CASE WHEN year(period) > 1997 THEN urgent END AS tier1_capital, total AS rwa, total AS rwa_basel1, total / 2 AS assets_average FROM ({PANEL}) p"
+
+
+@query(f"""
+    WITH b AS ({BALANCE}), t AS (SELECT *, equity - coalesce(goodwill, 0) AS te FROM b)
+    SELECT nation, period, round(nonaccrual_total + past_due_90, 2) AS noncurrent, round(te, 2) AS tangible_equity, round(borrowings_other, 2) AS wholesale_funding,
+        round(CASE WHEN te + coalesce(acl_total, 0) > 0 THEN (nonaccrual_total + past_due_90) / (te + coalesce(acl_total, 0)) * 100 END, 4) AS texas_ratio FROM t""")
+def stress_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = measures.stress_inputs(read(spark, sf_dir, BALANCE))
+    return out.select(*KEY, *(F.round(c, 2).alias(c) for c in ("noncurrent", "tangible_equity", "wholesale_funding")), F.round("texas_ratio", 4).alias("texas_ratio"))
+
+
+@query(f"""
+    SELECT nation, period, round(tier1_capital / nullif(rwa, 0) * 100, 6) AS tier1_ratio, round(tier1_capital_basel1 / nullif(rwa_basel1, 0) * 100, 6) AS tier1_ratio_basel1,
+        round(coalesce(tier1_capital, tier1_capital_basel1) / nullif(assets_average, 0) * 100, 6) AS leverage_ratio FROM ({BALANCE}) b""")
+def capital_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = measures.capital_ratios(read(spark, sf_dir, BALANCE))
+    return out.select(*KEY, *(F.round(c, 6).alias(c) for c in ("tier1_ratio", "tier1_ratio_basel1", "leverage_ratio")))
+
+
+SLOTS = "SELECT o_custkey AS bank, o_orderkey AS path, CASE o_orderkey % 3 WHEN 0 THEN 'feed' WHEN 1 THEN 'page' ELSE 'filing' END AS origin, CASE o_orderkey % 4 WHEN 0 THEN 'pdf' WHEN 1 THEN 'xlsx' WHEN 2 THEN 'htm' ELSE 'doc' END AS format FROM {orders}"
+
+
+@query(f"""
+    SELECT bank, path, origin, format FROM (SELECT *, row_number() OVER (PARTITION BY bank ORDER BY CASE origin WHEN 'feed' THEN 1 WHEN 'page' THEN 2 ELSE 3 END,
+        CASE format WHEN 'xlsx' THEN 1 WHEN 'htm' THEN 4 WHEN 'pdf' THEN 5 ELSE 6 END, path) AS r FROM ({SLOTS}) s) x WHERE r = 1""")
+def document_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discovery.one_per_slot(read(spark, sf_dir, SLOTS), ["bank"], ("feed", "page", "filing"))
+
+
+@query("SELECT c_custkey AS node, max(CAST(s AS BIGINT)) AS holder FROM customer, (SELECT 1 AS s) o WHERE c_custkey BETWEEN 1 AND 40 GROUP BY 1")
+def top_holders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = read(spark, sf_dir, "SELECT c_custkey DIV 2 AS parent, c_custkey AS child FROM {customer} WHERE c_custkey > 1")
+    return graph.top_holders(read(spark, sf_dir, "SELECT c_custkey AS node FROM {customer} WHERE c_custkey BETWEEN 1 AND 40"), edges)
+
+
+@query(f"SELECT nation, period, round(urgent + high, 2) AS top_two, round(coalesce(urgent, 0) + coalesce(high, 0) + coalesce(finished, 0), 2) AS all_three FROM ({PANEL}) p WHERE urgent IS NOT NULL AND high IS NOT NULL")
+def loan_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = read(spark, sf_dir, f"SELECT * FROM ({PANEL}) p WHERE urgent IS NOT NULL AND high IS NOT NULL")
+    out = measures.with_groups(df, {"top_two": ["urgent", "high"], "all_three": ["top_two", "finished"]})
+    return out.select(*KEY, F.round("top_two", 2).alias("top_two"), F.round("all_three", 2).alias("all_three"))

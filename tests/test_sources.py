@@ -9,7 +9,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.sources import documents, grids
+from ledgerloom.sources import discovery, documents, grids
 from ledgerloom.streaming import ingest
 
 D = dt.date
@@ -131,3 +131,21 @@ def test_ingest_reads_each_file_once(spark, tmp_path):
         ingest.ingest(spark, str(source), f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
         rows = spark.read.parquet(f"{tmp_path}/t")
         assert rows.where("error is null").count() == expected and rows.where("error is not null").count() == 1
+
+
+def test_discovery(spark):
+    index = spark.createDataFrame([("f", '<a href="/ix?doc=/Archives/edgar/ex991.htm&x=1">1</a> <A class="z" HREF=\'/a/b/2Q26_Supplement.pdf?x#y\'>2</A> <a href="#top">')], "k string, h string")
+    assert [r["document"] for r in discovery.exhibits(index, "k", "h").orderBy("seq").collect()] == ["ex991.htm", "2Q26_Supplement.pdf"]
+    files = spark.createDataFrame([("/c/2Q26_Supplement.pdf",), ("/c/2Q26-supplement.xlsx",), ("/c/annual report 2Q26.pdf",), ("/c/misc.pdf",)], "path string").withColumn("origin", F.lit("cache"))
+    slots = discovery.one_per_slot(discovery.cached(files), ["year", "quarter", "kind"], ("cache",)).collect()
+    assert [(r["path"], r["year"], r["quarter"], r["kind"]) for r in slots] == [("/c/2Q26-supplement.xlsx", 2026, 2, "supplement")]
+    phrase = spark.createDataFrame([("Mix by region: North 60% and South 41%.\n\nOther 5%",), ("Mix by region: North 60%.",)], "t string")
+    got = [r[0] for r in phrase.select(discovery.shares(F.col("t"), "Mix by region:", {"north": r"North (\d+)%", "south": r"South (\d+)%"})).collect()]
+    assert got[0] is not None and (got[0]["north"], got[0]["south"]) == (60.0, 41.0) and got[1] is None
+
+
+def test_second_pass(spark):
+    filings = spark.createDataFrame([("a",), ("b",)], "doc string")
+    first = spark.createDataFrame([("a", 1.0)], "doc string, value double")
+    out = discovery.second_pass(first, filings, "doc", lambda left: left.withColumn("value", F.lit(2.0)))
+    assert sorted(map(tuple, out.collect())) == [("a", 1.0), ("b", 2.0)]
