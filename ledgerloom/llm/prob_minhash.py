@@ -11,23 +11,28 @@ classes are the connected components of such pairs.
    arrival. All shingles of a block advance arrival by arrival, and a shingle ends as soon as its
    next arrival is later than all of its text's registers.
 2. Equal bags become one node. Banding: five registers to a band.
-3. Candidates: the members of a band's bucket are compared with one leader (another in each
-   band), so a bucket of n costs n - 1 pairs. Signatures that agree in too few registers are
-   dropped, by a margin that a pair of 0.8 passes but for one in a million; the rest are verified by
-   the exact index over the whole texts. Components follow.
-4. What a leader cannot settle: members that ended in another component than their bucket's leader
-   are compared with the bucket's members of all other components. After this step every pair that
-   shares a bucket is either compared or in one class, so classes do not depend on the leaders.
+3. Candidates: the members of a band's bucket are compared with two leaders, so a bucket of n costs
+   2n pairs: its most central member (whose buckets hold the most texts, and so the one nearest to
+   what the copies in a group have in common) and one drawn by hash, another in each band.
+   Signatures that agree in too few registers are dropped, by a margin that a pair of 0.8 passes but
+   for one in a million; the rest are verified by the exact index over the whole texts. Components
+   follow.
+4. What leaders cannot settle, in ``ROUNDS`` rounds over buckets whose members are not all of one
+   component: in buckets of up to ``SMALL`` all pairs of different components are compared; in
+   larger ones the members outside the leader's component are compared with the most central of
+   their own. The work stays in proportion to the buckets' sizes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import components, lower_words, per_block, staged, whole
@@ -37,6 +42,7 @@ REGISTERS = BANDS * PER_BAND
 #: A pair of likeness 0.8 agrees in 100 of 125 registers, with a deviation of 4.5.
 LEAST_AGREE = 78
 LEAST = 0.8
+SMALL, ROUNDS = 8, 2
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -85,7 +91,7 @@ def signatures(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, texts: i
     element, rate = code[live], weight[live]
     while len(element):
         step += 1
-        draw = _mix(element + np.uint64(step) * _GOLD)
+        draw = _mix(element + np.uint64(step * int(_GOLD) % 2**64))
         time = time - np.log(((draw >> np.uint64(11)).astype(float) + 0.5) / 2**53) / rate
         soon = time < latest[at]
         element, rate, at, time, draw = element[soon], rate[soon], at[soon], time[soon], draw[soon]
@@ -155,6 +161,46 @@ def sketch(docs: DataFrame) -> DataFrame:
     return staged(out.withColumn("_uid", F.monotonically_increasing_id()), "sketches")
 
 
+#: Bits of the filter that tells which rows a join can leave out: 2 MB, whatever the input.
+FILTER_BITS = 1 << 24
+
+
+def _places(ids: np.ndarray) -> np.ndarray:
+    return (_mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
+    """A condition on ids that holds for all of ``ids`` (one long column) and few others: one hash
+    into a bit map of fixed size. Where very many ids fill it, it only lets more rows through."""
+    name = ids.columns[0]
+
+    def local(batches):
+        bits = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            bits[_places(np.asarray(batch.column(name)))] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+
+    def merge(group):
+        total = np.zeros(FILTER_BITS // 8, np.uint8)
+        for raw in group["bits"]:
+            total |= np.frombuffer(raw, np.uint8)
+        return pd.DataFrame({"bits": [total.tobytes()]})
+
+    parts = ids.mapInArrow(local, "bits binary")
+    merged = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(32)).alias("g")).applyInPandas(merge, "bits binary")
+    total = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in merged.toLocalIterator():
+        total |= np.frombuffer(bytes(row["bits"]), np.uint8)
+    packed = total.tobytes()
+
+    @F.pandas_udf("boolean")
+    def hit(col: pd.Series) -> pd.Series:
+        at = _places(col.to_numpy())
+        return pd.Series((np.frombuffer(packed, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    return lambda column: hit(column)
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the pairs (a, b) those whose exact likeness is enough."""
 
@@ -167,7 +213,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     met = pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").select("a", "b", "x", "y")
     close = staged(met.mapInArrow(agree, "a bigint, b bigint"), "candidates")
     wanted = close.select(F.explode(F.array("a", "b")).alias("_uid")).distinct()
-    text = staged(texts.join(wanted, "_uid").select("_uid", "_t"), "candidate-texts")
+    wanted = staged(wanted, "wanted")
+    some = texts.where(_maybe_in(wanted)(F.col("_uid"))).select("_uid", whole().alias("_t"))
+    text = staged(some.join(wanted, "_uid"), "candidate-texts")
 
     def exact(batches):
         for batch in batches:
@@ -178,28 +226,43 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     return staged(both.select("a", "b", "x", "y").mapInArrow(exact, "a bigint, b bigint"), "links")
 
 
+def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+    return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
 def classes(sketched: DataFrame) -> DataFrame:
     """_uid, root (the least _uid of the class) of every row of ``sketch``'s result."""
     rows = sketched.select("_uid", "_h")
     named = rows.groupBy("_h").agg(F.min("_uid").alias("id"))
     nodes = staged(named.join(sketched.select(F.col("_uid").alias("id"), "_keys", "_sig"), "id"), "nodes")
-    texts = sketched.select("_uid", whole().alias("_t"))
+    texts = sketched.select("_uid", "text")
     keyed = staged(nodes.select("id", F.explode("_keys").alias("key")), "bands")
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", "key")).alias("a")).where("n > 1")
-    members = staged(keyed.join(buckets, "key").where("id <> a").select("key", "a", F.col("id").alias("b"), "n"), "members")
-    links = _verified(members.select("a", "b").distinct(), nodes, texts)
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = staged(keyed.join(sizes, "key"), "buckets")
+    central = shared.groupBy("id").agg(F.sum("n").alias("c"))
+    shared = staged(shared.join(central, "id").select("key", "id", "n", F.struct("c", F.xxhash64("id").alias("h")).alias("rank")), "members")
+    leaders = shared.groupBy("key").agg(F.max_by("id", "rank").alias("hub"), F.min_by("id", F.xxhash64("id", "key")).alias("any"))
+    met = shared.select("key", "id").join(leaders, "key").select(F.col("id").alias("b"), F.explode(F.array("hub", "any")).alias("a"))
+    tested = staged(_pairs(met, "a", "b"), "pairs")
+    links = _verified(tested, nodes, texts)
     roots = components(links)
-    # members apart from their leader, in buckets of three and more
-    of = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    wide = members.where("n > 2").join(of, "b", "left").withColumn("rb", F.coalesce("rb", "b"))
-    wide = wide.join(of.toDF("a", "ra"), "a", "left").withColumn("ra", F.coalesce("ra", "a"))
-    apart = staged(wide.where("ra <> rb").select("key", "b", "rb"), "apart")
-    if apart.head(1):
-        others = wide.join(apart.select("key").distinct(), "key", "left_semi").select("key", F.col("b").alias("c"), F.col("rb").alias("rc"))
-        cross = apart.join(others, "key").where("b <> c and rb <> rc").select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b"))
-        more = _verified(cross.distinct(), nodes, texts)
-        if more.head(1):
-            roots = components(links.unionByName(more))
+    for _ in range(ROUNDS):
+        of = roots.select(F.col("node").alias("id"), F.col("root").alias("r"))
+        now = shared.join(of, "id", "left").withColumn("r", F.coalesce("r", "id"))
+        mixed = now.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.max_by("r", "rank").alias("top")).where("lo <> hi")
+        open_ = staged(now.join(mixed.select("key", "top"), "key"), "unsettled")
+        few = open_.where(F.col("n") <= SMALL)
+        other = few.select("key", F.col("id").alias("a"), F.col("r").alias("ra"))
+        small = few.join(other, "key").where("ra < r").select("a", F.col("id").alias("b"))
+        rest = open_.where((F.col("n") > SMALL) & (F.col("r") != F.col("top")))
+        lead = rest.groupBy("key").agg(F.max_by(F.struct("id", "r"), "rank").alias("l"))
+        large = rest.join(lead, "key").where("r <> l.r").select(F.col("l.id").alias("a"), F.col("id").alias("b"))
+        new = staged(_pairs(small.unionByName(large), "a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+        more = _verified(new, nodes, texts)
+        if not more.head(1):
+            break
+        tested, links = tested.unionByName(new), links.unionByName(more)
+        roots = components(links)
     rooted = named.join(roots, named["id"] == roots["node"], "left").select("_h", F.coalesce("root", "id").alias("root"))
     return rows.join(rooted, "_h").select("_uid", "root")
 
@@ -220,4 +283,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     sketched = sketch(docs)
     rooted = sketched.select("_uid", "doc_id").join(classes(sketched), "_uid")
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_uid"))["_uid"].alias("_uid"))
-    return sketched.join(first.select("_uid"), "_uid", "left_semi").select(*docs.columns)
+    dropped = staged(rooted.select("_uid").join(first, "_uid", "left_anti"), "dropped")
+    # only rows that the filter cannot clear meet the join, so texts that stay are not moved
+    maybe = sketched.withColumn("_maybe", _maybe_in(dropped)(F.col("_uid")))
+    clear, rest = maybe.where("not _maybe"), maybe.where("_maybe").join(dropped, "_uid", "left_anti")
+    return clear.select(*docs.columns).unionByName(rest.select(*docs.columns))
