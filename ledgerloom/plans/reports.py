@@ -284,11 +284,11 @@ BALANCE = f"SELECT nation, period, total AS assets, urgent AS equity, CASE WHEN
 
 @query(f"""
     WITH b AS ({BALANCE}), t AS (SELECT *, equity - coalesce(goodwill, 0) AS te FROM b)
-    SELECT nation, period, round(nonaccrual_total + past_due_90, 2) AS noncurrent, round(te, 2) AS tangible_equity, round(borrowings_other, 2) AS wholesale_funding,
+    SELECT nation, period, round(nonaccrual_total + past_due_90, 5) AS noncurrent, round(te, 5) AS tangible_equity, round(borrowings_other, 5) AS wholesale_funding,
         round(CASE WHEN te + coalesce(acl_total, 0) > 0 THEN (nonaccrual_total + past_due_90) / (te + coalesce(acl_total, 0)) * 100 END, 4) AS texas_ratio FROM t""")
 def stress_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = measures.stress_inputs(read(spark, sf_dir, BALANCE))
-    return out.select(*KEY, *(F.round(c, 2).alias(c) for c in ("noncurrent", "tangible_equity", "wholesale_funding")), F.round("texas_ratio", 4).alias("texas_ratio"))
+    return out.select(*KEY, *(F.round(c, 5).alias(c) for c in ("noncurrent", "tangible_equity", "wholesale_funding")), F.round("texas_ratio", 4).alias("texas_ratio"))
 
 
 @query(f"""

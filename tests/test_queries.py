@@ -4,6 +4,8 @@ import glob
 import os
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 from ledgerloom.plans import catalog, reports  # noqa: F401
@@ -23,7 +25,11 @@ def con():
 
 def rows(frame):
     def text(v):
-        return None if v is None or v != v else f"{v:.4f}" if isinstance(v, float) else str(v)[:10] if hasattr(v, "year") else str(v)
+        if v is None or v is pd.NA or v != v:
+            return None
+        if isinstance(v, (int, float, np.number)) and not isinstance(v, bool):
+            return f"{float(v):.4f}"
+        return str(v)[:10] if hasattr(v, "year") else str(v)
 
     frame = frame[sorted(frame.columns)].astype(object)
     return sorted((tuple(map(text, r)) for r in frame.itertuples(index=False)), key=str)
