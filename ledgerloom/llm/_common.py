@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 _HELD: dict[str, tuple[SparkSession, str]] = {}
 
 
+#: Rows of a batch that goes to a Python worker, where the session has left Spark's own number: a
+#: batch of long texts is held by the JVM and by the worker at once.
+BATCH_ROWS, BATCH_SETTING = "3000", "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.conf.get(BATCH_SETTING, "10000") in ("10000", None):
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -67,7 +74,7 @@ def width(spark: SparkSession) -> int:
 def per_block(
     fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
     weight: str = "text",
-    most: int = 8_000_000,
+    most: int = 4_000_000,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """For mapInArrow: hand ``fn`` slices whose ``weight`` column holds about ``most`` bytes at
     most (one long row may exceed it), so memory does not depend on the batch size."""
@@ -82,6 +89,8 @@ def per_block(
             for a, b in zip(starts, np.r_[starts[1:], len(block)], strict=True):
                 out = fn(batch.slice(int(a), int(b - a)))
                 yield from [out] if isinstance(out, pa.RecordBatch) else out
+                del out
+                pa.default_memory_pool().release_unused()  # else a reused worker keeps its largest block
 
     return run
 

@@ -43,7 +43,7 @@ def count_words(training: DataFrame) -> DataFrame:
         words_, n = words.vocab.filter(pa.array(n > 0)), n[n > 0]
         return pa.RecordBatch.from_arrays([pa.concat_arrays([words_.cast(pa.string()), pa.array([""])]), pa.array(np.r_[n, batch.num_rows])], ["word", "n"])
 
-    each = training.select(whole().alias("_text")).mapInArrow(per_block(run, "_text", 24_000_000), "word string, n bigint")
+    each = training.select(whole().alias("_text")).mapInArrow(per_block(run, "_text", 8_000_000), "word string, n bigint")
     return staged(each.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
@@ -139,7 +139,7 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
         return pa.RecordBatch.from_arrays(cols, ["doc_id", "held_out", "n_tokens", "known", "logs", "within", "symbols", "rare"])
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, known double, logs double, within double, symbols binary, rare array<struct<word:string,tf:bigint>>"
-    out = docs.select("doc_id", "held_out", whole().alias("_text")).mapInArrow(per_block(run, "_text"), schema)
+    out = docs.select("doc_id", "held_out", whole().alias("_text")).mapInArrow(per_block(run, "_text", 4_000_000), schema)
     return staged(out.withColumn("uid", F.monotonically_increasing_id()), "symbols")
 
 
@@ -249,7 +249,7 @@ def train(encoded: DataFrame, vocab: Vocabulary) -> Chain:
                 total = add(total, expected_counts(batch.column("symbols").to_pylist(), now))
                 return []
 
-            for _ in per_block(one, "symbols", 1_200_000)(batches):
+            for _ in per_block(one, "symbols", 600_000)(batches):
                 pass
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in blob(total)], names)

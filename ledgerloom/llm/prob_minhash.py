@@ -157,7 +157,7 @@ def sketch(docs: DataFrame) -> DataFrame:
         cols = [*(batch.column(c) for c in names), pa.array(name, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array([r.tobytes() for r in short], pa.binary())]
         return pa.RecordBatch.from_arrays(cols, [*names, "_h", "_keys", "_sig"])
 
-    out = docs.withColumn("_whole", whole()).mapInArrow(per_block(run, "_whole", 4_000_000), schema)
+    out = docs.withColumn("_whole", whole()).mapInArrow(per_block(run, "_whole", 2_000_000), schema)
     return staged(out.withColumn("_uid", F.monotonically_increasing_id()), "sketches")
 
 

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from ._common import TimeMajor, Words, lower_words, per_block, whole
 from .crf import fit, forward_backward
 
-SAMPLE_ROWS, SAMPLE_CHARS = 2000, 12_000_000
+SAMPLE_ROWS, SAMPLE_CHARS = 1500, 8_000_000
 #: Of that the chain is fitted on texts of at most FIT_TEXT words, up to FIT_WORDS words per label.
-FIT_TEXT, FIT_WORDS = 1500, 150_000
+FIT_TEXT, FIT_WORDS = 1500, 100_000
 #: Characters of a word's beginning, and what a feature needs to be taken: texts it newly explains
 #: and the share of the sample's texts with it that are toxic.
 PREFIX, LEAST_TEXTS, LEAST_SHARE = 5, 3, 0.9
@@ -153,8 +153,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     words, vocab = _tokens(pa.array(texts, pa.string()))
     model = Model()
     marked, heads = _cover(words, vocab, toxic)
-    usable = words.counts <= FIT_TEXT
-    used = [i for want in (True, False) for i in np.flatnonzero(usable & (toxic == want))[np.cumsum(words.counts[usable & (toxic == want)]) <= FIT_WORDS].tolist()]
+    counts = words.counts
+    del words, vocab  # the sample's largest part
+    usable = counts <= FIT_TEXT
+    used = [i for want in (True, False) for i in np.flatnonzero(usable & (toxic == want))[np.cumsum(counts[usable & (toxic == want)]) <= FIT_WORDS].tolist()]
     if used:
         _fit_chain(model, [texts[i] for i in used], toxic[used], marked, heads)
     x, y = np.zeros((len(texts), 3)), toxic.astype(float)
