@@ -161,8 +161,8 @@ def sketch(docs: DataFrame) -> DataFrame:
     return staged(out.withColumn("_uid", F.monotonically_increasing_id()), "sketches")
 
 
-#: Bits of the filter that tells which rows a join can leave out: 2 MB, whatever the input.
-FILTER_BITS = 1 << 24
+#: Bits of the filter that tells which rows a join can leave out: 1 MB, whatever the input.
+FILTER_BITS = 1 << 23
 
 
 def _places(ids: np.ndarray) -> np.ndarray:
@@ -187,9 +187,9 @@ def _maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
         return pd.DataFrame({"bits": [total.tobytes()]})
 
     parts = ids.mapInArrow(local, "bits binary")
-    merged = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(32)).alias("g")).applyInPandas(merge, "bits binary")
+    merged = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(16)).alias("g")).applyInPandas(merge, "bits binary")
     total = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():
         total |= np.frombuffer(bytes(row["bits"]), np.uint8)
     packed = total.tobytes()
 
