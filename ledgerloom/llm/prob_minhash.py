@@ -17,10 +17,13 @@ classes are the connected components of such pairs.
    Signatures that agree in too few registers are dropped, by a margin that a pair of 0.8 passes but
    for one in a million; the rest are verified by the exact index over the whole texts. Components
    follow.
-4. What leaders cannot settle, in ``ROUNDS`` rounds over buckets whose members are not all of one
-   component: in buckets of up to ``SMALL`` all pairs of different components are compared; in
-   larger ones the members outside the leader's component are compared with the most central of
-   their own. The work stays in proportion to the buckets' sizes.
+4. What leaders leave open is settled exactly: in every bucket whose members are not all of one
+   component, all pairs of different components are compared by their signatures, a large bucket in
+   salted blocks of about ``BLOCK`` members, so that only ids of pairs that agree leave a block.
+   Those pairs are verified in rounds, the most agreeing of each two components first and
+   ``GROWTH`` times as many in each next round; pairs that a link has meanwhile brought into one
+   component are dropped, and the rounds end when no pair is left. So every pair that shares a
+   bucket is compared or in one class.
 """
 
 from __future__ import annotations
@@ -42,7 +45,7 @@ REGISTERS = BANDS * PER_BAND
 #: A pair of likeness 0.8 agrees in 100 of 125 registers, with a deviation of 4.5.
 LEAST_AGREE = 78
 LEAST = 0.8
-SMALL, ROUNDS = 8, 2
+BLOCK, GROWTH = 1000, 16
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -201,8 +204,8 @@ def _maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
     return lambda column: hit(column)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those whose exact likeness is enough."""
+def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) those whose signatures agree in enough registers."""
 
     def agree(batches):
         for batch in batches:
@@ -211,25 +214,125 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
 
     sig = nodes.select("id", "_sig")
     met = pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    close = staged(met.mapInArrow(agree, "a bigint, b bigint"), "candidates")
-    wanted = close.select(F.explode(F.array("a", "b")).alias("_uid")).distinct()
-    wanted = staged(wanted, "wanted")
+    return staged(met.mapInArrow(agree, "a bigint, b bigint"), "candidates")
+
+
+def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """_uid and text of all ids in the pairs."""
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("_uid")).distinct(), "wanted")
     some = texts.where(_maybe_in(wanted)(F.col("_uid"))).select("_uid", whole().alias("_t"))
-    text = staged(some.join(wanted, "_uid"), "candidate-texts")
+    return staged(some.join(wanted, "_uid"), "candidate-texts")
+
+
+def _exact(close: DataFrame, text: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) those whose exact likeness is enough."""
 
     def exact(batches):
         for batch in batches:
             ok = [likeness(_bag(x), _bag(y)) >= LEAST for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    both = close.join(text.toDF("b", "y"), "b").join(text.toDF("a", "x"), "a")
+    both = close.select("a", "b").join(text.toDF("b", "y"), "b").join(text.toDF("a", "x"), "a")
     return staged(both.select("a", "b", "x", "y").mapInArrow(exact, "a bigint, b bigint"), "links")
 
 
+def _cross(ids: np.ndarray, roots: np.ndarray, sig: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, registers that agree) of all pairs of different roots that agree in enough registers;
+    with ``side``, of the pairs between its two sides only."""
+    values, of, counts = np.unique(roots, return_inverse=True, return_counts=True)
+    # pairs within the largest component need no look, so it only serves as the other end
+    order = np.argsort(of == counts.argmax(), kind="stable")
+    ids, of, sig = ids[order], of[order], sig[order]
+    side = None if side is None else side[order]
+    out = []
+    for i in range(len(ids) - counts.max()):
+        other = of[i + 1 :] != of[i]
+        if side is not None:
+            other &= side[i + 1 :] != side[i]
+        at = i + 1 + np.flatnonzero(other)
+        same = (sig[at] == sig[i]).sum(1)
+        hit = same >= LEAST_AGREE
+        if hit.any():
+            x = ids[at[hit]]
+            out.append((np.minimum(x, ids[i]), np.maximum(x, ids[i]), same[hit]))
+    if not out:
+        return (np.empty(0, np.int64),) * 3
+    return tuple(np.concatenate(c).astype(np.int64) for c in zip(*out, strict=True))
+
+
+def _crossing(open_: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a, b, same: the pairs of one bucket and of different components whose signatures agree.
+
+    open_: key, id, n, r. A bucket of n is dealt into blocks, and every two blocks meet once."""
+    names = ["key", "lo", "hi", "s", "id", "r", "_sig"]
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if held.num_rows < 2 * BLOCK:
+                continue
+            yield from groups(held, False)
+            g = np.flatnonzero(bounds(held))[-1]
+            held = held.slice(int(g)).combine_chunks()
+        if held is not None:
+            yield from groups(held, True)
+
+    def bounds(held: pa.Table) -> np.ndarray:
+        cols = [held.column(c).to_numpy() for c in ("key", "lo", "hi")]
+        return np.r_[True, np.any([c[1:] != c[:-1] for c in cols], 0)]
+
+    def groups(held: pa.Table, last: bool):
+        starts = np.flatnonzero(bounds(held))
+        ends = np.r_[starts[1:], held.num_rows]
+        lo, hi, s, ids, r = (held.column(c).to_numpy() for c in ("lo", "hi", "s", "id", "r"))
+        end = held.num_rows if last else int(starts[-1])
+        if not end:
+            return
+        sig = np.frombuffer(b"".join(held.column("_sig").slice(0, end).to_pylist()), np.uint8).reshape(-1, REGISTERS)
+        for x, y in zip(starts, ends, strict=True):
+            if y > end:
+                break
+            if r[x:y].min() == r[x:y].max():
+                continue
+            found = _cross(ids[x:y], r[x:y], sig[x:y], None if lo[x] == hi[x] else s[x:y])
+            if len(found[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["a", "b", "same"])
+
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = open_.withColumn("s", F.pmod(F.xxhash64("id"), parts).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = dealt.withColumn("lo", F.least("s", "o")).withColumn("hi", F.greatest("s", "o")).join(nodes.select("id", "_sig"), "id").select(names)
+    spread = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return staged(spread.mapInArrow(run, "a bigint, b bigint, same bigint").distinct(), "crossing")
+
+
 def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def _settled(left: DataFrame, text: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The components once every pair of ``left`` (a, b, same) is verified or within one of them."""
+    salts = 1
+    while True:
+        of = roots.select("node", "root")
+        met = left.join(of.toDF("a", "ra"), "a", "left").join(of.toDF("b", "rb"), "b", "left")
+        met = met.select("a", "b", "same", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra <> rb")
+        left = staged(met.select("a", "b", "same", F.least("ra", "rb").alias("ra"), F.greatest("ra", "rb").alias("rb")), "unsettled-pairs")
+        if not left.head(1):
+            return roots
+        salt = F.pmod(F.xxhash64("a", "b"), F.lit(salts))
+        best = left.groupBy("ra", "rb", salt.alias("salt")).agg(F.max(F.struct("same", "a", "b")).alias("p"))
+        chosen = staged(best.select("p.a", "p.b"), "chosen")
+        more = _exact(chosen, text)
+        left = left.select("a", "b", "same").join(chosen, ["a", "b"], "left_anti")
+        if more.head(1):
+            links = links.unionByName(more)
+            roots = components(links)
+        salts = min(salts * GROWTH, 1 << 40)
+
+
 def classes(sketched: DataFrame) -> DataFrame:
     """_uid, root (the least _uid of the class) of every row of ``sketch``'s result."""
     rows = sketched.select("_uid", "_h")
@@ -244,25 +347,16 @@ def classes(sketched: DataFrame) -> DataFrame:
     leaders = shared.groupBy("key").agg(F.max_by("id", "rank").alias("hub"), F.min_by("id", F.xxhash64("id", "key")).alias("any"))
     met = shared.select("key", "id").join(leaders, "key").select(F.col("id").alias("b"), F.explode(F.array("hub", "any")).alias("a"))
     tested = staged(_pairs(met, "a", "b"), "pairs")
-    links = _verified(tested, nodes, texts)
+    close = _agreeing(tested, nodes)
+    links = _exact(close, _texts_of(close, texts))
     roots = components(links)
-    for _ in range(ROUNDS):
-        of = roots.select(F.col("node").alias("id"), F.col("root").alias("r"))
-        now = shared.join(of, "id", "left").withColumn("r", F.coalesce("r", "id"))
-        mixed = now.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.max_by("r", "rank").alias("top")).where("lo <> hi")
-        open_ = staged(now.join(mixed.select("key", "top"), "key"), "unsettled")
-        few = open_.where(F.col("n") <= SMALL)
-        other = few.select("key", F.col("id").alias("a"), F.col("r").alias("ra"))
-        small = few.join(other, "key").where("ra < r").select("a", F.col("id").alias("b"))
-        rest = open_.where((F.col("n") > SMALL) & (F.col("r") != F.col("top")))
-        lead = rest.groupBy("key").agg(F.max_by(F.struct("id", "r"), "rank").alias("l"))
-        large = rest.join(lead, "key").where("r <> l.r").select(F.col("l.id").alias("a"), F.col("id").alias("b"))
-        new = staged(_pairs(small.unionByName(large), "a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = _verified(new, nodes, texts)
-        if not more.head(1):
-            break
-        tested, links = tested.unionByName(new), links.unionByName(more)
-        roots = components(links)
+    of = roots.select(F.col("node").alias("id"), F.col("root").alias("r"))
+    now = shared.select("key", "id", "n").join(of, "id", "left").withColumn("r", F.coalesce("r", "id"))
+    mixed = now.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("key")
+    left = _crossing(staged(now.join(mixed, "key"), "unsettled"), nodes)
+    left = staged(left.join(tested, ["a", "b"], "left_anti"), "unsettled-pairs")
+    if left.head(1):
+        roots = _settled(left, _texts_of(left, texts), links, roots)
     rooted = named.join(roots, named["id"] == roots["node"], "left").select("_h", F.coalesce("root", "id").alias("root"))
     return rows.join(rooted, "_h").select("_uid", "root")
 

@@ -70,6 +70,17 @@ def test_classes_equal_brute_force(spark, copies):
     assert [got[i] for i in range(len(copies))] == classes_of(copies)
 
 
+@pytest.mark.parametrize("block", [1000, 16])
+def test_pairs_that_no_leader_resembles(spark, prose, monkeypatch, block):
+    monkeypatch.setattr(prob_minhash, "BLOCK", block, raising=False)
+    texts = [f"{prose(60, 100 + k)}{more}" for k in range(20) for more in ("", " more")]
+    # one bucket holds them all, and all signatures agree
+    rows = [(i, bytes([i]), [7], bytes(prob_minhash.REGISTERS), t) for i, t in enumerate(texts)]
+    sketched = spark.createDataFrame(rows, "_uid bigint, _h binary, _keys array<bigint>, _sig binary, text string")
+    got = {r["_uid"]: r["root"] for r in prob_minhash.classes(sketched).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_near_edges(spark, odd, none):
     rows = prob_minhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count() and prob_minhash.near_duplicates(none).count() == 0
