@@ -6,9 +6,10 @@
    and paths splits names that run words together, by Viterbi over all cuts. Multinomial naive
    Bayes over the segmented tokens of host and path learns from the urls that rules decide.
 
-Distinct hosts and path tokens are segmented once each; urls are counted by a combined
-aggregation, and what the driver receives is the vocabulary of the most frequent ``VOCABULARY``
-words and tokens.
+Distinct names are segmented once each; urls are counted by a combined aggregation. Words, tokens
+and odds are tables over all names: a name meets the words it may hold, and its tokens their odds,
+by equi-joins. Only the odds of the most frequent ``VOCABULARY`` names reach the driver and all
+workers; urls with any other name get theirs by a join.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._common import staged
+
 VOCABULARY = 200_000
 LONGEST = 24
 # The rules, as host, path and verdict.
@@ -59,9 +62,6 @@ def names(col: Column) -> Column:
 class Model:
     words: dict[str, float] = field(default_factory=dict)
     unknown: float = -20.0
-    tokens: dict[str, float] = field(default_factory=dict)
-    missing: float = 0.0
-    prior: float = 0.0
 
     def segment(self, name: str) -> list[str]:
         """The most probable split; a letter outside every word costs as much as an unseen word.
@@ -84,16 +84,22 @@ class Model:
             end = cut[end]
         return out[::-1]
 
-    def odds(self, host_names: list[str], path_names: list[str]) -> float:
-        """Log odds of block against allow."""
-        total = self.prior
-        for field_, group in (("h", host_names), ("p", path_names)):
-            for name in group:
-                total += sum(self.tokens.get(f"{field_}:{w}", self.missing) for w in self.segment(name))
-        return total
+
+@dataclass
+class Learnt:
+    """names: f, w, o (log odds of block against allow of a field's name), n."""
+
+    names: DataFrame
+    prior: float
 
 
-def train(judged: DataFrame) -> Model:
+def _parts_of(words: DataFrame, least: int, most: Column) -> DataFrame:
+    """w, s: the distinct parts of each name of ``least`` to ``most`` letters."""
+    parts = F.expr(f"flatten(transform(sequence(1, length(w)), i -> transform(filter(sequence({least}, {LONGEST}), k -> i + k - 1 <= length(w)), k -> substring(w, i, k))))")
+    return words.select("w", F.explode(F.array_distinct(parts)).alias("s")).where(F.length("s") <= most)
+
+
+def train(judged: DataFrame) -> Learnt:
     """judged: host, path, verdict (null where no rule fits). Words come from all rows, naive Bayes
     from the decided ones; without both verdicts the odds are even, which means allow."""
     urls = judged.groupBy("host", "path", "verdict").agg(F.count("*").alias("n"))
@@ -101,48 +107,61 @@ def train(judged: DataFrame) -> Model:
         F.transform(names(F.col("host")), lambda x: F.struct(F.lit("h").alias("f"), x.alias("w"))),
         F.transform(names(F.col("path")), lambda x: F.struct(F.lit("p").alias("f"), x.alias("w"))),
     )).alias("t"))
-    counted = each.groupBy("t.f", "t.w", "verdict").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "w", "f", "verdict").limit(VOCABULARY).collect()
-    model, freq = Model(), {}
-    for r in rows:
-        freq[r["w"]] = freq.get(r["w"], 0) + r["n"]
+    counted = staged(each.groupBy("t.f", "t.w", "verdict").agg(F.sum("n").alias("n")), "names")
+    total = counted.agg(F.sum("n")).first()[0] or 1
+    freq = counted.groupBy("w").agg(F.sum("n").alias("n"))
     # a name counts as a word by its share of the names, damped by its length, so that a frequent
     # compound does not stand against the words it is made of
-    total = sum(freq.values()) or 1
-    whole = {w: n for w, n in freq.items() if 1 < len(w) <= LONGEST}
-    model.words = {w: math.log(n / total) for w, n in whole.items()}
-    model.unknown = math.log(1 / (total + 1)) - 2
-    compound = _compounds(model)
-    for w in compound:
-        del model.words[w]
-    by: dict[str, dict[str, float]] = {"block": {}, "allow": {}}
-    for r in rows:
-        if r["verdict"] in by:
-            for part in model.segment(r["w"]):
-                key = f"{r['f']}:{part}"
-                by[r["verdict"]][key] = by[r["verdict"]].get(key, 0) + r["n"]
-    sums = {v: sum(x.values()) for v, x in by.items()}
-    vocab = set().union(*by.values())
-    if all(sums.values()):
-        size = len(vocab) + 1
-        odds = lambda k: math.log((by["block"].get(k, 0) + 1) / (sums["block"] + size)) - math.log((by["allow"].get(k, 0) + 1) / (sums["allow"] + size))
-        model.tokens = {k: odds(k) for k in vocab}
-        model.missing = odds("")
-        n = dict(judged.where("verdict is not null").groupBy("verdict").count().collect())
-        model.prior = math.log(n["block"] / n["allow"])
-    return model
-
-
-def _compounds(model: Model) -> list[str]:
-    """Names that two or more other words of three letters and over make up exactly."""
-    known, out = {w for w in model.words if len(w) > 2}, []
-    for w in sorted(known, key=len, reverse=True):
-        reach = [True] + [False] * len(w)
-        for end in range(3, len(w) + 1):
-            reach[end] = any(reach[s] and w[s:end] in known for s in range(end - 2) if (s, end) != (0, len(w)))
-        if reach[-1]:
-            out.append(w)
-    return out
+    known = staged(freq.where(F.length("w").between(2, LONGEST)).select("w", F.log(F.col("n") / F.lit(total)).alias("lp")), "words")
+    unknown = math.log(1 / (total + 1)) - 2
+    words = known.join(_compounds(known), "w", "left_anti")
+
+    @F.pandas_udf("array<string>")
+    def segment(w, found):
+        import pandas as pd
+
+        return pd.Series([Model({} if f is None else {x["s"]: x["lp"] for x in f}, unknown).segment(x) for x, f in zip(w, found, strict=True)], dtype="object")
+
+    found = _parts_of(freq, 2, F.lit(LONGEST)).join(words.withColumnRenamed("w", "s"), "s")
+    found = found.groupBy("w").agg(F.collect_list(F.struct("s", "lp")).alias("found"))
+    cut = staged(freq.select("w").join(found, "w", "left").select("w", segment("w", "found").alias("parts")), "segments")
+
+    decided = counted.where("verdict in ('block', 'allow')").join(cut, "w").select("f", F.explode("parts").alias("t"), "verdict", "n")
+    count = lambda v: F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0))
+    tokens = staged(decided.groupBy("f", "t").agg(count("block").alias("b"), count("allow").alias("a")), "tokens")
+    vocab, block, allow = tokens.agg(F.count("*"), F.sum("b"), F.sum("a")).first()
+    every = counted.groupBy("f", "w").agg(F.sum("n").alias("n"))
+    if not block or not allow:
+        return Learnt(every.select("f", "w", F.lit(0.0).alias("o"), "n"), 0.0)
+    size = vocab + 1
+    odds = lambda b, a: F.log((b + 1) / F.lit(block + size)) - F.log((a + 1) / F.lit(allow + size))
+    known_odds = tokens.select("f", "t", odds(F.col("b"), F.col("a")).alias("o"))
+    spread = every.join(cut, "w").select("f", "w", "n", F.posexplode("parts").alias("at", "t"))
+    met = spread.join(known_odds, ["f", "t"], "left").withColumn("o", F.coalesce("o", odds(F.lit(0), F.lit(0))))
+    summed = met.groupBy("f", "w").agg(F.any_value("n").alias("n"), F.array_sort(F.collect_list(F.struct("at", "o"))).alias("os"))
+    named = summed.select("f", "w", F.aggregate("os", F.lit(0.0), lambda acc, x: acc + x.o).alias("o"), "n")
+    n = dict(judged.where("verdict is not null").groupBy("verdict").count().collect())
+    return Learnt(staged(named, "odds"), math.log(n["block"] / n["allow"]))
+
+
+def _compounds(known: DataFrame) -> DataFrame:
+    """w: names that two or more other words of three letters and over make up exactly."""
+
+    @F.pandas_udf("boolean")
+    def made(w, found):
+        import pandas as pd
+
+        def one(x: str, known: set[str]) -> bool:
+            reach = [True] + [False] * len(x)
+            for end in range(3, len(x) + 1):
+                reach[end] = any(reach[s] and x[s:end] in known for s in range(end - 2) if (s, end) != (0, len(x)))
+            return reach[-1]
+
+        return pd.Series([one(x, set(f)) for x, f in zip(w, found, strict=True)], dtype="bool")
+
+    long = known.where(F.length("w") > 2).select("w")
+    parts = _parts_of(long, 3, F.length("w") - 3).join(long.withColumnRenamed("w", "s"), "s")
+    return staged(parts.groupBy("w").agg(F.collect_list("s").alias("found")).where(made("w", "found")).select("w"), "compounds")
 
 
 def judge(pages: DataFrame, url: str = "url", key: str = "page_id", rules: tuple = RULES) -> DataFrame:
@@ -152,16 +171,32 @@ def judge(pages: DataFrame, url: str = "url", key: str = "page_id", rules: tuple
     parts = pages.select(F.col(key), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     judged = parts.select("*", rule.alias("rule"), verdict.alias("verdict"))
-    model = train(judged.select("host", "path", "verdict"))
+    learnt = train(judged.select("host", "path", "verdict"))
+    ranked = learnt.names.orderBy(F.desc("n"), "w", "f").limit(VOCABULARY + 1).collect()
+    prior, head, more = learnt.prior, {(r["f"], r["w"]): r["o"] for r in ranked[:VOCABULARY]}, len(ranked) > VOCABULARY
 
     @F.pandas_udf("double")
     def odds(hosts, paths):
         import pandas as pd
 
-        from functools import cache
-
-        one = cache(lambda f, name: sum(model.tokens.get(f"{f}:{w}", model.missing) for w in model.segment(name)))
-        return pd.Series([model.prior + sum(one("h", x) for x in h) + sum(one("p", x) for x in p) for h, p in zip(hosts, paths, strict=True)], dtype="float64")
-
-    score = odds(names(F.col("host")), names(F.col("path")))
-    return judged.withColumn("block_odds", score).select(key, "host", "path", "rule", F.coalesce("verdict", F.when(F.col("block_odds") > 0, "block").otherwise("allow")).alias("verdict"), "block_odds")
+        # null where a name is not in the head
+        def one(h, p):
+            known = [head.get(("h", x)) for x in h] + [head.get(("p", x)) for x in p]
+            return None if None in known else prior + sum(known)
+
+        return pd.Series([one(h, p) for h, p in zip(hosts, paths, strict=True)], dtype="float64")
+
+    out = judged.withColumn("block_odds", odds(names(F.col("host")), names(F.col("path"))))
+    if more:
+        out = staged(out, "scored")
+        rest = out.where("block_odds is null").select("host", "path").distinct()
+        pairs = F.concat(
+            F.transform(names(F.col("host")), lambda x, i: F.struct(F.lit("h").alias("f"), x.alias("w"), i.alias("at"))),
+            F.transform(names(F.col("path")), lambda x, i: F.struct(F.lit("p").alias("f"), x.alias("w"), i.alias("at"))),
+        )
+        met = rest.select("host", "path", F.explode(pairs).alias("t")).select("host", "path", "t.*").join(learnt.names.select("f", "w", "o"), ["f", "w"])
+        met = met.groupBy("host", "path").agg(F.array_sort(F.collect_list(F.struct("f", "at", "o"))).alias("os"))
+        late = met.select("host", "path", F.aggregate("os", F.lit(prior), lambda acc, x: acc + x.o).alias("late"))
+        late = out.where("block_odds is null").drop("block_odds").join(late, ["host", "path"])
+        out = out.where("block_odds is not null").unionByName(late.withColumnRenamed("late", "block_odds"))
+    return out.select(key, "host", "path", "rule", F.coalesce("verdict", F.when(F.col("block_odds") > 0, "block").otherwise("allow")).alias("verdict"), "block_odds")

@@ -76,3 +76,18 @@ def test_segments_and_learnt_verdicts(spark):
     assert (got[len(got) - 2], got[len(got) - 1]) == ("block", "allow")
     model = url_filter.Model({"free": -2.0, "bets": -3.0, "freeb": -9.0}, -8.0)
     assert model.segment("freebets") == ["free", "bets"] and model.segment("") == []
+
+
+def test_rare_names_are_learnt_and_looked_up(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    words = ["garden", "books", "casino", "win", "free", "news", "bets", "tulip"]
+    pick = lambda: "".join(rng.choice(words, rng.integers(1, 3)))
+    urls = [f"http://{pick()}.{end}/{pick()}/{pick()}" for end in ("com", "example.com/en", "org", "net/es") for _ in range(40)]
+    pages = spark.createDataFrame(list(enumerate([*urls, None, "http://tulipbets.org/en/freecasino"])), "page_id bigint, url string")
+    found = []
+    for most in (200_000, 3):
+        monkeypatch.setattr(url_filter, "VOCABULARY", most)
+        found.append({r["page_id"]: r for r in url_filter.judge(pages).collect()})
+    assert found[0].keys() == found[1].keys() and len(found[0]) == len(urls) + 2
+    for i, r in found[0].items():
+        assert abs(r["block_odds"] - found[1][i]["block_odds"]) < 1e-9 and r["verdict"] == found[1][i]["verdict"]
