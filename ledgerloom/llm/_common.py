@@ -158,6 +158,34 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
     raise RuntimeError("components did not settle")
 
 
+#: How many times as many pairs of two components each round of ``settled`` may take.
+GROWTH = 16
+
+
+def settled(left: DataFrame, verify: Callable[[DataFrame], DataFrame], links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The components once every pair of ``left`` (a, b, same) is verified or within one of them.
+
+    ``verify`` gives those of the pairs (a, b) that are links; the pairs of two components with the
+    highest ``same`` go first. links, roots: the links so far and their ``components``."""
+    salts = 1
+    while True:
+        of = roots.select("node", "root")
+        met = left.join(of.toDF("a", "ra"), "a", "left").join(of.toDF("b", "rb"), "b", "left")
+        met = met.select("a", "b", "same", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra <> rb")
+        left = staged(met.select("a", "b", "same", F.least("ra", "rb").alias("ra"), F.greatest("ra", "rb").alias("rb")), "unsettled-pairs")
+        if not left.head(1):
+            return roots
+        salt = F.pmod(F.xxhash64("a", "b"), F.lit(salts))
+        best = left.groupBy("ra", "rb", salt.alias("salt")).agg(F.max(F.struct("same", "a", "b")).alias("p"))
+        chosen = staged(best.select("p.a", "p.b"), "chosen")
+        more = verify(chosen)
+        left = left.select("a", "b", "same").join(chosen, ["a", "b"], "left_anti")
+        if more.head(1):
+            links = links.unionByName(more)
+            roots = components(links)
+        salts = min(salts * GROWTH, 1 << 40)
+
+
 def spark_frame(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
     rows = list(zip(*columns.values(), strict=True))
     return spark.createDataFrame(rows, schema)

@@ -22,7 +22,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import components, per_block, staged, whole, width
+from ._common import components, per_block, settled, staged, whole, width
 
 FIRST, PERIOD, PAD, SEED = 64, 4096, 16, 20
 _HEX = np.frombuffer(b"0123456789abcdef-", np.uint8)
@@ -186,7 +186,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return _in_order(docs).select("doc_id", "_text", "_guest").mapInArrow(run, schema)
 
 
-BANDS, PER_BAND = 40, 6
+BANDS, PER_BAND, BLOCK = 40, 6, 1000
 
 
 def band_keys(samples: np.ndarray) -> list[list[int]]:
@@ -232,8 +232,10 @@ def edit_distance(a: str, b: str) -> int:
 def near_classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """doc_id, class_id (the least id of the class): texts whose edit distance is at most
     ``1 - least`` of the longer length, linked through bit-sampled bands and verified exactly.
-    Equal texts are one node; within a band's key the text with the least hash is the one that the
-    others are compared with, another for each band. Rows without a partner are their own class."""
+    Equal texts are one node; within a band's key the text with the least hash, another for each
+    band, is compared with the others, and then all pairs of different components are, so every
+    pair that shares a key is compared or in one class. A pair whose edits part the walks may share
+    no key and is not met. Rows without a partner are their own class."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = band_keys(embed(batch.column("_text").to_pylist()))
@@ -245,16 +247,37 @@ def near_classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
     keyed = staged(keyed.join(nodes.select("h", "id"), "h").select("id", F.explode("keys").alias("key")), "bands")
     leader = keyed.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key")).alias("a"), F.count("*").alias("n")).where("n > 1")
     pairs = keyed.join(leader.select("key", "a"), "key").where("a <> id").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+    tested = staged(pairs, "pairs")
 
     @F.pandas_udf("double")
     def alike(x, y):
         import pandas as pd
 
-        return pd.Series([1 - edit_distance(p, q) / max(1, len(p), len(q)) for p, q in zip(x, y, strict=True)], dtype="float64")
+        # the lengths alone give a bound that spares most distances
+        def one(p: str, q: str) -> float:
+            longer, apart = max(1, len(p), len(q)), abs(len(p) - len(q))
+            return 1 - (apart if 1 - apart / longer < least else edit_distance(p, q)) / longer
+
+        return pd.Series([one(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
 
     text = nodes.select("id", "_text")
-    met = pairs.join(text.toDF("a", "x"), "a").join(text.toDF("b", "y"), "b")
-    links = met.where(alike("x", "y") >= least).select("a", "b")
+
+    def verify(some: DataFrame) -> DataFrame:
+        met = some.join(text.toDF("a", "x"), "a").join(text.toDF("b", "y"), "b")
+        return staged(met.where(alike("x", "y") >= least).select("a", "b"), "links")
+
+    links = verify(tested)
     roots = components(links)
+    of = roots.select(F.col("node").alias("id"), F.col("root").alias("r"))
+    now = keyed.join(leader.select("key", "n"), "key").join(of, "id", "left").withColumn("r", F.coalesce("r", "id"))
+    mixed = now.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("key")
+    # a large bucket is dealt into blocks, and every two blocks meet once
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = now.join(mixed, "key").withColumn("s", F.pmod(F.xxhash64("id"), parts).cast("int"))
+    dealt = staged(dealt.select("key", "id", "r", "s", F.explode(F.sequence(F.lit(0), parts - 1)).alias("o")), "unsettled")
+    x, y = (dealt.select("key", F.least("s", "o").alias("lo"), F.greatest("s", "o").alias("hi"), F.col("id").alias(c), F.col("r").alias(f"r{c}"), F.col("s").alias(f"s{c}")) for c in "ab")
+    cross = x.join(y, ["key", "lo", "hi"]).where("a < b and ra <> rb and (lo = hi or sa <> sb)")
+    left = cross.groupBy("a", "b").agg(F.count("*").alias("same")).join(tested, ["a", "b"], "left_anti")
+    roots = settled(staged(left, "unsettled-pairs"), verify, links, roots)
     of = nodes.join(roots, nodes["id"] == roots["node"], "left").select("h", F.coalesce("root", "id").alias("class_id"))
     return base.select("doc_id", "h").join(of, "h").select("doc_id", "class_id")

@@ -21,7 +21,7 @@ classes are the connected components of such pairs.
    component, all pairs of different components are compared by their signatures, a large bucket in
    salted blocks of about ``BLOCK`` members, so that only ids of pairs that agree leave a block.
    Those pairs are verified in rounds, the most agreeing of each two components first and
-   ``GROWTH`` times as many in each next round; pairs that a link has meanwhile brought into one
+   many times as many in each next round; pairs that a link has meanwhile brought into one
    component are dropped, and the rounds end when no pair is left. So every pair that shares a
    bucket is compared or in one class.
 """
@@ -38,14 +38,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import components, lower_words, per_block, staged, whole
+from ._common import components, lower_words, per_block, settled, staged, whole
 
 SHINGLE, BANDS, PER_BAND = 5, 25, 5
 REGISTERS = BANDS * PER_BAND
 #: A pair of likeness 0.8 agrees in 100 of 125 registers, with a deviation of 4.5.
 LEAST_AGREE = 78
 LEAST = 0.8
-BLOCK, GROWTH = 1000, 16
+BLOCK = 1000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -312,27 +312,6 @@ def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def _settled(left: DataFrame, text: DataFrame, links: DataFrame, roots: DataFrame) -> DataFrame:
-    """The components once every pair of ``left`` (a, b, same) is verified or within one of them."""
-    salts = 1
-    while True:
-        of = roots.select("node", "root")
-        met = left.join(of.toDF("a", "ra"), "a", "left").join(of.toDF("b", "rb"), "b", "left")
-        met = met.select("a", "b", "same", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra <> rb")
-        left = staged(met.select("a", "b", "same", F.least("ra", "rb").alias("ra"), F.greatest("ra", "rb").alias("rb")), "unsettled-pairs")
-        if not left.head(1):
-            return roots
-        salt = F.pmod(F.xxhash64("a", "b"), F.lit(salts))
-        best = left.groupBy("ra", "rb", salt.alias("salt")).agg(F.max(F.struct("same", "a", "b")).alias("p"))
-        chosen = staged(best.select("p.a", "p.b"), "chosen")
-        more = _exact(chosen, text)
-        left = left.select("a", "b", "same").join(chosen, ["a", "b"], "left_anti")
-        if more.head(1):
-            links = links.unionByName(more)
-            roots = components(links)
-        salts = min(salts * GROWTH, 1 << 40)
-
-
 def classes(sketched: DataFrame) -> DataFrame:
     """_uid, root (the least _uid of the class) of every row of ``sketch``'s result."""
     rows = sketched.select("_uid", "_h")
@@ -356,7 +335,8 @@ def classes(sketched: DataFrame) -> DataFrame:
     left = _crossing(staged(now.join(mixed, "key"), "unsettled"), nodes)
     left = staged(left.join(tested, ["a", "b"], "left_anti"), "unsettled-pairs")
     if left.head(1):
-        roots = _settled(left, _texts_of(left, texts), links, roots)
+        text = _texts_of(left, texts)
+        roots = settled(left, lambda chosen: _exact(chosen, text), links, roots)
     rooted = named.join(roots, named["id"] == roots["node"], "left").select("_h", F.coalesce("root", "id").alias("root"))
     return rows.join(rooted, "_h").select("_uid", "root")
 

@@ -156,6 +156,20 @@ def test_near_classes_by_edits(spark, prose):
     assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5}
 
 
+@pytest.mark.parametrize("block", [1000, 16])
+def test_near_classes_of_pairs_that_share_a_key(spark, monkeypatch, block):
+    monkeypatch.setattr(edit_embedding, "BLOCK", block, raising=False)
+    rng, texts = random.Random(11), []
+    while len(texts) < 120:
+        word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(10))
+        pair = [word, "Q" + word[1:]]
+        x, y = edit_embedding.band_keys(edit_embedding.embed(pair))
+        texts += pair if set(x) & set(y) else []
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in edit_embedding.near_classes(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_pipeline_against_its_parts(spark, tmp_path, copies):
     pipeline = pytest.importorskip("corpus_pipeline")
     texts = [f"{t} mail me a.b@c.de or +1 (555) 123-4567" if i % 3 == 0 and t else t for i, t in enumerate(copies)] + ["foulword " * 3 + f"clean words number {i} here and there" for i in range(12)]
