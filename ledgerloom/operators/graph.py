@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,18 +28,18 @@ def edges_at(edges: DataFrame, days: DataFrame, day: str = "period") -> DataFram
     return covered.join(days.select(day).distinct(), day, "left_semi").distinct()
 
 
-def closure(roots: DataFrame, edges: DataFrame, group: list[str], depth: int = 12) -> DataFrame:
-    """(group, root, node, depth): what each root reaches within ``depth`` steps, breadth first, the
-    root itself at depth 0. Cycles end by an anti-join on what was seen. Every second round is
-    written to the checkpoint folder when one is set, so plans stay short."""
+def closure(roots: DataFrame, edges: DataFrame, group: list[str], depth: int | None = 12) -> DataFrame:
+    """(group, root, node, depth): what each root reaches within ``depth`` steps (None: as far as the
+    edges go), breadth first, the root itself at depth 0. Cycles end by an anti-join on what was seen. Every round is cut
+    off from its plan, in the checkpoint folder when one is set, so plans stay short."""
     seen = roots.select(*group, "root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
     front = seen
     keyed = edges.select(*group, F.col("parent").alias("node"), "child")
     lasting = roots.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
-    for d in range(1, depth + 1):
+    for d in count(1) if depth is None else range(1, depth + 1):
         reached = front.join(keyed, [*group, "node"]).select(*group, "root", F.col("child").alias("node")).distinct()
         front = reached.join(seen, [*group, "root", "node"], "left_anti").withColumn("depth", F.lit(d))
-        front = front.checkpoint() if lasting else front.persist()
+        front = front.checkpoint() if lasting else front.localCheckpoint()
         if front.isEmpty():
             break
         seen = seen.unionByName(front)
@@ -116,8 +117,9 @@ def pooled_events(events: DataFrame, rssds: DataFrame) -> DataFrame:
     return hit.select(F.col("successor").alias("rssd"), "predecessor", quarter_end(F.col("date")).alias("period")).distinct()
 
 
-def top_holders(nodes: DataFrame, edges: DataFrame, depth: int = 12) -> DataFrame:
-    """(node, holder): the ancestors of each node that nobody holds, up to ``depth`` steps."""
+def top_holders(nodes: DataFrame, edges: DataFrame, depth: int | None = None) -> DataFrame:
+    """(node, holder): the ancestors of each node that nobody holds, however far up they are unless
+    ``depth`` bounds the steps."""
     up = edges.select(F.col("child").alias("parent"), F.col("parent").alias("child"), F.lit(1).alias("_g"))
     reached = closure(nodes.select(F.col("node").alias("root"), F.lit(1).alias("_g")), up, ["_g"], depth)
     held = edges.select(F.col("child").alias("node")).distinct()

@@ -142,6 +142,12 @@ def test_closures_end_in_cycles(spark):
     assert {tuple(r) for r in graph.closure(roots, edges, ["g"]).collect()} == {(1, 1, 1, 0), (1, 1, 2, 1), (1, 1, 3, 2), (2, 1, 1, 0), (2, 1, 9, 1)}
 
 
+def test_top_holders_however_far_up(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 20)] + [(30, 31), (31, 30)], "parent int, child int")
+    nodes = spark.createDataFrame([(1,), (13,), (14,), (20,), (31,)], "node int")
+    assert {tuple(r) for r in graph.top_holders(nodes, edges).collect()} == {(1, 1), (13, 1), (14, 1), (20, 1)}
+
+
 def test_lineage_and_claims(spark, owned):
     edges, events, quarters, entities, holdings = owned
     found = lineage.resolve(holdings, quarters, edges, events, entities, "2001-01-01")
