@@ -229,15 +229,3 @@ def lower_words(texts: pa.Array) -> Words:
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     plain = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(_PLAIN[data]))
     return Words(plain, lambda x: pa.compute.split_pattern(x, " ")).drop_empty()
-
-
-def bounded_sample(docs: DataFrame, rows: int, chars: int) -> list[str]:
-    """Distinct whole texts: of the ``rows`` ids with the lowest hashes, as many as hold ``chars``
-    characters together. Sizes are read first, so no more than that reaches the driver."""
-    texts = docs.where("doc_id is not null").select("doc_id", whole().alias("text"))
-    got = texts.select("doc_id", F.length("text").alias("n"), F.xxhash64("doc_id").alias("k")).orderBy("k", "doc_id", "n").limit(rows).collect()
-    fits = [(r["doc_id"],) for r, total in zip(got, np.cumsum([r["n"] for r in got]), strict=True) if total <= chars]
-    if not fits:
-        return []
-    ids = docs.sparkSession.createDataFrame(fits, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}").distinct()
-    return sorted({r["text"] for r in texts.join(F.broadcast(ids), "doc_id").select("text").collect()})

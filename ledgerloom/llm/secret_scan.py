@@ -6,8 +6,9 @@ known secrets in the sample) and for the file it stands in (whether it names a s
 match at all) together with its shape. Viterbi decodes every whole text. What it tags and no base
 match overlaps is added as kind ``crf``; base matches always stay.
 
-It is fitted on a bounded sample (``SAMPLE_ROWS`` texts, ``SAMPLE_CHARS`` characters) whose words
-are labelled by the base patterns.
+It is fitted on a bounded sample of ``SAMPLE_CHARS`` characters whose words are labelled by the base
+patterns: of all texts with a base match those among the ``SAMPLE_ROWS`` ids with the lowest hashes,
+or the first ``MARKED_TEXTS`` by hash if these are more, and the first ``PLAIN_TEXTS`` without one.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ._common import TimeMajor, Words, bounded_sample, per_block, whole
+from ._common import TimeMajor, Words, per_block, staged, whole
 from .crf import fit, viterbi
 
-SAMPLE_ROWS, SAMPLE_CHARS, PLAIN_TEXTS = 8000, 32_000_000, 300
+SAMPLE_ROWS, SAMPLE_CHARS, MARKED_TEXTS, PLAIN_TEXTS = 8000, 32_000_000, 300, 300
 OUT, BEGIN, INSIDE = 0, 1, 2
 
 # The base patterns and the least lengths they ask for.
@@ -119,11 +121,38 @@ def _files(texts: list[str], spans: list[list]) -> np.ndarray:
     return np.array([bool(s) or bool(_NAMES.search(t)) for t, s in zip(texts, spans, strict=True)], bool)
 
 
+def _sample(docs: DataFrame) -> list[str]:
+    """Distinct whole texts to fit on, sorted. One pass finds the texts with a base match and all
+    sizes; a text that does not fit is skipped, so no more than ``SAMPLE_CHARS`` reaches the driver."""
+    texts = docs.where("doc_id is not null").select("doc_id", whole().alias("_text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def look(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hit = [bool(base_spans(t)) for t in batch.column("_text").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pc.utf8_length(batch.column("_text")).cast(pa.int64()), pa.array(hit, pa.bool_())], ["doc_id", "n", "hit"])
+
+    seen = staged(texts.mapInArrow(per_block(look, "_text"), f"doc_id {kind}, n bigint, hit boolean"), "sizes")
+    first = lambda df, most: df.orderBy(F.xxhash64("doc_id"), "doc_id", "n").limit(most).collect()
+    few = [r for r in first(seen, SAMPLE_ROWS) if r["hit"]]
+    marked = max(few, first(seen.where("hit"), MARKED_TEXTS), key=len)
+    taken, left = [], SAMPLE_CHARS
+    for rows, room in ((first(seen.where("not hit"), PLAIN_TEXTS), SAMPLE_CHARS // 2), (marked, SAMPLE_CHARS)):
+        room = min(room, left)
+        for r in rows:
+            if r["n"] <= room:
+                taken.append((r["doc_id"],))
+                room, left = room - r["n"], left - r["n"]
+    if not taken:
+        return []
+    ids = docs.sparkSession.createDataFrame(taken, f"doc_id {kind}").distinct()
+    return sorted({r["_text"] for r in texts.join(F.broadcast(ids), "doc_id").select("_text").collect()})
+
+
 def train(docs: DataFrame) -> Model:
-    """Without a match in the sample there is nothing to learn, and nothing is added."""
-    texts = bounded_sample(docs, SAMPLE_ROWS, SAMPLE_CHARS)
+    """Without a base match in any text there is nothing to learn, and nothing is added."""
+    texts = _sample(docs)
     spans = [base_spans(t) for t in texts]
-    order = [i for i, s in enumerate(spans) if s] + [i for i, s in enumerate(spans) if not s][:PLAIN_TEXTS]
+    order = [i for i, s in enumerate(spans) if s] + [i for i, s in enumerate(spans) if not s]
     if not order or not spans[order[0]]:
         return Model()
     texts, spans = [texts[i] for i in order], [spans[i] for i in order]

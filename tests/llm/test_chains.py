@@ -137,3 +137,11 @@ def test_secret_tags_beyond_the_patterns(spark, prose, odd, none):
     assert not any(rows[i]["spans"] for i in range(0, 200, 2))
     assert secret_scan.scan_documents(odd, model).count() == odd.count() and secret_scan.scan_documents(none, model).count() == 0
     assert secret_scan.train(none).trans is None
+
+
+def test_secrets_are_learnt_however_rare(spark, prose, monkeypatch):
+    monkeypatch.setattr(secret_scan, "SAMPLE_ROWS", 3)
+    rows = [(i, prose(30, i) + (f" token = {'a1B2c3D4' * 2}{i} " + prose(5, i) if i % 25 == 7 else "")) for i in range(200)]
+    model = secret_scan.train(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert model.trans is not None
+    assert secret_scan.train(spark.createDataFrame(rows[:5], "doc_id bigint, text string")).trans is None
