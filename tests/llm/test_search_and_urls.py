@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import pivot_search, url_filter
@@ -17,8 +18,8 @@ def brute(rows, k):
 
 
 def test_top_k_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(pivot_search, "ROW_BLOCK", 40)
-    monkeypatch.setattr(pivot_search, "QUERY_BLOCK", 16)
+    for name, value in {"STRETCH": 80, "ROW_BLOCK": 40, "QUERY_BLOCK": 16, "PAGE": 2}.items():
+        monkeypatch.setattr(pivot_search, name, value)
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in np.round(rng.normal(size=8), 1)]) for i in range(300)]
     rows[7], rows[10], rows[15] = (7, None), (10, [1.0, None, 2.0]), (15, [float("nan")] * 8)
@@ -30,13 +31,26 @@ def test_top_k_is_exact(spark, monkeypatch):
     assert pivot_search.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
-def test_elimination_skips_rows():
+@pytest.mark.parametrize("spread, share", [(1, 0.1), (50, 1)])
+def test_elimination_skips_rows(spread, share):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(20, 16)) * 50
-    x = np.floor(centres[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, 16)))
-    ids = np.arange(4000)
-    of, got, score, taken = pivot_search.search(x[:20], ids[:20], x, ids, ids, pivot_search.choose_pivots(x[:500]), 5)
-    assert taken < 20 * 4000 / 2 and all(sorted(-(x @ x[i]))[0] <= -score[of == i][0] for i in range(20)) and len(got) == 100
+    x = np.floor(centres[rng.integers(0, 20, 4000)] + spread * rng.normal(size=(4000, 16)))
+    pivots, ids = pivot_search.choose_pivots(x[:500]), np.arange(4000)
+    order = pivot_search.near_order(x, ids, pivots)
+    least = pivot_search.first_kth(x[:20], ids[:20], x[:500], ids[:500], 5)
+    of, got, score, taken = pivot_search.search(x[:20], ids[:20], least, x[order], order, order, pivot_search.pivot_table(x[order], order, pivots), pivots, 5)
+    assert taken < 20 * 4000 * share and len(got) == 100
+    for i in range(20):
+        want = sorted((-(x[i] @ x[j]), j) for j in range(4000) if j != i)[:5]
+        assert sorted(zip(-score[of == i], got[of == i])) == want
+
+
+def test_many_equal_vectors_and_clashing_names(spark):
+    rows = [(i, [1.0, 2.0] if i % 3 else [float(i), -1.0], i, "q") for i in range(90)] + [(4, [1.0, 2.0], 0, "q")]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, uid bigint, score string")
+    got = {tuple(r) for r in pivot_search.top_k(df, F.pmod("vec_id", F.lit(5)) == 0).collect()}
+    assert got == brute([r[:2] for r in rows], 5)
 
 
 URLS = [None, "", "nothing", "http://WWW.Example.COM/en/1?q#x", "https://a.net/es/2", "https://net/fr/", "ftp://sub.org?x=/", "http://example.com", "x://y://z/en/", "http://cheappills.org/win", "http://spam.net/xx/?u=http://a.com/", "http://com/#"]
