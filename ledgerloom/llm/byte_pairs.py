@@ -2,7 +2,10 @@
 
 Long texts are split before a space that follows a non-space. No match of the pattern spans such
 a place (every match that holds the space starts with it, and none that ends before it looks
-further), so the ids of the parts, joined, are those of the whole.
+further), so the ids of the parts, joined, are those of the whole. A long run of white space has no
+such place inside, and the library's expression gives up on it; but what the pattern matches there
+is known: the whole run at the end of a text, else all of it but the last character, which belongs
+to what follows. That match is merged by itself. Runs of other characters need no care.
 """
 
 from __future__ import annotations
@@ -24,6 +27,9 @@ from ._common import per_block, whole
 #: Texts beyond so many characters are split, at safe boundaries, to parts of about this size.
 PART_CHARS = 200_000
 _SAFE = regex.compile(r"(?<=\S) ")
+#: White space of so many characters in a row is merged by itself.
+LONG_RUN = 10_000
+_RUN = regex.compile(rf"(?<!\s)\s{{{LONG_RUN},}}")
 
 
 @cache
@@ -45,9 +51,16 @@ def parts(text: str, most: int = PART_CHARS) -> list[str]:
 
 def encode(text: str, enc: tiktoken.Encoding) -> np.ndarray:
     """Ids as little-endian unsigned 32-bit integers; what looks like a special token is text."""
-    if len(text) <= PART_CHARS:
+    if len(text) <= LONG_RUN:
         return enc.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
-    return np.concatenate([enc.encode_to_numpy(x, disallowed_special=()) for x in parts(text)]).astype("<u4", copy=False)
+    out, start = [], 0
+    for run in _RUN.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out += [enc.encode_to_numpy(x, disallowed_special=()) for x in parts(text[start : run.start()])]
+        out.append(np.array(enc._encode_single_piece(text[run.start() : end]), "<u4"))
+        start = end
+    out += [enc.encode_to_numpy(x, disallowed_special=()) for x in parts(text[start:])]
+    return np.concatenate(out).astype("<u4", copy=False)
 
 
 def decode(ids: np.ndarray, enc: tiktoken.Encoding) -> bytes:
@@ -59,7 +72,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: tuple
     """``keep`` columns, ids (binary, u4 little-endian), n_tokens, decoded (binary).
 
     Null text counts as empty; an empty text has no ids. Every row is on its own: repeated rows
-    and ids repeat, and no shuffle is made."""
+    and ids repeat, and no shuffle is made. A kept column must not be named as the three are."""
     out = docs.select(*keep, whole(text).alias("_text"))
     schema = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
 
@@ -86,7 +99,8 @@ def decode_ids(frame: DataFrame, path: str, ids: str = "ids", out: str = "decode
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and the two SHA-256 digests, made beside the encoding so that neither ids
-    nor bytes leave the worker."""
+    nor bytes leave the worker. Null text is empty, a null id stays, repeated rows repeat, an empty
+    table gives no rows; other columns, whatever their names, are not looked at."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc = encoding(path)

@@ -42,11 +42,33 @@ def test_general_encode_and_decode(odd):
 
 def test_word_by_word_ids_are_the_tokenizers_ids():
     own = Tokenizer.from_file(JSON)
-    own.encode_special_tokens = True
     got = packing.token_ids(pa.array(TEXTS, pa.string()), JSON)
     assert [x.tolist() for x in got] == [own.encode(t, add_special_tokens=False).ids for t in TEXTS]
 
 
+RUNS = [" ", "\n", "\r\n", "\u2003 ", "a", "7", "!", "\u00e9"]
+
+
+@pytest.mark.parametrize("unit", RUNS)
+@pytest.mark.parametrize("tail", ["", "word", "  "])
+def test_long_runs(unit, tail):
+    """Runs of one kind, as long as no expression survives; shorter ones give the library's ids."""
+    enc, own = byte_pairs.encoding(RANKS), Tokenizer.from_file(JSON)
+    text = "head 's x" + unit * 30_000 + tail + unit * 12_000 + "a b" + unit * 11_000
+    assert byte_pairs.encode(text, enc).tolist() == enc.encode_ordinary(text)
+    assert packing.token_ids(pa.array([text, "q " + text]), JSON)[0].tolist() == own.encode(text, add_special_tokens=False).ids
+    long = "x" + unit * (3_000_000 // len(unit)) + tail
+    ids = byte_pairs.encode(long, enc)
+    assert byte_pairs.decode(ids, enc) == long.encode()
+    assert packing.token_ids(pa.array([long]), JSON)[0].tolist() == own.encode(long, add_special_tokens=False).ids
+
+
+def test_a_vocabulary_that_does_not_part_at_spaces(monkeypatch):
+    monkeypatch.setattr(packing, "_spaced", lambda path: np.zeros(60_000, bool))
+    own = Tokenizer.from_file(JSON)
+    assert packing.token_ids(pa.array(["a b c"]), JSON)[0].tolist() == own.encode("a b c", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize(("n", "pieces"), [(1, [(0, 1)]), (10, [(0, 10)]), (11, [(0, 1), (1, 10)]), (25, [(0, 5), (5, 10), (15, 10)])])
 def test_cut(n, pieces):
     assert packing.cut(n, 10) == pieces
