@@ -158,32 +158,73 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
     raise RuntimeError("components did not settle")
 
 
-#: How many times as many pairs of two components each round of ``settled`` may take.
-GROWTH = 16
-
-
-def settled(left: DataFrame, verify: Callable[[DataFrame], DataFrame], links: DataFrame, roots: DataFrame) -> DataFrame:
-    """The components once every pair of ``left`` (a, b, same) is verified or within one of them.
-
-    ``verify`` gives those of the pairs (a, b) that are links; the pairs of two components with the
-    highest ``same`` go first. links, roots: the links so far and their ``components``."""
-    salts = 1
-    while True:
-        of = roots.select("node", "root")
-        met = left.join(of.toDF("a", "ra"), "a", "left").join(of.toDF("b", "rb"), "b", "left")
-        met = met.select("a", "b", "same", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra <> rb")
-        left = staged(met.select("a", "b", "same", F.least("ra", "rb").alias("ra"), F.greatest("ra", "rb").alias("rb")), "unsettled-pairs")
-        if not left.head(1):
-            return roots
-        salt = F.pmod(F.xxhash64("a", "b"), F.lit(salts))
-        best = left.groupBy("ra", "rb", salt.alias("salt")).agg(F.max(F.struct("same", "a", "b")).alias("p"))
-        chosen = staged(best.select("p.a", "p.b"), "chosen")
-        more = verify(chosen)
-        left = left.select("a", "b", "same").join(chosen, ["a", "b"], "left_anti")
-        if more.head(1):
-            links = links.unionByName(more)
-            roots = components(links)
-        salts = min(salts * GROWTH, 1 << 40)
+#: Rows of a block, and bytes of what they carry.
+BLOCK, BLOCK_BYTES = 1000, 8_000_000
+
+
+def linked_in_blocks(
+    members: DataFrame,
+    carried: DataFrame,
+    find: Callable[[np.ndarray, np.ndarray, pa.Table, np.ndarray | None], tuple[np.ndarray, np.ndarray]],
+    name: str,
+) -> DataFrame:
+    """Links (a, b) that join what a group holds of different roots.
+
+    members: g (the group), id, r (its root so far), w (bytes it carries); carried: id and columns
+    that ``find`` needs. Groups of one root are left out. A larger group is dealt into blocks of
+    about ``BLOCK`` rows and ``BLOCK_BYTES`` bytes, and every two blocks meet once, in one task;
+    ``find`` gets ids, roots, the carried columns and, where two blocks meet, the side of each row
+    (pairs of one side are another meeting's). It returns links enough that afterwards all rows that
+    are alike are connected, so a meeting yields fewer links than it has rows."""
+    spark = members.sparkSession
+    sizes = members.groupBy("g").agg(F.count("*").alias("n"), F.sum("w").alias("bytes"), F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi")
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1)).cast("int")
+    dealt = members.join(sizes.select("g", parts.alias("parts")), "g")
+    dealt = dealt.withColumn("s", F.pmod(F.xxhash64("id"), "parts").cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = staged(dealt.select("g", F.least("s", "o").alias("lo"), F.greatest("s", "o").alias("hi"), "s", "id", "r"), f"{name}-dealt")
+    extra = [c for c in carried.columns if c != "id"]
+    names = ["g", "lo", "hi", "s", "id", "r", *extra]
+
+    def starts_of(held: pa.Table) -> np.ndarray:
+        cols = [held.column(c).to_numpy() for c in ("g", "lo", "hi")]
+        return np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in cols], 0)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = pa.Table.from_batches([batch])
+            held = new if held is None else pa.concat_tables([held, new])
+            if held.num_rows < 2 * BLOCK and held.nbytes < 2 * BLOCK_BYTES:
+                continue
+            starts = starts_of(held)
+            yield from meetings(held, starts[:-1], starts[1:])
+            held = held.slice(int(starts[-1])).combine_chunks()
+        if held is not None:
+            starts = starts_of(held)
+            yield from meetings(held, starts, np.r_[starts[1:], held.num_rows])
+
+    def meetings(held: pa.Table, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for x, y in zip(starts.tolist(), ends.tolist(), strict=True):
+            part = held.slice(x, y - x)
+            ids, roots, s = (part.column(c).to_numpy() for c in ("id", "r", "s"))
+            if roots.min() == roots.max():
+                continue
+            a, b = find(ids, roots, part.select(extra), s if s.min() != s.max() else None)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+
+    met = dealt.join(carried, "id").select(names).repartition(width(spark), "g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
+    return staged(met.mapInArrow(run, "a bigint, b bigint").distinct(), name)
+
+
+def rows_to_meet(roots: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(order, labels in that order, how many rows must look at those behind them): rows of the
+    largest root come last, since pairs of one root need no look."""
+    _, of, counts = np.unique(roots, return_inverse=True, return_counts=True)
+    order = np.argsort(of == counts.argmax(), kind="stable")
+    return order, of[order], len(of) - int(counts.max())
 
 
 def spark_frame(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import components, per_block, settled, staged, whole, width
+from ._common import components, linked_in_blocks, per_block, rows_to_meet, staged, whole, width
 
 FIRST, PERIOD, PAD, SEED = 64, 4096, 16, 20
 _HEX = np.frombuffer(b"0123456789abcdef-", np.uint8)
@@ -186,7 +186,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return _in_order(docs).select("doc_id", "_text", "_guest").mapInArrow(run, schema)
 
 
-BANDS, PER_BAND, BLOCK = 40, 6, 1000
+BANDS, PER_BAND = 40, 6
 
 
 def band_keys(samples: np.ndarray) -> list[list[int]]:
@@ -239,45 +239,33 @@ def near_classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = band_keys(embed(batch.column("_text").to_pylist()))
-        return pa.RecordBatch.from_arrays([batch.column("h"), pa.array(keys, pa.list_(pa.int64()))], ["h", "keys"])
+        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(keys, pa.list_(pa.int64()))], ["id", "keys"])
 
     base = docs.select("doc_id", whole().alias("_text")).withColumn("h", F.sha2("_text", 256))
-    nodes = staged(base.groupBy("h").agg(F.min("doc_id").alias("id"), F.any_value("_text").alias("_text")), "texts")
-    keyed = nodes.select("h", "_text").mapInArrow(per_block(run, "_text"), "h string, keys array<bigint>")
-    keyed = staged(keyed.join(nodes.select("h", "id"), "h").select("id", F.explode("keys").alias("key")), "bands")
-    leader = keyed.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key")).alias("a"), F.count("*").alias("n")).where("n > 1")
-    pairs = keyed.join(leader.select("key", "a"), "key").where("a <> id").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-    tested = staged(pairs, "pairs")
-
-    @F.pandas_udf("double")
-    def alike(x, y):
-        import pandas as pd
-
-        # the lengths alone give a bound that spares most distances
-        def one(p: str, q: str) -> float:
-            longer, apart = max(1, len(p), len(q)), abs(len(p) - len(q))
-            return 1 - (apart if 1 - apart / longer < least else edit_distance(p, q)) / longer
-
-        return pd.Series([one(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
-
-    text = nodes.select("id", "_text")
-
-    def verify(some: DataFrame) -> DataFrame:
-        met = some.join(text.toDF("a", "x"), "a").join(text.toDF("b", "y"), "b")
-        return staged(met.where(alike("x", "y") >= least).select("a", "b"), "links")
-
-    links = verify(tested)
-    roots = components(links)
-    of = roots.select(F.col("node").alias("id"), F.col("root").alias("r"))
-    now = keyed.join(leader.select("key", "n"), "key").join(of, "id", "left").withColumn("r", F.coalesce("r", "id"))
-    mixed = now.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("key")
-    # a large bucket is dealt into blocks, and every two blocks meet once
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = now.join(mixed, "key").withColumn("s", F.pmod(F.xxhash64("id"), parts).cast("int"))
-    dealt = staged(dealt.select("key", "id", "r", "s", F.explode(F.sequence(F.lit(0), parts - 1)).alias("o")), "unsettled")
-    x, y = (dealt.select("key", F.least("s", "o").alias("lo"), F.greatest("s", "o").alias("hi"), F.col("id").alias(c), F.col("r").alias(f"r{c}"), F.col("s").alias(f"s{c}")) for c in "ab")
-    cross = x.join(y, ["key", "lo", "hi"]).where("a < b and ra <> rb and (lo = hi or sa <> sb)")
-    left = cross.groupBy("a", "b").agg(F.count("*").alias("same")).join(tested, ["a", "b"], "left_anti")
-    roots = settled(staged(left, "unsettled-pairs"), verify, links, roots)
-    of = nodes.join(roots, nodes["id"] == roots["node"], "left").select("h", F.coalesce("root", "id").alias("class_id"))
-    return base.select("doc_id", "h").join(of, "h").select("doc_id", "class_id")
+    nodes = staged(base.groupBy("h").agg(F.any_value("_text").alias("_text")).withColumn("id", F.monotonically_increasing_id()), "texts")
+    keyed = nodes.select("id", "_text").mapInArrow(per_block(run, "_text"), "id bigint, keys array<bigint>")
+    keyed = staged(keyed.select("id", F.explode("keys").alias("g")), "bands")
+    keyed = keyed.join(keyed.groupBy("g").count().where("count > 1").select("g"), "g")
+    members = keyed.join(nodes.select("id", F.length("_text").alias("w")), "id").select("g", "id", F.col("id").alias("r"), "w")
+
+    def find(ids, roots, held, side):
+        order, of, look = rows_to_meet(roots)
+        texts, ids = held.column("t").combine_chunks().take(pa.array(order)).to_pylist(), ids[order]
+        side = None if side is None else side[order]
+        a, b = [], []
+        for i in range(look):
+            for j in range(i + 1, len(ids)):
+                if of[i] != of[j] and (side is None or side[i] != side[j]) and alike(texts[i], texts[j]):
+                    a.append(ids[i]), b.append(ids[j])
+                    of[of == of[j]] = of[i]
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    def alike(p: str, q: str) -> bool:
+        longer = max(1, len(p), len(q))
+        return 1 - abs(len(p) - len(q)) / longer >= least and 1 - edit_distance(p, q) / longer >= least
+
+    roots = components(linked_in_blocks(members, nodes.select("id", F.col("_text").alias("t")), find, "links"))
+    of = nodes.select("h", "id").join(roots, nodes["id"] == roots["node"], "left").select("h", F.coalesce("root", "id").alias("root"))
+    found = base.select("doc_id", "h").join(of, "h")
+    first = found.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    return found.join(first, "root").select("doc_id", "class_id")

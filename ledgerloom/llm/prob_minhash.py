@@ -11,25 +11,25 @@ classes are the connected components of such pairs.
    arrival. All shingles of a block advance arrival by arrival, and a shingle ends as soon as its
    next arrival is later than all of its text's registers.
 2. Equal bags become one node. Banding: five registers to a band.
-3. Candidates: the members of a band's bucket are compared with two leaders, so a bucket of n costs
+3. Leaders: the members of a band's bucket are compared with two leaders, so a bucket of n costs
    2n pairs: its most central member (whose buckets hold the most texts, and so the one nearest to
-   what the copies in a group have in common) and one drawn by hash, another in each band.
-   Signatures that agree in too few registers are dropped, by a margin that a pair of 0.8 passes but
-   for one in a million; the rest are verified by the exact index over the whole texts. Components
-   follow.
-4. What leaders leave open is settled exactly: in every bucket whose members are not all of one
-   component, all pairs of different components are compared by their signatures, a large bucket in
-   salted blocks of about ``BLOCK`` members, so that only ids of pairs that agree leave a block.
-   Those pairs are verified in rounds, the most agreeing of each two components first and
-   many times as many in each next round; pairs that a link has meanwhile brought into one
-   component are dropped, and the rounds end when no pair is left. So every pair that shares a
-   bucket is compared or in one class.
+   what the copies in a group have in common) and one drawn by hash, another in each band. A pair
+   whose signatures agree in too few registers is no link (a pair of 0.8 passes but for one in a
+   million). Each text is verified with the leader that it agrees with most.
+4. Families: texts connected by pairs that share a bucket and whose signatures agree. Where a bucket
+   holds several families still, all pairs of different families are compared by signature.
+5. Within each family that is not one class, all pairs of different classes whose signatures agree
+   are verified, in blocks of bounded size, the most agreeing first; a pair that a link has meanwhile
+   brought into one class needs no look. So every pair that shares a bucket is verified, excluded by
+   its signature, or in one class. A block yields fewer links than it has rows, so nothing that is
+   written grows with the square of a group.
+
+Verification is by the exact index over the whole texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,15 +37,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from ._common import components, lower_words, per_block, settled, staged, whole
+from ._common import components, linked_in_blocks, lower_words, per_block, rows_to_meet, staged, whole, width
 
 SHINGLE, BANDS, PER_BAND = 5, 25, 5
 REGISTERS = BANDS * PER_BAND
 #: A pair of likeness 0.8 agrees in 100 of 125 registers, with a deviation of 4.5.
 LEAST_AGREE = 78
 LEAST = 0.8
-BLOCK = 1000
+#: What the sum of an index may lack by rounding.
+ROUNDING = 1e-9
+#: Members that meet one copy of a leader's text.
+SHARE = 1000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,17 +139,43 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return float((1 / (x_from[shared] / x[shared] + y_below[shared] / y[shared])).sum())
 
 
-@lru_cache(maxsize=256)
-def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-    _, code, weight = bags(pa.array([text], pa.string()))
-    return code, weight
+class Bags:
+    """The bags of a list of texts, and the exact likeness of one of them with some others."""
+
+    def __init__(self, texts: pa.Array):
+        owner, self.code, self.weight = bags(texts)
+        self.at = np.searchsorted(owner, np.arange(len(texts) + 1))
+        self.size = np.diff(self.at)
+        self.plain = np.ones(len(texts), bool)  # no shingle twice
+        self.plain[owner[self.weight > 1]] = False
+
+    def bag(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.code[self.at[i] : self.at[i + 1]], self.weight[self.at[i] : self.at[i + 1]]
+
+    def alike(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Whether text i and each of the others are near-duplicates. For bags without repeats the
+        index is the share of common shingles."""
+        out = np.zeros(len(others), bool)
+        plain = self.plain[others] & self.plain[i] & (self.size[others] > 0) & (self.size[i] > 0)
+        for k in np.flatnonzero(~plain).tolist():
+            out[k] = likeness(self.bag(i), self.bag(int(others[k]))) >= LEAST - ROUNDING
+        some = others[plain]
+        if len(some):
+            mine, n = self.bag(i)[0], self.size[some]
+            first = np.r_[0, np.cumsum(n)][:-1]
+            codes = self.code[np.repeat(self.at[some] - first, n) + np.arange(int(n.sum()))]
+            place = np.minimum(np.searchsorted(mine, codes), len(mine) - 1)
+            both = np.add.reduceat((mine[place] == codes).astype(np.int64), first)
+            out[plain] = both >= (LEAST - ROUNDING) * (n + len(mine) - both)
+        return out
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """All columns, with _uid, _h (16 bytes that name the bag), _keys (band keys; none for a text
-    without words) and _sig (a byte per register); written to the shared folder."""
+    """All columns (doc_id, text and what ``parted`` adds), with _uid, _h (16 bytes that name the
+    bag), _keys (band keys; none for a text without words) and _sig (a byte per register); written to
+    the shared folder."""
     names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _h binary, _keys array<bigint>, _sig binary"
+    schema = StructType([*docs.schema.fields, StructField("_h", BinaryType()), StructField("_keys", ArrayType(LongType())), StructField("_sig", BinaryType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, code, weight = bags(batch.column("_whole"))
@@ -204,161 +234,166 @@ def _maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
     return lambda column: hit(column)
 
 
+def _signs(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, REGISTERS)
+
+
 def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those whose signatures agree in enough registers."""
+    """Of the pairs (lead, id) those whose signatures agree in enough registers: lead, id, same."""
 
     def agree(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("x", "y"))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= LEAST_AGREE))
+            same = (_signs(batch.column("x")) == _signs(batch.column("y"))).sum(1)
+            out = pa.RecordBatch.from_arrays([batch.column("lead"), batch.column("id"), pa.array(same.astype(np.int64))], ["lead", "id", "same"])
+            yield out.filter(pa.array(same >= LEAST_AGREE))
 
     sig = nodes.select("id", "_sig")
-    met = pairs.join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return staged(met.mapInArrow(agree, "a bigint, b bigint"), "candidates")
+    met = pairs.join(sig.toDF("lead", "x"), "lead").join(sig.toDF("id", "y"), "id").select("lead", "id", "x", "y")
+    return staged(met.mapInArrow(agree, "lead bigint, id bigint, same bigint"), "candidates")
 
 
-def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """_uid and text of all ids in the pairs."""
-    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("_uid")).distinct(), "wanted")
-    some = texts.where(_maybe_in(wanted)(F.col("_uid"))).select("_uid", whole().alias("_t"))
-    return staged(some.join(wanted, "_uid"), "candidate-texts")
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """id and text (t) of all ``ids`` (one column, distinct)."""
+    some = texts.where(_maybe_in(ids)(F.col("_uid"))).select(F.col("_uid").alias("id"), whole().alias("t"))
+    return staged(some.join(ids, "id"), "candidate-texts")
 
 
-def _exact(close: DataFrame, text: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those whose exact likeness is enough."""
+def _verified(close: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b): of each id with the leader it agrees with most, if that is near enough. A
+    leader's text travels once to every ``SHARE`` of its members."""
+    spark = close.sparkSession
+    best = close.groupBy("id").agg(F.max(F.struct("same", "lead"))["lead"].alias("lead"))
+    many = best.groupBy("lead").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
+    member = best.join(many, "lead").select("lead", F.pmod(F.xxhash64("id"), "shares").cast("int").alias("share"), F.lit(1).alias("kind"), "id")
+    leader = many.select("lead", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("kind"), F.col("lead").alias("id"))
 
-    def exact(batches):
+    def run(batches):
+        lead = None  # the text of the leader whose members come
         for batch in batches:
-            ok = [likeness(_bag(x), _bag(y)) >= LEAST for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    both = close.select("a", "b").join(text.toDF("b", "y"), "b").join(text.toDF("a", "x"), "a")
-    return staged(both.select("a", "b", "x", "y").mapInArrow(exact, "a bigint, b bigint"), "links")
+            for part in per_block(lambda b: b, "t", 2_000_000)([batch]):
+                texts = part.column("t").to_pylist()
+                kind, own, share, ids = (part.column(c).to_numpy() for c in ("kind", "lead", "share", "id"))
+                shift = int(lead is not None)
+                held = Bags(pa.array(([lead] if shift else []) + texts, pa.string()))
+                starts = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (share[1:] != share[:-1])])
+                a, b = [], []
+                for x, y in zip(starts.tolist(), np.r_[starts[1:], len(ids)].tolist(), strict=True):
+                    first = x + (kind[x] == 0)
+                    at = x + shift if kind[x] == 0 else 0
+                    if kind[x] == 0:
+                        lead = texts[x]
+                    hit = np.arange(first, y)[held.alike(at, np.arange(first, y) + shift)]
+                    a.append(np.full(len(hit), own[x])), b.append(ids[hit])
+                a, b = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+
+    met = member.unionByName(leader).join(texts, "id").repartition(width(spark), "lead", "share").sortWithinPartitions("lead", "share", "kind")
+    return staged(met.select("lead", "share", "kind", "id", "t").mapInArrow(run, "a bigint, b bigint"), "links")
+
+
+def _agree(ids: np.ndarray, roots: np.ndarray, held: pa.Table, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose signatures agree, as many as connect all that do."""
+    order, of, look = rows_to_meet(roots)
+    ids, sig = ids[order], _signs(held.column("_sig"))[order]
+    side = None if side is None else side[order]
+    a, b = [], []
+    for i in range(look):
+        other = of[i + 1 :] != of[i]
+        if side is not None:
+            other &= side[i + 1 :] != side[i]
+        at = i + 1 + np.flatnonzero(other)
+        at = at[(sig[at] == sig[i]).sum(1) >= LEAST_AGREE]
+        for k, j in zip(*np.unique(of[at], return_index=True), strict=True):
+            a.append(ids[i]), b.append(ids[at[j]])
+            of[of == k] = of[i]
+    return np.array(a, np.int64), np.array(b, np.int64)
 
 
-def _cross(ids: np.ndarray, roots: np.ndarray, sig: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, registers that agree) of all pairs of different roots that agree in enough registers;
-    with ``side``, of the pairs between its two sides only."""
-    values, of, counts = np.unique(roots, return_inverse=True, return_counts=True)
-    # pairs within the largest component need no look, so it only serves as the other end
-    order = np.argsort(of == counts.argmax(), kind="stable")
-    ids, of, sig = ids[order], of[order], sig[order]
+def _near(ids: np.ndarray, roots: np.ndarray, held: pa.Table, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Near-duplicates, as many pairs as connect all; the most agreeing are verified first."""
+    order, of, look = rows_to_meet(roots)
+    ids, sig = ids[order], _signs(held.column("_sig"))[order]
     side = None if side is None else side[order]
-    out = []
-    for i in range(len(ids) - counts.max()):
+    texts = Bags(held.column("t").combine_chunks().take(pa.array(order)))
+    a, b = [], []
+    for i in range(look):
         other = of[i + 1 :] != of[i]
         if side is not None:
             other &= side[i + 1 :] != side[i]
         at = i + 1 + np.flatnonzero(other)
         same = (sig[at] == sig[i]).sum(1)
-        hit = same >= LEAST_AGREE
-        if hit.any():
-            x = ids[at[hit]]
-            out.append((np.minimum(x, ids[i]), np.maximum(x, ids[i]), same[hit]))
-    if not out:
-        return (np.empty(0, np.int64),) * 3
-    return tuple(np.concatenate(c).astype(np.int64) for c in zip(*out, strict=True))
-
+        at = at[np.argsort(-same, kind="stable")][: (same >= LEAST_AGREE).sum()]
+        step = 8
+        while len(at):
+            now, at = at[:step], at[step:]
+            for j in now[texts.alike(i, now)].tolist():
+                if of[j] != of[i]:
+                    a.append(ids[i]), b.append(ids[j])
+                    of[of == of[j]] = of[i]
+            at, step = at[of[at] != of[i]], 4 * step
+    return np.array(a, np.int64), np.array(b, np.int64)
 
-def _crossing(open_: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b, same: the pairs of one bucket and of different components whose signatures agree.
 
-    open_: key, id, n, r. A bucket of n is dealt into blocks, and every two blocks meet once."""
-    names = ["key", "lo", "hi", "s", "id", "r", "_sig"]
-
-    def run(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            if held.num_rows < 2 * BLOCK:
-                continue
-            yield from groups(held, False)
-            g = np.flatnonzero(bounds(held))[-1]
-            held = held.slice(int(g)).combine_chunks()
-        if held is not None:
-            yield from groups(held, True)
-
-    def bounds(held: pa.Table) -> np.ndarray:
-        cols = [held.column(c).to_numpy() for c in ("key", "lo", "hi")]
-        return np.r_[True, np.any([c[1:] != c[:-1] for c in cols], 0)]
-
-    def groups(held: pa.Table, last: bool):
-        starts = np.flatnonzero(bounds(held))
-        ends = np.r_[starts[1:], held.num_rows]
-        lo, hi, s, ids, r = (held.column(c).to_numpy() for c in ("lo", "hi", "s", "id", "r"))
-        end = held.num_rows if last else int(starts[-1])
-        if not end:
-            return
-        sig = np.frombuffer(b"".join(held.column("_sig").slice(0, end).to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        for x, y in zip(starts, ends, strict=True):
-            if y > end:
-                break
-            if r[x:y].min() == r[x:y].max():
-                continue
-            found = _cross(ids[x:y], r[x:y], sig[x:y], None if lo[x] == hi[x] else s[x:y])
-            if len(found[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["a", "b", "same"])
-
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = open_.withColumn("s", F.pmod(F.xxhash64("id"), parts).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.withColumn("lo", F.least("s", "o")).withColumn("hi", F.greatest("s", "o")).join(nodes.select("id", "_sig"), "id").select(names)
-    spread = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return staged(spread.mapInArrow(run, "a bigint, b bigint, same bigint").distinct(), "crossing")
-
-
-def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+def _rooted(ids: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """With the root of each id in ``name``: the id itself where it has none."""
+    return ids.join(roots.select(F.col("node").alias("id"), F.col("root").alias(name)), "id", "left").withColumn(name, F.coalesce(name, "id"))
 
 
 def classes(sketched: DataFrame) -> DataFrame:
     """_uid, root (the least _uid of the class) of every row of ``sketch``'s result."""
     rows = sketched.select("_uid", "_h")
     named = rows.groupBy("_h").agg(F.min("_uid").alias("id"))
-    nodes = staged(named.join(sketched.select(F.col("_uid").alias("id"), "_keys", "_sig"), "id"), "nodes")
+    nodes = staged(named.join(sketched.select(F.col("_uid").alias("id"), "_keys", "_sig", F.length(whole()).alias("w")), "id"), "nodes")
     texts = sketched.select("_uid", "text")
     keyed = staged(nodes.select("id", F.explode("_keys").alias("key")), "bands")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = staged(keyed.join(sizes, "key"), "buckets")
     central = shared.groupBy("id").agg(F.sum("n").alias("c"))
-    shared = staged(shared.join(central, "id").select("key", "id", "n", F.struct("c", F.xxhash64("id").alias("h")).alias("rank")), "members")
+    shared = staged(shared.join(central, "id").select("key", "id", F.struct("c", F.xxhash64("id").alias("h")).alias("rank")), "members")
     leaders = shared.groupBy("key").agg(F.max_by("id", "rank").alias("hub"), F.min_by("id", F.xxhash64("id", "key")).alias("any"))
-    met = shared.select("key", "id").join(leaders, "key").select(F.col("id").alias("b"), F.explode(F.array("hub", "any")).alias("a"))
-    tested = staged(_pairs(met, "a", "b"), "pairs")
-    close = _agreeing(tested, nodes)
-    links = _exact(close, _texts_of(close, texts))
+    met = shared.select("key", "id").join(leaders, "key").select("id", F.explode(F.array("hub", "any")).alias("lead"))
+    close = _agreeing(staged(met.where("lead <> id").distinct(), "pairs"), nodes)
+    edges = close.select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
+    families = components(edges)
+    open_ = _rooted(shared.select("key", "id"), families, "r").select(F.col("key").alias("g"), "id", "r", F.lit(REGISTERS).alias("w"))
+    more = linked_in_blocks(open_, nodes.select("id", "_sig"), _agree, "family-links")
+    if more.head(1):
+        families = components(edges.unionByName(more))
+    text = _texts_of(families.select(F.col("node").alias("id")), texts)
+    links = _verified(close, text)
+    inside = families.select(F.col("root").alias("g"), F.col("node").alias("id"))
+    inside = _rooted(inside, components(links), "r").join(nodes.select("id", "w"), "id")
+    links = links.unionByName(linked_in_blocks(inside, nodes.select("id", "_sig").join(text, "id"), _near, "late-links"))
     roots = components(links)
-    of = roots.select(F.col("node").alias("id"), F.col("root").alias("r"))
-    now = shared.select("key", "id", "n").join(of, "id", "left").withColumn("r", F.coalesce("r", "id"))
-    mixed = now.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("key")
-    left = _crossing(staged(now.join(mixed, "key"), "unsettled"), nodes)
-    left = staged(left.join(tested, ["a", "b"], "left_anti"), "unsettled-pairs")
-    if left.head(1):
-        text = _texts_of(left, texts)
-        roots = settled(left, lambda chosen: _exact(chosen, text), links, roots)
     rooted = named.join(roots, named["id"] == roots["node"], "left").select("_h", F.coalesce("root", "id").alias("root"))
     return rows.join(rooted, "_h").select("_uid", "root")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class) and class_size, a row per row of ``docs``.
+    """doc_id, class_id (the least doc_id of the class), class_size and links, a row per row of
+    ``docs``: links counts the class's distinct texts less one, the links that hold it together.
 
     Null and empty texts, and those of white space alone, have no shingle and are one class. Null
-    ids keep their rows; a class of null ids alone has a null class_id. Repeated rows are copies."""
+    ids keep their rows; a class of null ids alone has a null class_id. Repeated rows are copies.
+    Other columns of ``docs``, whatever their names, are not looked at."""
     sketched = sketch(docs.select("doc_id", "text"))
-    found = sketched.select("_uid", "doc_id").join(classes(sketched), "_uid")
-    sizes = found.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return found.join(sizes, "root").select("doc_id", "class_id", "class_size")
+    found = sketched.select("_uid", "doc_id", "_h").join(classes(sketched), "_uid")
+    texts = found.groupBy("root", "_h").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    sizes = texts.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"), (F.count("*") - 1).alias("links"))
+    return found.join(sizes, "root").select("doc_id", "class_id", "class_size", "links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The row of the least doc_id of each class, with the columns of ``docs``."""
-    sketched = sketch(docs)
+    """The row of the least doc_id of each class, with the columns of ``docs``, whatever their names
+    (of rows that share that id, the one read first)."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    slim = docs.select("doc_id", "text", *([F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest")] if others else []))
+    sketched = sketch(slim)
     rooted = sketched.select("_uid", "doc_id").join(classes(sketched), "_uid")
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_uid"))["_uid"].alias("_uid"))
     dropped = staged(rooted.select("_uid").join(first, "_uid", "left_anti"), "dropped")
     # only rows that the filter cannot clear meet the join, so texts that stay are not moved
     maybe = sketched.withColumn("_maybe", _maybe_in(dropped)(F.col("_uid")))
     clear, rest = maybe.where("not _maybe"), maybe.where("_maybe").join(dropped, "_uid", "left_anti")
-    return clear.select(*docs.columns).unionByName(rest.select(*docs.columns))
+    own = [F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns]
+    return clear.select(*own).unionByName(rest.select(*own))

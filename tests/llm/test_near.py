@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import edit_embedding, prob_minhash
+from ledgerloom.llm import _common
 from ledgerloom.llm._common import components
 
 from .test_private import base
@@ -72,7 +73,7 @@ def test_classes_equal_brute_force(spark, copies):
 
 @pytest.mark.parametrize("block", [1000, 16])
 def test_pairs_that_no_leader_resembles(spark, prose, monkeypatch, block):
-    monkeypatch.setattr(prob_minhash, "BLOCK", block, raising=False)
+    monkeypatch.setattr(_common, "BLOCK", block)
     texts = [f"{prose(60, 100 + k)}{more}" for k in range(20) for more in ("", " more")]
     # one bucket holds them all, and all signatures agree
     rows = [(i, bytes([i]), [7], bytes(prob_minhash.REGISTERS), t) for i, t in enumerate(texts)]
@@ -81,6 +82,31 @@ def test_pairs_that_no_leader_resembles(spark, prose, monkeypatch, block):
     assert got == {i: i - i % 2 for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("block", [1000, 30])
+def test_a_group_whose_members_differ_from_its_centre(spark, prose, monkeypatch, block):
+    """Copies with some to many edits: chains of links, far from every leader."""
+    monkeypatch.setattr(_common, "BLOCK", block)
+    monkeypatch.setattr(prob_minhash, "SHARE", 7)
+    rng, first = random.Random(6), prose(120, 77).split()
+    texts = []
+    for k in range(90):
+        words = list(first if k < 60 else texts[rng.randrange(60)].split())
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(40)}"
+        texts.append(" ".join(words + ["twice over again and"] * (k % 3)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in prob_minhash.near_duplicates(docs).collect()}
+    want = classes_of(texts)
+    assert len(set(want)) > 5 and [got[i] for i in range(len(texts))] == want
+
+
+def test_names_that_clash(spark):
+    rows = [(1, "a b c d e f", 7, "x", "r"), (2, "a b c d e f", 8, "y", "s"), (3, "other", 9, "z", "t")]
+    docs = spark.createDataFrame(rows, "_uid bigint, text string, doc_id bigint, `_h` string, `rest` string")
+    kept = prob_minhash.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+
+
 def test_near_edges(spark, odd, none):
     rows = prob_minhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count() and prob_minhash.near_duplicates(none).count() == 0
@@ -158,7 +184,7 @@ def test_near_classes_by_edits(spark, prose):
 
 @pytest.mark.parametrize("block", [1000, 16])
 def test_near_classes_of_pairs_that_share_a_key(spark, monkeypatch, block):
-    monkeypatch.setattr(edit_embedding, "BLOCK", block, raising=False)
+    monkeypatch.setattr(_common, "BLOCK", block)
     rng, texts = random.Random(11), []
     while len(texts) < 120:
         word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(10))
