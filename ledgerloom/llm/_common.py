@@ -1,4 +1,4 @@
-"""What the corpus operators share: staging tables, blocks of documents, components."""
+"""What the corpus operators share: staging tables, blocks of documents, components, links."""
 
 from __future__ import annotations
 
@@ -127,34 +127,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
 
     Alternating large-star and small-star steps; every step is a map-side combined minimum and
     an equi-join, so a hub of any degree is split by skew handling. Nodes without an edge do
-    not appear. Each step is written to the shared folder."""
-    spark = edges.sparkSession
-    now = staged(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges"
-    )
-
-    def digest(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    seen = digest(now)
-    if not seen[0]:
-        return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    not appear. Each step is written to the shared folder; the steps end when every node has one
+    edge, to a node that has none."""
+    now = staged(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
     for _ in range(rounds):
+        ends = now.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(now.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not ends.agg(F.count_if(F.expr("up > 1 or up = 1 and down = 1"))).first()[0]:
+            roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        large = staged(large.unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).where("u <> v"), "edges")
         # small star: u and its smaller neighbours all point to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            low.select("u", F.col("m").alias("v"))
-        )
+        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         now = staged(small.where("u <> v").distinct(), "edges")
-        if (got := digest(now)) == seen:
-            roots = now.groupBy("v").agg(F.count("*").alias("_n")).select(F.col("v").alias("node"), F.col("v").alias("root"))
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
-        seen = got
     raise RuntimeError("components did not settle")
 
 
@@ -216,7 +206,7 @@ def linked_in_blocks(
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
 
     met = dealt.join(carried, "id").select(names).repartition(width(spark), "g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
-    return staged(met.mapInArrow(run, "a bigint, b bigint").distinct(), name)
+    return staged(met.mapInArrow(run, "a bigint, b bigint"), name)
 
 
 def rows_to_meet(roots: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:

@@ -11,18 +11,20 @@ classes are the connected components of such pairs.
    arrival. All shingles of a block advance arrival by arrival, and a shingle ends as soon as its
    next arrival is later than all of its text's registers.
 2. Equal bags become one node. Banding: five registers to a band.
-3. Leaders: the members of a band's bucket are compared with two leaders, so a bucket of n costs
-   2n pairs: its most central member (whose buckets hold the most texts, and so the one nearest to
-   what the copies in a group have in common) and one drawn by hash, another in each band. A pair
-   whose signatures agree in too few registers is no link (a pair of 0.8 passes but for one in a
-   million). Each text is verified with the leader that it agrees with most.
-4. Families: texts connected by pairs that share a bucket and whose signatures agree. Where a bucket
-   holds several families still, all pairs of different families are compared by signature.
-5. Within each family that is not one class, all pairs of different classes whose signatures agree
-   are verified, in blocks of bounded size, the most agreeing first; a pair that a link has meanwhile
-   brought into one class needs no look. So every pair that shares a bucket is verified, excluded by
-   its signature, or in one class. A block yields fewer links than it has rows, so nothing that is
-   written grows with the square of a group.
+3. Families: the members of a band's bucket are compared, by signature, with its most central member
+   (the one whose buckets hold the most texts), so a bucket of n costs n pairs. A pair whose
+   signatures agree in too few registers is no link (a pair of 0.8 passes but for one in a million).
+   Where some members do not agree with that one, all pairs that it has not settled are compared.
+   Texts connected by agreeing pairs are a family.
+4. Each text of a family is verified with the family's most central one.
+5. Within each family that is not one class yet, all pairs of different classes whose signatures
+   agree are verified, the most agreeing first; a pair that a link has meanwhile brought into one
+   class needs no look. So every pair that shares a bucket is verified, excluded by its signature,
+   or in one class.
+
+All pairs of a group are compared in blocks of bounded size, every two of which meet in one task. A
+meeting yields fewer links than it has rows, so nothing that is written grows with the square of a
+group.
 
 Verification is by the exact index over the whole texts.
 """
@@ -48,7 +50,7 @@ LEAST_AGREE = 78
 LEAST = 0.8
 #: What the sum of an index may lack by rounding.
 ROUNDING = 1e-9
-#: Members that meet one copy of a leader's text.
+#: Members that meet one copy of their family's central text.
 SHARE = 1000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -239,17 +241,16 @@ def _signs(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of the pairs (lead, id) those whose signatures agree in enough registers: lead, id, same."""
+    """Of the pairs (lead, id) those whose signatures agree in enough registers."""
 
     def agree(batches):
         for batch in batches:
             same = (_signs(batch.column("x")) == _signs(batch.column("y"))).sum(1)
-            out = pa.RecordBatch.from_arrays([batch.column("lead"), batch.column("id"), pa.array(same.astype(np.int64))], ["lead", "id", "same"])
-            yield out.filter(pa.array(same >= LEAST_AGREE))
+            yield batch.select(["lead", "id"]).filter(pa.array(same >= LEAST_AGREE))
 
     sig = nodes.select("id", "_sig")
     met = pairs.join(sig.toDF("lead", "x"), "lead").join(sig.toDF("id", "y"), "id").select("lead", "id", "x", "y")
-    return staged(met.mapInArrow(agree, "lead bigint, id bigint, same bigint"), "candidates")
+    return staged(met.mapInArrow(agree, "lead bigint, id bigint"), "candidates")
 
 
 def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
@@ -258,13 +259,12 @@ def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
     return staged(some.join(ids, "id"), "candidate-texts")
 
 
-def _verified(close: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b): of each id with the leader it agrees with most, if that is near enough. A
-    leader's text travels once to every ``SHARE`` of its members."""
-    spark = close.sparkSession
-    best = close.groupBy("id").agg(F.max(F.struct("same", "lead"))["lead"].alias("lead"))
+def _verified(best: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b): of each id with its lead, if that is near enough. A lead's text travels once to
+    every ``SHARE`` of its members."""
+    spark = best.sparkSession
     many = best.groupBy("lead").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
-    member = best.join(many, "lead").select("lead", F.pmod(F.xxhash64("id"), "shares").cast("int").alias("share"), F.lit(1).alias("kind"), "id")
+    member = best.where("lead <> id").join(many, "lead").select("lead", F.pmod(F.xxhash64("id"), "shares").cast("int").alias("share"), F.lit(1).alias("kind"), "id")
     leader = many.select("lead", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("kind"), F.col("lead").alias("id"))
 
     def run(batches):
@@ -334,37 +334,33 @@ def _near(ids: np.ndarray, roots: np.ndarray, held: pa.Table, side: np.ndarray |
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
-def _rooted(ids: DataFrame, roots: DataFrame, name: str) -> DataFrame:
-    """With the root of each id in ``name``: the id itself where it has none."""
-    return ids.join(roots.select(F.col("node").alias("id"), F.col("root").alias(name)), "id", "left").withColumn(name, F.coalesce(name, "id"))
-
-
 def classes(sketched: DataFrame) -> DataFrame:
     """_uid, root (the least _uid of the class) of every row of ``sketch``'s result."""
     rows = sketched.select("_uid", "_h")
     named = rows.groupBy("_h").agg(F.min("_uid").alias("id"))
     nodes = staged(named.join(sketched.select(F.col("_uid").alias("id"), "_keys", "_sig", F.length(whole()).alias("w")), "id"), "nodes")
-    texts = sketched.select("_uid", "text")
+    texts, sig = sketched.select("_uid", "text"), nodes.select("id", "_sig")
     keyed = staged(nodes.select("id", F.explode("_keys").alias("key")), "bands")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = staged(keyed.join(sizes, "key"), "buckets")
-    central = shared.groupBy("id").agg(F.sum("n").alias("c"))
-    shared = staged(shared.join(central, "id").select("key", "id", F.struct("c", F.xxhash64("id").alias("h")).alias("rank")), "members")
-    leaders = shared.groupBy("key").agg(F.max_by("id", "rank").alias("hub"), F.min_by("id", F.xxhash64("id", "key")).alias("any"))
-    met = shared.select("key", "id").join(leaders, "key").select("id", F.explode(F.array("hub", "any")).alias("lead"))
-    close = _agreeing(staged(met.where("lead <> id").distinct(), "pairs"), nodes)
-    edges = close.select(F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
-    families = components(edges)
-    open_ = _rooted(shared.select("key", "id"), families, "r").select(F.col("key").alias("g"), "id", "r", F.lit(REGISTERS).alias("w"))
-    more = linked_in_blocks(open_, nodes.select("id", "_sig"), _agree, "family-links")
-    if more.head(1):
-        families = components(edges.unionByName(more))
-    text = _texts_of(families.select(F.col("node").alias("id")), texts)
-    links = _verified(close, text)
-    inside = families.select(F.col("root").alias("g"), F.col("node").alias("id"))
-    inside = _rooted(inside, components(links), "r").join(nodes.select("id", "w"), "id")
-    links = links.unionByName(linked_in_blocks(inside, nodes.select("id", "_sig").join(text, "id"), _near, "late-links"))
-    roots = components(links)
+    central = staged(shared.groupBy("id").agg(F.struct(F.sum("n").alias("c"), F.xxhash64("id").alias("h")).alias("rank")), "central")
+    ranked = shared.join(central, "id").select("key", "id", "rank")
+    hubs = ranked.groupBy("key").agg(F.max_by("id", "rank").alias("lead"))
+    met = staged(shared.select("key", "id").join(hubs, "key"), "members")
+    close = _agreeing(met.select("lead", "id").where("lead <> id").distinct(), nodes)
+    settled = met.join(close.withColumn("same", F.lit(True)), ["lead", "id"], "left")
+    open_ = settled.select(F.col("key").alias("g"), "id", F.when(F.coalesce("same", F.lit(False)), F.col("lead")).otherwise(F.col("id")).alias("r"), F.lit(REGISTERS).alias("w"))
+    more = linked_in_blocks(open_, sig, _agree, "family-links")
+    families = components(close.select(F.col("lead").alias("a"), F.col("id").alias("b")).unionByName(more))
+    inside = families.select(F.col("root").alias("g"), F.col("node").alias("id")).join(central, "id")
+    leads = inside.groupBy("g").agg(F.max_by("id", "rank").alias("lead"))
+    inside = staged(inside.select("g", "id").join(leads, "g"), "families")
+    text = _texts_of(inside.select("id"), texts)
+    links = _verified(inside.select("lead", "id"), text)
+    hit = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("hit", F.lit(True))
+    inside = inside.join(hit, "id", "left").withColumn("r", F.when(F.coalesce("hit", F.lit(False)), F.col("lead")).otherwise(F.col("id")))
+    inside = inside.join(nodes.select("id", "w"), "id").select("g", "id", "r", "w")
+    roots = components(links.unionByName(linked_in_blocks(inside, sig.join(text, "id"), _near, "late-links")))
     rooted = named.join(roots, named["id"] == roots["node"], "left").select("_h", F.coalesce("root", "id").alias("root"))
     return rows.join(rooted, "_h").select("_uid", "root")
 
