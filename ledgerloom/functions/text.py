@@ -57,8 +57,8 @@ def declared_scale(text: Column) -> Column:
     return reduce(lambda acc, kv: F.when(word == kv[0], kv[1]).otherwise(acc), SCALES.items(), F.lit(None).cast("double"))
 
 
-def document_quarter(title: Column) -> tuple[Column, Column]:
-    """(year, quarter) that a document's title or file name states, else nulls: in words, nQyyyy,
+def document_quarter(title: Column) -> Column:
+    """A struct of year y and quarter q (project it once, then take its fields) that a document's title or file name states, else nulls: in words, nQyyyy,
     Qn yyyy, yyyyQn, yyyy nQ, nQyy, or an eight-digit date in a quarter's last month."""
     s = F.trim(F.regexp_replace(F.lower(title), r"[+_\-/\\.]+", " "))
     year, month = "((?:19|20)[0-9]{2})", "(0[1-9]|1[0-2])"
@@ -81,8 +81,7 @@ def document_quarter(title: Column) -> tuple[Column, Column]:
     day = rf"(?<![0-9])(20[0-9]{{2}}){month}(0[1-9]|[12][0-9]|3[01])(?![0-9])"
     m = F.regexp_extract(s, day, 2).try_cast("int")
     found.append(F.when(m % 3 == 0, F.struct(F.regexp_extract(s, day, 1).cast("int").alias("y"), (m / 3).cast("int").alias("q"))))
-    first = F.coalesce(*found)
-    return first["y"], first["q"]
+    return F.coalesce(*found)
 
 
 def label_and_value(cell: Column) -> tuple[Column, Column]:

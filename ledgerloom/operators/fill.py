@@ -91,3 +91,18 @@ def refresh_ratios(panel: DataFrame, ratios: dict[str, Column], source: str) ->
         out[f"{name}__source"] = F.when(own.isNull() & value.isNotNull(), source).otherwise(tag)
         out[name] = F.coalesce(own, value)
     return panel.withColumns(out)
+
+
+def reconcile(panel: DataFrame, readings: DataFrame, key: list[str], columns: list[str], document: list[str], total: str, prefixes: tuple[str, ...], source: str = "html", tagged: str | None = "xbrl", declared: str | None = None, proof: DataFrame | None = None, partial: str | None = None, ratios: dict[str, Column] | None = None, allow_new: bool = False) -> DataFrame:
+    """Fill a panel's gaps from one source of readings: scales inferred against ``proof`` (else the
+    panel) or declared, unproven ones dropped; columns of a part of the book (``partial``: their
+    prefix) and those that exceed the total refused; null cells filled with their source; null ratios
+    worked out anew. ``tagged`` names the source of what the panel has; None where it says so itself,
+    as after a first call, so sources merge in the order of the calls."""
+    out = tag_sources(panel, columns, tagged) if tagged else panel
+    wide = widen(scaled(infer_scale(readings, proof or panel, key, columns, document), declared), key, columns)
+    if partial:
+        wide = reject_partial(wide, panel, key, total, partial)
+    wide = reject_implausible(wide, panel, key, total, prefixes)
+    filled = fill_gaps(out, wide, key, source, allow_new)
+    return refresh_ratios(filled, ratios, f"derived_{source}") if ratios else filled

@@ -8,6 +8,8 @@ from itertools import count
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 
 def alive(day: Column, start: Column, end: Column) -> Column:
     """Whether [start, end] holds the day; a null bound is open."""
@@ -30,16 +32,14 @@ def edges_at(edges: DataFrame, days: DataFrame, day: str = "period") -> DataFram
 
 def closure(roots: DataFrame, edges: DataFrame, group: list[str], depth: int | None = 12) -> DataFrame:
     """(group, root, node, depth): what each root reaches within ``depth`` steps (None: as far as the
-    edges go), breadth first, the root itself at depth 0. Cycles end by an anti-join on what was seen. Every round is cut
-    off from its plan, in the checkpoint folder when one is set, so plans stay short."""
+    edges go), breadth first, the root itself at depth 0. Cycles end by an anti-join on what was seen. Every
+    round is a checkpoint, so plans stay short and a lost executor costs one round."""
     seen = roots.select(*group, "root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
     front = seen
     keyed = edges.select(*group, F.col("parent").alias("node"), "child")
-    lasting = roots.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
     for d in count(1) if depth is None else range(1, depth + 1):
         reached = front.join(keyed, [*group, "node"]).select(*group, "root", F.col("child").alias("node")).distinct()
-        front = reached.join(seen, [*group, "root", "node"], "left_anti").withColumn("depth", F.lit(d))
-        front = front.checkpoint() if lasting else front.localCheckpoint()
+        front = cut(reached.join(seen, [*group, "root", "node"], "left_anti").withColumn("depth", F.lit(d)))
         if front.isEmpty():
             break
         seen = seen.unionByName(front)

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 FAILURE, REORGANISED, MERGED, BOUGHT = "fdic_assisted", "reorg", "merger", "ACQ"
 SCHEMA = "holding bigint, predecessor bigint, successor bigint, effective_to date, succession_type string, code string, pooled boolean"
 
@@ -86,11 +88,17 @@ def resolve(holdings: DataFrame, quarters: DataFrame, edges: DataFrame, events:
     """Predecessors of all holdings. holdings: holding, rssd; quarters: period; edges: parent, child,
     start, end (dates); events: predecessor, successor, date, code, pooled; entities: rssd,
     depository, failed, opened."""
+    ends = [pd.Timestamp(r[0]) for r in quarters.select("period").distinct().orderBy("period").collect()]
+    first = pd.Timestamp(floor)
+    # only what is alive or happens within the days asked can be met
+    if ends:
+        edges = edges.where((F.col("start").isNull() | (F.col("start") <= F.lit(max(ends).date()))) & (F.col("end").isNull() | (F.col("end") >= F.lit(min(ends[0], first).date()) - F.expr("interval 3 months"))))
+        events = events.where(F.col("date").between(F.lit(first.date()), F.lit(max(ends).date())))
     near = holdings.select("holding", F.col("rssd").alias("node")).distinct()
     links = edges.select(F.col("parent").alias("node"), F.col("child").alias("next")).unionByName(events.select(F.col("successor").alias("node"), F.col("predecessor").alias("next"))).distinct()
     front = near
-    for _ in range(hops):  # undated reach: whatever the dated walk can meet lies in it
-        front = front.join(links, "node").select("holding", F.col("next").alias("node")).distinct().join(near, ["holding", "node"], "left_anti").persist()
+    for _ in range(hops):  # whatever the dated walk can meet lies in this reach
+        front = cut(front.join(links, "node").select("holding", F.col("next").alias("node")).distinct().join(near, ["holding", "node"], "left_anti"))
         if front.isEmpty():
             break
         near = near.unionByName(front)
@@ -104,8 +112,6 @@ def resolve(holdings: DataFrame, quarters: DataFrame, edges: DataFrame, events:
     each = packed.pop("own")
     for part in packed.values():
         each = each.join(part, "holding", "left")
-    ends = [pd.Timestamp(r[0]) for r in quarters.select("period").distinct().orderBy("period").collect()]
-    first = pd.Timestamp(floor)
 
     def frame(rows, columns: list[str]) -> pd.DataFrame:
         return pd.DataFrame([{c: r[c] for c in columns} for r in (rows if rows is not None else [])], columns=columns)

@@ -62,3 +62,8 @@ def fill_from(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     r = right.withColumnsRenamed({c: f"_r_{c}" for c in shared})
     both = left.join(r, key, "full")
     return both.withColumns({c: F.coalesce(c, f"_r_{c}") for c in shared}).drop(*(f"_r_{c}" for c in shared)) if shared else both
+
+
+def first_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The first ``n`` rows in an order that leaves no ties: each task keeps ``n``, one merges them."""
+    return df.orderBy(*order).limit(n)

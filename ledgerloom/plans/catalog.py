@@ -311,7 +311,7 @@ def variant_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- graph, claims, rollups ----
 
-EDGES = f"SELECT o_custkey AS parent, o_orderkey AS child, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE {DAY} END AS start, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE {DAY} + 200 END AS ends FROM {{orders}} WHERE o_custkey % 10 = 0"
+EDGES = f"SELECT o_custkey AS parent, o_orderkey AS child, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE {DAY} END AS start, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE {DAY} + 200 END AS ends FROM {{orders}}"
 DAYS = f"SELECT DISTINCT last_day(make_date(year({DAY}), quarter({DAY}) * 3, 1)) AS period FROM {{orders}} WHERE {DAY} BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import measures, rules, text
-from ..operators import fill, graph, quality
+from ..operators import fill, quality
 from ..sources import discovery
 from ..sources import documents as docs
 from .catalog import DAY, PANEL, query, read
@@ -246,8 +246,8 @@ TITLES = f"""
 
 @query(f"SELECT k, CASE WHEN k % 6 <> 4 THEN y END AS year, CASE WHEN k % 6 <> 4 THEN q END AS quarter FROM ({TITLES}) t")
 def parse_quarter_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    year, quarter = text.document_quarter(F.col("title"))
-    return read(spark, sf_dir, TITLES).select("k", year.alias("year"), quarter.alias("quarter"))
+    out = read(spark, sf_dir, TITLES).select("k", text.document_quarter(F.col("title")).alias("at"))
+    return out.select("k", F.col("at.y").alias("year"), F.col("at.q").alias("quarter"))
 
 
 @query("SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 4 THEN NULL WHEN c_custkey % 5 = 0 THEN -CAST(c_custkey * 1000 AS DOUBLE) ELSE CAST(c_custkey * 1000 AS DOUBLE) END AS value FROM customer")
@@ -271,12 +271,6 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.flat_json(df, "props", "map<string,bigint>", ["name", "value"]).select("event_id", "value", "name")
 
 
-@query()
-def html_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's tables and headings; the pages hold no table, so captions alone come back."""
-    return docs.html_outline(read(spark, sf_dir, "SELECT page_id, html FROM {pages}"), "page_id", "html")
-
-
 # ---- stress, capital, discovery ----
 
 BALANCE = f"SELECT nation, period, total AS assets, urgent AS equity, CASE WHEN nation % 3 = 0 THEN high / 10 END AS goodwill, high / 100 AS acl_total, finished / 50 AS nonaccrual_total, CASE WHEN nation % 4 <> 0 THEN high / 50 END AS past_due_90, CASE WHEN nation % 5 = 0 THEN high END AS borrowings_other, high AS tier1_capital_basel1, CASE WHEN year(period) > 1997 THEN urgent END AS tier1_capital, total AS rwa, total AS rwa_basel1, total / 2 AS assets_average FROM ({PANEL}) p"
@@ -309,12 +303,6 @@ def document_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.one_per_slot(read(spark, sf_dir, SLOTS), ["bank"], ("feed", "page", "filing"))
 
 
-@query("SELECT c_custkey AS node, max(CAST(s AS BIGINT)) AS holder FROM customer, (SELECT 1 AS s) o WHERE c_custkey BETWEEN 1 AND 40 GROUP BY 1")
-def top_holders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = read(spark, sf_dir, "SELECT c_custkey DIV 2 AS parent, c_custkey AS child FROM {customer} WHERE c_custkey > 1")
-    return graph.top_holders(read(spark, sf_dir, "SELECT c_custkey AS node FROM {customer} WHERE c_custkey BETWEEN 1 AND 40"), edges)
-
-
 @query(f"SELECT nation, period, round(urgent + high, 2) AS top_two, round(coalesce(urgent, 0) + coalesce(high, 0) + coalesce(finished, 0), 2) AS all_three FROM ({PANEL}) p WHERE urgent IS NOT NULL AND high IS NOT NULL")
 def loan_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = read(spark, sf_dir, f"SELECT * FROM ({PANEL}) p WHERE urgent IS NOT NULL AND high IS NOT NULL")

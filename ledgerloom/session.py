@@ -7,9 +7,10 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_own: dict[str, str] = {}
 
 
 def session(name: str = "ledgerloom", **conf: str) -> SparkSession:
@@ -37,3 +38,25 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(str(path))
     _shipped.add(app)
     return spark
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session's ``spark.checkpoint.dir`` names it.
+    Where that is unset, a temporary folder of a local session; on a cluster there is no such thing."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
+    return _own[app]
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows from a checkpoint in the shared folder: what made them is not run again."""
+    spark = df.sparkSession
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+    return df.checkpoint()

@@ -32,9 +32,9 @@ def cached(paths: DataFrame, path: str = "path") -> DataFrame:
     """Add year, quarter, kind and format, as the file's name tells them; files that name no quarter
     or no known kind go."""
     name = F.element_at(F.split(path, "/"), -1)
-    year, quarter = document_quarter(name)
-    out = paths.withColumns({"year": year, "quarter": quarter, "kind": document_kind(name), "format": F.lower(F.element_at(F.split(name, r"\."), -1))})
-    return out.where(F.col("year").isNotNull() & F.col("kind").isNotNull())
+    out = paths.withColumn("_at", document_quarter(name))
+    out = out.withColumns({"year": F.col("_at.y"), "quarter": F.col("_at.q"), "kind": document_kind(name), "format": F.lower(F.element_at(F.split(name, r"\."), -1))})
+    return out.where(F.col("year").isNotNull() & F.col("kind").isNotNull()).drop("_at")
 
 
 def one_per_slot(found: DataFrame, slot: list[str], routes: tuple[str, ...], route: str = "origin", path: str = "path") -> DataFrame:
@@ -69,3 +69,10 @@ def shares(text: Column, section: str, fields: dict[str, str], boundary: str = r
     found = {k: F.regexp_extract(part, p, 1).try_cast("double") for k, p in fields.items()}
     total = sum(found.values(), F.lit(0.0))
     return F.when(total.between(*within), F.struct(*(v.alias(k) for k, v in found.items())))
+
+
+def manifest(docs: DataFrame) -> DataFrame:
+    """What the documents are: bank, quarter, doc_type, origin, ext, title (160 characters), path and
+    bytes, for a sink."""
+    quarter = F.concat(F.col("year").cast("string"), F.lit("Q"), F.col("quarter").cast("string"))
+    return docs.select("bank", quarter.alias("quarter"), F.col("kind").alias("doc_type"), "origin", F.col("format").alias("ext"), F.left("title", F.lit(160)).alias("title"), "path", "bytes")

@@ -24,10 +24,10 @@ def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", "content")
 
 
-def parsed(found: DataFrame, parse: Callable[[str, bytes], list[tuple]], schema: str, errors: bool = False) -> DataFrame:
-    """One row per tuple that ``parse(path, content)`` returns. A file that fails gives none, or
-    with ``errors`` one row that holds its path and the message in the last two columns, path and
-    error. Files come as single-row batches, so the largest decides the memory."""
+def parsed(found: DataFrame, parse: Callable[[str, bytes], list[tuple]], schema: str, errors: bool = True) -> DataFrame:
+    """One row per tuple that ``parse(path, content)`` returns, with its path and a null error. A file
+    that fails gives one row that holds its path and the message alone (see ``sound`` and
+    ``failures``); without ``errors`` it ends the job. The largest file decides the memory."""
     names = [c.split()[0].strip("`") for c in re.split(r",\s*(?![^<]*>)", schema)]
     full = schema + ", path string, error string" if errors else schema
 
@@ -37,13 +37,25 @@ def parsed(found: DataFrame, parse: Callable[[str, bytes], list[tuple]], schema:
                 try:
                     rows = [(*r, path, None) if errors else r for r in parse(path, bytes(content))]
                 except Exception as problem:  # a bad document must not end the job
-                    rows = [(*[None] * len(names), path, f"{type(problem).__name__}: {problem}")] if errors else []
+                    if not errors:
+                        raise ValueError(f"{path} cannot be read") from problem
+                    rows = [(*[None] * len(names), path, f"{type(problem).__name__}: {problem}")]
                 if rows:
                     yield pd.DataFrame(rows, columns=[*names, "path", "error"] if errors else names, dtype=object)
 
     return found.select("path", "content").mapInPandas(run, full)
 
 
+def sound(rows: DataFrame) -> DataFrame:
+    """The rows of documents that could be read, without path and error."""
+    return rows.where("error is null").drop("path", "error")
+
+
+def failures(rows: DataFrame) -> DataFrame:
+    """path and error of documents that could not be read."""
+    return rows.where("error is not null").select("path", "error")
+
+
 # ---- JSON ----
 
 
@@ -150,6 +162,7 @@ def instance_facts(path: str, content: bytes) -> list[tuple]:
 
 
 def instances(found: DataFrame) -> DataFrame:
+    """Facts, path and error of each document: a row per fact, or one that tells why there is none."""
     return parsed(found, instance_facts, FACT_SCHEMA)
 
 
@@ -194,9 +207,9 @@ def call_report(path: str, content: bytes, wanted: dict[str, set[str]] | None =
 
 
 def call_reports(found: DataFrame, wanted: dict[str, set[str]] | None = None) -> DataFrame:
-    """rssd, period, schedule, code, prefix, item, value; CONF and NR are null."""
+    """rssd, period, schedule, code, prefix, item, value (CONF and NR are null), path and error."""
     long = parsed(found, lambda p, c: call_report(p, c, wanted), LONG_SCHEMA)
-    return long.select("rssd", "period", "schedule", "code", F.left("code", F.lit(4)).alias("prefix"), F.substring("code", 5, 8).alias("item"), filed_value(F.col("raw")).alias("value"))
+    return long.select("rssd", "period", "schedule", "code", F.left("code", F.lit(4)).alias("prefix"), F.substring("code", 5, 8).alias("item"), filed_value(F.col("raw")).alias("value"), "path", "error")
 
 
 def roster(path: str, content: bytes) -> list[tuple]:
@@ -220,11 +233,40 @@ def roster(path: str, content: bytes) -> list[tuple]:
 
 
 def rosters(found: DataFrame) -> DataFrame:
+    """Filers of each zip, with path and error."""
     return parsed(found, roster, "rssd bigint, name string, form string, period date")
 
 
+def dictionary(path: str, content: bytes) -> list[tuple]:
+    """period, schedule, code and label: the second row of each schedule of a zip."""
+    import datetime as dt
+
+    out = []
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        for name in z.namelist():
+            if not (m := _NAME.search(name)):
+                continue
+            day = dt.datetime.strptime(m[2], "%m%d%Y").date()
+            with z.open(name) as raw:
+                rows = csv.reader(io.TextIOWrapper(raw, encoding="utf-8", errors="replace"), delimiter="\t")
+                codes, labels = next(rows, []), next(rows, [])
+                out += [(day, m[1], c.strip().strip('"'), t.strip()) for c, t in list(zip(codes, labels, strict=False))[1:] if c.strip() and t.strip()]
+    return out
+
+
+def dictionaries(found: DataFrame) -> DataFrame:
+    """What each code stands for, with path and error; ``latest_labels`` keeps one label per code."""
+    return parsed(found, dictionary, "period date, schedule string, code string, label string")
+
+
+def latest_labels(labels: DataFrame) -> DataFrame:
+    """schedule, code, label: the newest label, then the lesser one."""
+    return labels.groupBy("schedule", "code").agg(F.min_by("label", F.struct(-F.unix_date("period"), "label")).alias("label"))
+
+
 def zipped_csv(found: DataFrame, columns: list[str]) -> DataFrame:
-    """Named columns, as text, of the CSV files inside zips; a leading # in the header is dropped."""
+    """Named columns, as text, of the CSV files inside zips (a leading # in the header is dropped),
+    with path and error."""
 
     def parse(path: str, content: bytes) -> list[tuple]:
         out = []

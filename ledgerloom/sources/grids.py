@@ -171,3 +171,20 @@ def readings(outlines: DataFrame, key: str, tables: list[Table], grids: list[Gri
             yield pd.DataFrame(rows, columns=["doc", "caption", "variable", "label", "value", "scale", "confidence"])
 
     return outlines.mapInPandas(run, READING_SCHEMA)
+
+
+def line_readings(docs: DataFrame, key: str, text: str, rows: tuple[tuple[str, str], ...]) -> DataFrame:
+    """key, variable, label, value, scale of texts read line by line; a null text gives none."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [(k, *r) for k, t in zip(frame[key], frame[text], strict=True) for r in read_lines(t or "", rows)]
+            yield pd.DataFrame(found, columns=[key, "variable", "label", "value", "scale"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, text).mapInPandas(run, f"{key} {kind}, variable string, label string, value double, scale double")
+
+
+def grid_columns(specs: list[Grid]) -> list[str]:
+    """Every column that the grids may write, in order: what a panel may take from them."""
+    return list(dict.fromkeys(f"{stem}_{suffix}" for g in specs for stem in dict.fromkeys(s for _, s in g.columns) for suffix in dict.fromkeys(s for _, s in g.rows)))

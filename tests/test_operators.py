@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import measures, periods, rules, taxonomy, text
+from ledgerloom.functions import measures, members, periods, rules, taxonomy, text
 from ledgerloom.operators import fill, flows, graph, lineage, partition, quality, resolve, select
 from ledgerloom.plans import panels
 
@@ -88,7 +88,7 @@ def test_reported_beats_derived(spark):
 
 def test_partition_counts_no_rollup_beside_its_parts(spark):
     rows = [("a", "commercial_total", 60.0), ("a", "ci", 40.0), ("a", "lease", 20.0), ("b", "commercial_total", 60.0), ("b", "ci", 40.0)]
-    out = partition.partition_total(spark.createDataFrame(rows, "k string, c string, v double"), ["k"], "c", "v", rules.closure(spark, rules.LOAN_TREE), "total")
+    out = partition.partition_total(spark.createDataFrame(rows, "k string, c string, v double"), ["k"], "c", "v", rules.closure(spark, members.LOAN_TREE), "total")
     assert by(out, "k", "total") == {"a": 60.0, "b": 100.0}
 
 
@@ -202,8 +202,8 @@ def test_text_functions(spark):
     df = spark.createDataFrame([(c,) for c in cells], "c string")
     assert [r[0] for r in df.select(text.financial_number(F.col("c"))).collect()] == [-1234.5, 12, None, None, None, None, None, None, -1000, 7]
     titles = {"2Q26EarningsSupplement.pdf": (2026, 2), "The+Supplement_3Q2025_x": (2025, 3), "hban20260630_8kex992.htm": (2026, 2), "Second Quarter results, 2024": (2024, 2), "nothing": (None, None), "2023 Q4 deck": (2023, 4), "x20260731": (None, None)}
-    year, quarter = text.document_quarter(F.col("c"))
-    assert {r[0]: (r[1], r[2]) for r in spark.createDataFrame([(t,) for t in titles], "c string").select("c", year, quarter).collect()} == titles
+    at = text.document_quarter(F.col("c"))
+    assert {r[0]: (r[1], r[2]) for r in spark.createDataFrame([(t,) for t in titles], "c string").select("c", at["y"], at["q"]).collect()} == titles
     label, value = text.label_and_value(F.col("c"))
     lines = spark.createDataFrame([("Total loans (1) $ 96,723",), ("Share 12%",), ("47",)], "c string")
     assert [tuple(r) for r in lines.select(label, value).collect()] == [("Total loans", 96723.0), (None, None), (None, None)]
@@ -212,20 +212,64 @@ def test_text_functions(spark):
     assert one(spark.range(1).select(text.declared_scale(F.lit("Loans (in millions)")).alias("v"))) == 1e6
 
 
+# member, filer, class, scope
+MEMBERS = [
+    ("ConsumerExcludingCreditCardLoanPortfolioSegmentMember", None, "consumer_other", None), ("CreditCardReceivablesMember", None, "credit_card", None), ("CommercialRealEstateMember", None, "cre_total", None),
+    ("CommercialRealEstateConstructionMember", None, "construction", None), ("ConstructionLoansMember", None, "construction", None), ("HomeEquityLoanMember", None, "home_equity", None), ("ResidentialMortgageMember", None, "resi_mortgage", None),
+    ("CommercialAndIndustrialMember", None, "ci", None), ("CommercialPortfolioSegmentMember", None, "commercial_total", None), ("CapitalCallFinancingMember", None, "fund_finance", None),
+    ("CommercialRealEstateExcludingResidentialBuilderAndDeveloperAndOtherConstructionMember", None, "cre_total", None), ("OtherCommercialConstructionMember", None, "construction", None), ("CardmemberLoansMember", None, "credit_card", None),
+    ("MunicipalLoansMember", None, "municipal", None), ("FinanceLeasesFinancingReceivableMember", None, "lease", None), ("FinanceLeaseFinancingReceivableMember", None, "lease", None), ("LeaseFinancingsMember", None, "lease", None),
+    ("CommercialLeaseFinancingReceivableMember", None, "lease", None), ("FinanceLeasesPortfolioSegmentMember", None, "lease", None), ("DirectFinancingLeaseMember", None, "lease", None),
+    ("AllowanceForLoanAndLeaseLossesMember", None, None, None), ("InvestmentVehiclesAndLeveragedLeaseTrustsMember", None, None, None), ("LeaseAgreementsMember", None, None, None),
+    ("CommercialLoanAndLeaseFinancingLoanMember", None, "commercial_total", None), ("CommercialLoansAndLeasesMember", None, "commercial_total", None), ("OtherConsumerLoansAndLeasesMember", None, "consumer_other", None),
+    ("TotalLoansandLeasesMember", None, None, None), ("NonaccrualPortfolioLoansAndLeasesMember", None, None, None), ("LoansHeldForSaleMember", None, None, "held_for_sale"), ("Unknown", None, None, None), ("CommercialMortgageMember", None, "cre_investor", None),
+    ("PurchasedCreditImpairedMember", None, None, "purchased_credit_impaired"), ("PurchaseCreditImpairedLoansMember", None, None, "purchased_credit_impaired"), ("FinancingReceivableAcquiredWithDeterioratedCreditQualityMember", None, None, "purchased_credit_impaired"),
+    ("CoveredFinancingReceivableMember", None, None, "fdic_covered"), ("FdicSupportedLoansMember", None, None, "fdic_covered"), ("CollectivelyEvaluatedForImpairmentMember", None, None, "impairment_method"),
+    ("IndividuallyEvaluatedForImpairmentMember", None, None, "impairment_method"), ("AcquiredFinancingReceivableMember", None, None, "acquired_status"), ("NonAcquiredFinancingReceivableMember", None, None, "acquired_status"),
+    ("UnallocatedFinancingReceivablesMember", None, None, "allocation"), ("ImpairedFinancingReceivableWithRelatedAllowanceRecordedMember", None, None, "impaired"), ("NonperformingAssetsMember", None, None, "accrual_status"),
+    ("CreOtherExcludingCoveredMember", "TFC", "cre_total", None), ("CreResidentialAdcExcludingCoveredMember", "TFC", "construction", None), ("ResidentialRealEstateExcludingPurchasedCreditImpairedMember", "JPM", "resi_mortgage", None),
+    ("StudentLoansGovernmentGuaranteedMember", "WFC", "student", None), ("TotalCommercialMember", "RF", "commercial_total", None), ("TotalConsumerMember", "RF", "consumer_total", None),
+    ("TotalCommercialInvestorRealEstateConstructionMember", "RF", "construction", None), ("LoansExcludingCertainLoansAcquiredInTransferWithEvidenceOfCreditDeteriorationMember", "WFC", None, None),
+    ("EstimateOfFairValueFairValueDisclosureMember", None, None, "fair_value"), ("AccruingLoansMember", None, None, "accrual_status"), ("PersonalUnsecuredMember", None, "consumer_other", None),
+    ("CommercialLoanMember", "WFC", "ci", None), ("CommercialLoanMember", "KEY", "commercial_total", None), ("OtherLoansMember", "COF", "commercial_other", None), ("OtherLoansMember", None, "other", None),
+]
+# member, bucket, family
+GRADES = [
+    ("SpecialMentionMember", "special_mention", "regulatory"), ("SubstandardMember", "substandard", "regulatory"), ("CriticizedMember", "criticized", "regulatory"), ("CriticizedSubstandardMember", "criticized", "regulatory"),
+    ("InternalNoninvestmentGradeMember", "non_investment_grade", "internal_ig"), ("InternalInvestmentGradeMember", "investment_grade", "internal_ig"), ("FICOScoreGreaterThan740Member", "fico_prime", "fico"),
+    ("RefreshedFicoScoresLessThan660Member", "fico_subprime", "fico"), ("FicoScoreLessThan620Member", "fico_subprime", "fico"), ("PrimeMember", "fico_prime", "fico"), ("SubprimeMember", "fico_subprime", "fico"),
+    ("FICOScore660andAboveMember", "fico_prime", "fico"), ("FourToFiveInternalGradeMember", "internal_grade_mid", "internal_ladder"), ("PassMember", "pass", "regulatory"), ("PassDueMember", None, None), ("None", None, None),
+]
+BUCKETS = {
+    "FinancingReceivables30To59DaysPastDueMember": "dpd_30_59", "A3059dayspastdueMember": "dpd_30_59", "FinancialAsset30Through59DaysPastDueMember": "dpd_30_59", "FinancialAssetNotPastDueMember": "current", "CurrentMember": "current",
+    "NoncurrentMember": None, "Nonperforming": "nonperforming", "FinancialAssetEqualToOrGreaterThan90DaysPastDueMember": "dpd_90_plus", "FinancialAssetPastDueMember": "past_due_total", "LoansInForeclosureMember": "in_foreclosure", "X30to89Member": "dpd_30_89",
+}
+
+
 def test_taxonomy(spark):
-    want = {
-        "CommercialRealEstateExcludingResidentialBuilderAndDeveloperAndOtherConstructionMember": "cre_total", "ConstructionLoansMember": "construction", "ConsumerExcludingCreditCardMember": "consumer_other",
-        "CreditCardReceivablesMember": "credit_card", "CommercialLeaseFinancingReceivableMember": "lease", "CommercialLoanAndLeaseFinancingLoanMember": "commercial_total", "LoansHeldForSaleMember": None,
-        "TotalCommercialMember": "commercial_total", "Unknown": None, "CommercialMortgageMember": "cre_investor", "ResidentialMortgageMember": "resi_mortgage",
-    }
-    df = spark.createDataFrame([(m,) for m in want], "m string")
-    assert by(df.select("m", taxonomy.loan_category(F.col("m")).alias("v")), "m", "v") == want
-    buckets = {"FinancingReceivables30To59DaysPastDueMember": "dpd_30_59", "FinancialAssetNotPastDueMember": "current", "Nonperforming": "nonperforming"}
-    assert by(spark.createDataFrame([(m,) for m in buckets], "m string").select("m", taxonomy.past_due(F.col("m")).alias("v")), "m", "v") == buckets
+    df = spark.createDataFrame([m[:2] for m in MEMBERS], "m string, t string")
+    got = df.select("m", "t", taxonomy.loan_category(F.col("m"), F.col("t")), taxonomy.scope_of(F.col("m"))).collect()
+    assert [tuple(r) for r in got] == MEMBERS
+    df = spark.createDataFrame([(m,) for m, *_ in GRADES], "m string").select("m", taxonomy.credit_quality(F.col("m")).alias("b"))
+    assert [tuple(r) for r in df.select("m", "b", taxonomy.credit_quality_family(F.col("b"))).collect()] == GRADES
+    assert by(spark.createDataFrame([(m,) for m in BUCKETS], "m string").select("m", taxonomy.past_due(F.col("m")).alias("v")), "m", "v") == BUCKETS
     kinds = {"2Q26_Supplement.pdf": "supplement", "Annual Report 2024": None, "Earnings Call slides": "presentation", "Q1 results": "release"}
     assert by(spark.createDataFrame([(m,) for m in kinds], "m string").select("m", taxonomy.document_kind(F.col("m")).alias("v")), "m", "v") == kinds
 
 
+def test_attached_categories(spark):
+    rows = [
+        ("WFC", Q[0], True, "Loans", None, "ResidentialMortgageMember", None, None, None), ("WFC", Q[0], True, "Loans", None, "FirstMortgageMember", None, None, None), ("WFC", Q[1], True, "Loans", None, "ResidentialMortgageMember", None, None, None),
+        ("WFC", Q[0], False, "ChargeOffs", None, "ResidentialMortgageMember", None, None, None), ("BAC", Q[0], True, "Loans", "CommercialPortfolioSegmentMember", None, None, None, "BasisAxis=NotionalOrContractAmountMember;X=Y"),
+        ("BAC", Q[0], True, "PastDue30", "ConsumerPortfolioSegmentMember", "", "SubstandardMember", None, ""), ("BAC", Q[0], True, "PastDue30", None, None, None, "A6089", None),
+    ]
+    facts = spark.createDataFrame(rows, "ticker string, period date, instant boolean, tag string, segment string, loan_class string, credit_quality string, past_due string, other_dims string")
+    out = taxonomy.attach_categories(facts.withColumn("i", F.monotonically_increasing_id()), by_tag={"PastDue30": "dpd_30_89"}).orderBy("i")
+    assert [tuple(r) for r in out.select("loan_cat", "scope", "cq_cat", "pd_cat").collect()] == [
+        (None, "rollup", None, None), ("resi_mortgage", None, None, None), ("resi_mortgage", None, None, None), ("resi_mortgage", None, None, None), (None, "notional", None, None), ("consumer_total", None, "substandard", "dpd_30_89"), (None, None, None, "dpd_60_89"),
+    ]
+
+
 def test_periods(spark):
     df = spark.createDataFrame([("20240229",), ("99991231",), ("0",), ("",), (None,), ("20241301",)], "s string")
     assert [r[0] for r in df.select(periods.stamp_to_date(F.col("s"))).collect()] == [D(2024, 2, 29), None, None, None, None, None]
@@ -244,7 +288,7 @@ def test_facts_panel(spark):
     rows = [fact("Loans", 1000.0), fact("Loans", 300.0, "CreditCardMember", "cls"), fact("Loans", 300.0, "CreditCardAliasMember", "cls"), fact("Loans", 600.0, "CommercialAndIndustrialMember", "cls")]
     rows += [fact("ChargeOffs", 10.0, start=year), fact("ChargeOffs", 25.0, start=year, end=Q[1]), fact("Acl", 9.0, "CreditCardMember", "cls"), fact("Loans", 1100.0, end=Q[1])]
     facts = taxonomy.attach_categories(spark.createDataFrame(rows, FACT))
-    variables = [panels.Variable("loans", ("Loans",), by_loan=True), panels.Variable("nco", ("ChargeOffs",), flow=True), panels.Variable("acl", ("Acl",), by_loan=True)]
+    variables = [panels.Variable("loans", ("Loans",), by_loan=True), panels.Variable("nco", ("ChargeOffs",), flow=True, by_loan=True), panels.Variable("acl", ("Acl",), by_loan=True)]
     columns = ["loans_total", "loans_credit_card", "loans_ci", "nco_total", "acl_total"]
     out = {r["quarter"]: r for r in panels.facts_panel(facts, variables, columns, {"nco_rate": ("nco_total", "loans_total", True)}, ["loans_total"]).collect()}
     assert [out["2024Q1"][c] for c in columns] == [1000, 300, 600, 10, 9] and out["2024Q1"]["nco_rate"] == 4.0

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from ledgerloom.plans import catalog, reports  # noqa: F401
+from ledgerloom.plans import builds, catalog, filings, reports  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

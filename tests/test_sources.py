@@ -36,16 +36,21 @@ def test_call_reports(spark, tmp_path):
     (tmp_path / "broken.zip").write_bytes(b"no zip")
     found = documents.files(spark, str(tmp_path))
     long = documents.call_reports(found, {"RC": {"RCFD2170", "RCON2170"}, "RCN": {"RCON1403"}})
+    failed = documents.failures(long).collect()
+    assert len(failed) == 1 and failed[0]["path"].endswith("broken.zip") and "BadZipFile" in failed[0]["error"]
+    labels = documents.latest_labels(documents.sound(documents.dictionaries(found))).collect()
+    assert sorted(map(tuple, labels)) == [("RC", "RCFD2170", "Total assets"), ("RC", "RCON2170", "Total assets"), ("RC", "RCON9999", "Other"), ("RCN", "RCON1403", "Nonaccrual")]
+    with pytest.raises(Exception, match="cannot be read"):
+        documents.parsed(found, documents.call_report, documents.LONG_SCHEMA, errors=False).collect()
     assert sorted((r["rssd"], r["schedule"], r["prefix"], r["item"], r["value"]) for r in long.where("value is not null").collect()) == [(37, "RC", "RCON", "2170", 100.0), (37, "RCN", "RCON", "1403", 3.0)]
-    assert long.where("rssd = 38").count() == 2 and long.first()["period"] == D(2024, 3, 31)
-    assert [tuple(r) for r in documents.rosters(found).collect()] == [(37, "FIRST BANK", "041", D(2024, 3, 31))]
-    errors = documents.parsed(found, documents.call_report, documents.LONG_SCHEMA, errors=True).where("error is not null").collect()
-    assert len(errors) == 1 and errors[0]["path"].endswith("broken.zip") and "BadZipFile" in errors[0]["error"]
+    assert long.where("rssd = 38").count() == 2 and long.where("rssd = 38").first()["period"] == D(2024, 3, 31)
+    long = documents.sound(long)
+    assert [tuple(r) for r in documents.sound(documents.rosters(found)).collect()] == [(37, "FIRST BANK", "041", D(2024, 3, 31))]
 
 
 def test_zipped_csv(spark, tmp_path):
     (tmp_path / "e.zip").write_bytes(zipped({"e.csv": "#ID_RSSD,NM\n1,A\n2,B\n"}))
-    assert sorted(map(tuple, documents.zipped_csv(documents.files(spark, str(tmp_path)), ["ID_RSSD", "NM"]).collect())) == [("1", "A"), ("2", "B")]
+    assert sorted(map(tuple, documents.sound(documents.zipped_csv(documents.files(spark, str(tmp_path)), ["ID_RSSD", "NM"])).collect())) == [("1", "A"), ("2", "B")]
 
 
 INSTANCE = b"""<?xml version="1.0"?><xbrl xmlns="http://www.xbrl.org/2003/instance" xmlns:g="http://fasb.org/us-gaap/2024" xmlns:xbrldi="http://xbrl.org/2006/xbrldi" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance">
