@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 _HELD: dict[str, tuple[SparkSession, str]] = {}
 
 
@@ -27,14 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """This application's folder below ``spark.checkpoint.dir``, the one place that driver and
-    executors share. A temporary folder stands in only where that setting is absent (tests)."""
+    """This application's folder below the one place that driver and executors share."""
     app = spark.sparkContext.applicationId
     if app not in _HELD:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
-        _HELD[app] = (spark, f"{root.rstrip('/')}/ledgerloom-{app}")
+        _HELD[app] = (spark, f"{checkpoint_dir(spark)}/ledgerloom-{app}")
     return _HELD[app][1]
 
 
@@ -67,10 +64,42 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(parts))
 
 
+def bounded_texts(docs: DataFrame, ids: list[tuple], extra: str, room: Callable[[tuple], str], chars: dict[str, int]) -> list[tuple]:
+    """(text, *id and what came with it) of the ids, one text per id: of rows that repeat an id, the
+    one whose text has the least hash. ``ids``: (doc_id, ...) in order of preference, ``extra``: the
+    further columns' types; ``room`` names the purse that a row draws on, ``chars`` how many characters
+    each holds. A text that does not fit is passed over, so no more than that reaches the driver."""
+    if not ids:
+        return []
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", whole().alias("_t")).withColumn("_h", F.xxhash64("_t"))
+    names = f"doc_id {kind}" + (f", {extra}" if extra else "")
+    chosen = F.broadcast(spark.createDataFrame(ids, names))
+    found = rows.join(chosen.select("doc_id"), "doc_id").groupBy("doc_id").agg(F.min(F.struct("_h", F.length("_t").alias("n"))).alias("s"))
+    sizes = {r["doc_id"]: (r["s"]["_h"], r["s"]["n"]) for r in found.collect()}
+    left, fits = dict(chars), []
+    for r in ids:
+        if r[0] in sizes and sizes[r[0]][1] <= left[room(r)]:
+            left[room(r)] -= sizes[r[0]][1]
+            fits.append((r[0], sizes[r[0]][0]))
+    if not fits:
+        return []
+    keys = F.broadcast(spark.createDataFrame(fits, f"doc_id {kind}, _h bigint"))
+    texts = dict(rows.join(keys, ["doc_id", "_h"]).select("doc_id", "_t").dropDuplicates(["doc_id"]).collect())
+    return [(texts[r[0]], *r) for r in ids if r[0] in texts]
+
+
 def width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """The finaliser of the splitmix generator: 64 bits to 64 bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def per_block(
     fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
     weight: str = "text",

@@ -1,4 +1,4 @@
-"""Document fingerprints by randomised edit embedding.
+"""Document fingerprints by randomised edit embedding, and classes of texts that differ by few edits.
 
 A walk reads a text from its start. At step j it stands on a character c, and a random bit shared
 by all texts, fixed by (j, c), says whether it moves on. The characters it stands on, step by step,
@@ -9,20 +9,35 @@ its successor; a step past the end is a pad. Likeness is the share of equal samp
 the steps a sample stands for, less what chance gives.
 
 All texts of a block walk together; those at their end drop out.
+
+Classes. A walk over a whole text loses its step where edits are many, so banding rests on short
+walks: one of ``WINDOW`` steps from every place whose next three characters hash to it (one in
+``EVERY``), sampled at ``SAMPLES`` of its steps. Edits elsewhere leave a window's samples as they are,
+wherever it lies. Of each of ``BANDS * PER_BAND`` hash functions a register keeps the least window;
+``PER_BAND`` registers make a band key. Texts that share a key and enough registers are verified by
+their edit distance, and classes are the components (``near``). Two texts are alike if their distance
+is at most ``1 - LEAST`` of the longer one's length. Texts of more than ``LONG`` characters are aligned
+along the windows that occur once in either, and the distances in between are added up: that is an
+upper bound, so what it calls alike is alike.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from ._common import components, linked_in_blocks, per_block, rows_to_meet, staged, whole, width
+from ._common import mix, per_block, staged, whole, width
+from .near import Rule, classes, maybe_in
 
 FIRST, PERIOD, PAD, SEED = 64, 4096, 16, 20
 _HEX = np.frombuffer(b"0123456789abcdef-", np.uint8)
@@ -121,95 +136,75 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - m] + following[:m]
 
 
-def _in_order(docs: DataFrame) -> DataFrame:
-    """Rows dealt by ranges of doc_id and sorted; after each range's rows the first of the next
-    range (of the first range, after the last), marked as guest. Null ids come first; rows of one
-    id are in the order of their texts' hashes."""
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", whole().alias("_text"), F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))).alias("_k"))
-    parts = width(spark)
-    cuts = rows.agg(F.percentile_approx("_k", [i / parts for i in range(1, parts)] or [0.5], 20_000)).first()[0] or []
-    splits = [-float("inf"), *sorted({c for c in cuts if abs(c) != float("inf")}), float("inf")]
-    if len(splits) < 3:
-        rows = rows.withColumn("_part", F.lit(0))
-    else:
-        rows = Bucketizer(splits=splits, inputCol="_k", outputCol="_part", handleInvalid="keep").transform(rows).withColumn("_part", F.col("_part").cast("int"))
-    least = sorted((r[0], r[1]) for r in rows.groupBy("_part").agg(F.min("_k")).collect())
-    guest = F.lit(None).cast("int")
-    for i, (_, k) in enumerate(least):
-        guest = F.when(F.col("_k") == F.lit(k), least[i - 1][0]).otherwise(guest)
-    both = F.array(F.struct(F.col("_part").alias("p"), F.lit(0).alias("g")), F.struct(guest.alias("p"), F.lit(1).alias("g")))
-    dealt = rows.withColumn("_at", F.explode(F.filter(both, lambda x: x.p.isNotNull())))
-    dealt = dealt.select("doc_id", "_text", "_k", F.col("_at.p").alias("_part"), F.col("_at.g").alias("_guest"))
-    return dealt.repartitionById(max(1, len(splits) - 1), F.col("_part")).sortWithinPartitions("_guest", "_k", F.xxhash64("_text"))
-
-
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
-
-    Null text is empty (its fingerprint is the empty string); a lone document is its own next."""
+WINDOW, EVERY, SAMPLES, BANDS, PER_BAND = 32, 16, 10, 18, 3
+REGISTERS = BANDS * PER_BAND
+#: Registers that a pair has in common at least: two alike texts share 0.4 of their windows and more
+#: unless their edits are spread evenly, which makes 21 of 54.
+LEAST_AGREE, LEAST, GRAM, LONG = 10, 0.9, 5, 20_000
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
 
-    def run(batches):
-        held = None  # the last row seen, waiting for its next
-        for batch in batches:
-            for part in per_block(lambda b: b, "_text")([batch]):
-                ids, texts, guests = (part.column(c).to_pylist() for c in ("doc_id", "_text", "_guest"))
-                if held is not None and not held[2]:
-                    ids, texts, guests = [held[0], *ids], [held[1], *texts], [held[2], *guests]
-                elif held is not None:
-                    return  # guests after the first are not needed
-                held = (ids[-1], texts[-1], guests[-1])
-                n = next((i for i, g in enumerate(guests) if g), len(ids) - 1)
-                if n:
-                    yield block(ids, texts, n)
-                if n < len(ids) - 1:
-                    held = (None, "", 1)
-                    break
 
-    def block(ids: list, texts: list[str], n: int) -> pa.RecordBatch:
-        changed = [edited(a, b) for a, b in zip(texts[:n], texts[1 : n + 1], strict=True)]
-        both = embed(texts[: n + 1] + changed)
-        own, after, new = both[:n], both[1 : n + 1], both[n + 1 :]
-        cols = [
-            pa.array(ids[:n], kind),
-            pa.array([len(t) for t in texts[:n]], pa.int64()),
-            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed]),
-            pa.array(as_strings(own), pa.string()),
-            pa.array(as_strings(new), pa.string()),
-            pa.array(likeness(own, new)),
-            pa.array(likeness(own, after)),
-        ]
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-
-    kind = {"bigint": pa.int64(), "int": pa.int32()}[docs.schema["doc_id"].dataType.simpleString()]
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return _in_order(docs).select("doc_id", "_text", "_guest").mapInArrow(run, schema)
-
-
-BANDS, PER_BAND = 40, 6
+@cache
+def _sampled() -> frozenset[int]:
+    return frozenset(np.random.default_rng([SEED, WINDOW]).choice(WINDOW, SAMPLES, replace=False).tolist())
 
 
-def band_keys(samples: np.ndarray) -> list[list[int]]:
-    """Per text the hashed keys of BANDS bands of PER_BAND sampled places each; the places of a
-    band are drawn among the samples before the text's end, octave by octave, so a band only meets
-    texts that reach as far."""
-    out: list[list[int]] = []
-    for row in samples:
-        n = int((row != PAD).sum())
-        top = max(1, n // FIRST)
-        keys = set()
-        for reach in {top, max(1, top - 1)}:
-            for b in range(BANDS):
-                rng = np.random.default_rng([SEED, reach, b])
-                places = rng.choice(max(PER_BAND, reach * FIRST), PER_BAND, replace=False)
-                code = row[places[places < len(row)]]
-                keys.add(int.from_bytes(hashlib.blake2b(bytes([b, reach]) + code.tobytes(), digest_size=7).digest(), "little"))
-        out.append(sorted(keys))
-    return out
+def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, start, samples hashed) of every window, texts in order; an empty text has none."""
+    chars = np.frombuffer("\0".join([*texts, "", ""]).encode("utf-32-le"), "<u4").astype(np.uint64)
+    lengths = np.array([len(t) for t in texts], np.int64)
+    first = np.r_[0, np.cumsum(lengths + 1)][:-1]
+    kind = ((chars * np.uint64(2654435761) >> np.uint64(16)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    kind[first + lengths] = 0
+    two = mix(chars * np.uint64(0x85EBCA6B) + np.roll(chars, -1) * _GOLD)
+    three = mix(two + np.roll(chars, -2))
+    start = (three & np.uint64(EVERY - 1)) == 0
+    start[first[lengths > 0]] = True
+    start &= kind != 0
+    start[len(chars) - 1 :] = False
+    begin = np.flatnonzero(start)
+    at, key, bits = begin.copy(), np.zeros(len(begin), np.uint64), _bits()
+    for j in range(WINDOW):
+        c = kind[at]
+        if j in _sampled():
+            key = mix(key ^ np.where(c > 0, two[at], 0))
+        at += bits[j][c]
+    owner = np.searchsorted(first, begin, side="right") - 1
+    return owner, begin - first[owner], key
+
+
+def registers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(texts x REGISTERS least windows, whether a text has any)."""
+    owner, _, key = windows(texts)
+    out = np.zeros((len(texts), REGISTERS), np.uint64)
+    some, begin = np.unique(owner, return_index=True)
+    for r in range(REGISTERS if len(some) else 0):
+        out[some, r] = np.minimum.reduceat(mix(key + np.uint64((r + 1) * int(_GOLD) % 2**64)), begin)
+    has = np.zeros(len(texts), bool)
+    has[some] = True
+    return out, has
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    key = np.zeros((len(least), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD
+    for k in range(PER_BAND):
+        key = mix(key ^ least[:, k::PER_BAND])
+    return key.view(np.int64)
 
 
 def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance by bit vectors as long as the shorter text."""
+    """Levenshtein distance by bit vectors as long as the shorter text, without what both begin and
+    end with."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    a, b = a[low:], b[low:]
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[len(a) - mid : len(a) - low] == b[len(b) - mid : len(b) - low] else (low, mid - 1)
+    a, b = a[: len(a) - low], b[: len(b) - low]
     if len(a) > len(b):
         a, b = b, a
     if not a:
@@ -229,43 +224,214 @@ def edit_distance(a: str, b: str) -> int:
     return score
 
 
-def near_classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """doc_id, class_id (the least id of the class): texts whose edit distance is at most
-    ``1 - least`` of the longer length, linked through bit-sampled bands and verified exactly.
-    Equal texts are one node; within a band's key the text with the least hash, another for each
-    band, is compared with the others, and then all pairs of different components are, so every
-    pair that shares a key is compared or in one class. A pair whose edits part the walks may share
-    no key and is not met. Rows without a partner are their own class."""
+def aligned_distance(a: str, b: str) -> int:
+    """An upper bound on the edit distance: the windows that occur once in either text, as many as
+    keep one order, stay where they are; between them distances are exact."""
+    owner, start, key = windows([a, b])
+    once = []
+    for k in (0, 1):
+        keys, at, n = np.unique(key[owner == k], return_index=True, return_counts=True)
+        once.append(dict(zip(keys[n == 1].tolist(), start[owner == k][at[n == 1]].tolist(), strict=True)))
+    pairs = sorted((p, once[1][k]) for k, p in once[0].items() if k in once[1])
+    tails, ends, back = [], [], [-1] * len(pairs)  # the longest run that rises in both texts
+    for i, (_, q) in enumerate(pairs):
+        k = bisect_left(tails, q)
+        tails[k : k + 1], ends[k : k + 1] = [q], [i]
+        back[i] = ends[k - 1] if k else -1
+    i, chain = (ends[-1] if ends else -1), []
+    while i >= 0:
+        chain.append(pairs[i])
+        i = back[i]
+    total, x, y = 0, 0, 0
+    for p, q in [*chain[::-1], (len(a), len(b))]:
+        total += edit_distance(a[x:p], b[y:q])
+        x, y = p, q
+    return total
+
+
+class Edits:
+    """Texts as compressed bytes, and which of them are alike to one of them."""
+
+    def __init__(self, packed: pa.Array):
+        self.texts = [_unpacked(x) for x in packed.to_pylist()]
+        n = np.array([max(0, len(t) - GRAM + 1) for t in self.texts], np.int64)
+        flat = np.frombuffer("".join(t + "\0" * GRAM for t in self.texts).encode("utf-32-le"), "<u4").astype(np.uint64)
+        code = np.zeros(len(flat), np.uint64)
+        for k in range(GRAM):
+            code = code * _GOLD + np.roll(flat, -k)
+        first = np.r_[0, np.cumsum([len(t) + GRAM for t in self.texts])][:-1].astype(np.int64)
+        at = np.repeat(first - np.r_[0, np.cumsum(n)][:-1], n) + np.arange(int(n.sum()))
+        owner, code = np.repeat(np.arange(len(n)), n), mix(code[at])
+        order = np.lexsort((code, owner))
+        owner, code = owner[order], code[order]
+        new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])]) if len(owner) else np.empty(0, np.int64)
+        self.code, self.count = code[new], np.diff(np.r_[new, len(owner)])
+        self.at = np.searchsorted(owner[new], np.arange(len(n) + 1))
+
+    def alike(self, i: int, others: np.ndarray) -> np.ndarray:
+        """An edit spoils at most GRAM of the grams that two texts share, so most pairs need no distance."""
+        out = np.zeros(len(others), bool)
+        mine, many = self.code[self.at[i] : self.at[i + 1]], self.count[self.at[i] : self.at[i + 1]]
+        for k, j in enumerate(others.tolist()):
+            a, b = self.texts[i], self.texts[j]
+            longer = max(len(a), len(b))
+            most = int((1 - LEAST) * longer + 1e-9)
+            if longer - min(len(a), len(b)) > most:
+                continue
+            code, count = self.code[self.at[j] : self.at[j + 1]], self.count[self.at[j] : self.at[j + 1]]
+            if len(mine) and len(code):
+                place = np.minimum(np.searchsorted(mine, code), len(mine) - 1)
+                both = int(np.minimum(count, many[place])[mine[place] == code].sum())
+            else:
+                both = 0
+            if both >= longer - GRAM + 1 - GRAM * most:
+                out[k] = (aligned_distance if longer > LONG else edit_distance)(a, b) <= most
+        return out
+
+
+RULE = Rule(REGISTERS, LEAST_AGREE, Edits)
+
+
+def _unpacked(packed: bytes) -> str:
+    return zstandard.decompress(packed).decode() if packed else ""
+
+
+def sketch(docs: DataFrame) -> DataFrame:
+    """uid, key (doc_id), z (the text, compressed; null counts as empty), name, keys, sig and w, written
+    to the shared folder: texts move and are stored in no other form."""
+    kind = docs.schema["doc_id"]
+    schema = StructType([StructField("key", kind.dataType), StructField("z", BinaryType()), StructField("name", BinaryType()), StructField("keys", ArrayType(LongType())), StructField("sig", BinaryType()), StructField("w", IntegerType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys = band_keys(embed(batch.column("_text").to_pylist()))
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(keys, pa.list_(pa.int64()))], ["id", "keys"])
-
-    base = docs.select("doc_id", whole().alias("_text")).withColumn("h", F.sha2("_text", 256))
-    nodes = staged(base.groupBy("h").agg(F.any_value("_text").alias("_text")).withColumn("id", F.monotonically_increasing_id()), "texts")
-    keyed = nodes.select("id", "_text").mapInArrow(per_block(run, "_text"), "id bigint, keys array<bigint>")
-    keyed = staged(keyed.select("id", F.explode("keys").alias("g")), "bands")
-    keyed = keyed.join(keyed.groupBy("g").count().where("count > 1").select("g"), "g")
-    members = keyed.join(nodes.select("id", F.length("_text").alias("w")), "id").select("g", "id", F.col("id").alias("r"), "w")
-
-    def find(ids, roots, held, side):
-        order, of, look = rows_to_meet(roots)
-        texts, ids = held.column("t").combine_chunks().take(pa.array(order)).to_pylist(), ids[order]
-        side = None if side is None else side[order]
-        a, b = [], []
-        for i in range(look):
-            for j in range(i + 1, len(ids)):
-                if of[i] != of[j] and (side is None or side[i] != side[j]) and alike(texts[i], texts[j]):
-                    a.append(ids[i]), b.append(ids[j])
-                    of[of == of[j]] = of[i]
-        return np.array(a, np.int64), np.array(b, np.int64)
-
-    def alike(p: str, q: str) -> bool:
-        longer = max(1, len(p), len(q))
-        return 1 - abs(len(p) - len(q)) / longer >= least and 1 - edit_distance(p, q) / longer >= least
-
-    roots = components(linked_in_blocks(members, nodes.select("id", F.col("_text").alias("t")), find, "links"))
-    of = nodes.select("h", "id").join(roots, nodes["id"] == roots["node"], "left").select("h", F.coalesce("root", "id").alias("root"))
-    found = base.select("doc_id", "h").join(of, "h")
-    first = found.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return found.join(first, "root").select("doc_id", "class_id")
+        texts = batch.column("t").to_pylist()
+        least, has = registers(texts)
+        lists = [k if ok else [] for k, ok in zip(band_keys(least).tolist(), has.tolist(), strict=True)]
+        raw = [t.encode() for t in texts]
+        pack = zstandard.ZstdCompressor(level=3)
+        cols = [
+            batch.column("key"),
+            pa.array([pack.compress(t) if t else b"" for t in raw], pa.binary()),
+            pa.array([hashlib.md5(t).digest() for t in raw], pa.binary()),
+            pa.array(lists, pa.list_(pa.int64())),
+            pa.array([r.tobytes() for r in (mix(least) >> np.uint64(56)).astype(np.uint8)], pa.binary()),
+            pa.array([len(t) for t in texts], pa.int32()),
+        ]
+        return pa.RecordBatch.from_arrays(cols, ["key", "z", "name", "keys", "sig", "w"])
+
+    out = docs.select(F.col("doc_id").alias("key"), whole().alias("t")).mapInArrow(per_block(run, "t", 2_000_000), schema)
+    return staged(out.withColumn("uid", F.monotonically_increasing_id()), "sketches")
+
+
+def _classes(sketched: DataFrame) -> DataFrame:
+    """key, name, class_id of the rows whose class has several texts; class_id is its least key."""
+
+    def texts(asked: DataFrame) -> DataFrame:
+        some = sketched.where(maybe_in(asked.select("id"))(F.col("uid"))).select(F.col("uid").alias("id"), F.col("z").alias("t"))
+        return some.join(asked.select("id"), "id")
+
+    found = staged(sketched.select("uid", "key", "name").join(classes(sketched.drop("z"), texts, RULE), "uid").groupBy("root", "key", "name").agg(F.count("*").alias("n")), "members")
+    least = found.groupBy("root").agg(F.min("key").alias("class_id"), F.sum("n").alias("n")).where("n > 1")
+    return found.select("root", "key", "name").join(least.select("root", "class_id"), "root").select("key", "name", "class_id")
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id (the least id of the class), a row per row of ``docs``: equal texts, and texts
+    alike by edits that share a band key. Null texts are empty, null ids stay, an empty table gives no
+    rows. A text without a partner is its own class; of one id's texts each has its class."""
+    sketched = sketch(docs)
+    found = _classes(sketched).withColumnRenamed("key", "k").withColumnRenamed("name", "n")
+    met = sketched.select("key", "name").join(found, F.col("key").eqNullSafe(F.col("k")) & (F.col("name") == F.col("n")), "left")
+    return met.select(F.col("key").alias("doc_id"), F.when(F.col("n").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"))
+
+
+def _in_order(rows: DataFrame, found: DataFrame | None, chars: int = 64_000_000) -> DataFrame:
+    """Rows (key, z, name) dealt by ranges of the key and sorted; before each row what ``found`` (key,
+    name, class_id) says of its key; after each range's rows the first of the next range (of the first
+    range, after the last), marked as guest. Null keys come first; rows of one key are in the order of
+    their names. Keys are numbers or strings."""
+    spark, kind = rows.sparkSession, rows.schema["key"].dataType
+    number = not isinstance(kind, StringType)
+
+    def ranked(df: DataFrame) -> DataFrame:
+        own = F.coalesce(F.col("key").cast("double"), F.lit(float("-inf"))) if number else F.when(F.col("key").isNull(), "0").otherwise(F.concat(F.lit("1"), "key"))
+        return df.withColumn("k", own)
+
+    rows = ranked(rows.select("key", "z", "name", "w"))
+    parts = max(width(spark), -(-int(rows.agg(F.sum("w")).first()[0] or 0) // chars))
+    shares = [i / parts for i in range(1, parts)] or [0.5]
+    if number:
+        cuts = rows.agg(F.percentile_approx("k", shares, 20_000)).first()[0] or []
+        splits = [-float("inf"), *sorted({c for c in cuts if abs(c) != float("inf")}), float("inf")]
+        deal = (lambda df: Bucketizer(splits=splits, inputCol="k", outputCol="p", handleInvalid="keep").transform(df).withColumn("p", F.col("p").cast("int"))) if len(splits) > 2 else (lambda df: df.withColumn("p", F.lit(0)))
+    else:  # the ranges come of a sample by hash; which rows they hold does not depend on it
+        few = sorted((r[0] for r in rows.select("k").distinct().orderBy(F.xxhash64("k")).limit(20 * parts).collect()), key=str.encode)
+        splits = [few[len(few) * i // parts] for i in range(parts)][1:] if few else []
+        deal = lambda df: df.withColumn("p", F.size(F.filter(F.array(*map(F.lit, splits)).cast("array<string>"), lambda c: c <= F.col("k"))))
+    rows = deal(rows)
+    least = sorted((r[0], r[1]) for r in rows.groupBy("p").agg(F.min("k")).collect())
+    # as many as there are ranges
+    table = spark.createDataFrame([(k, least[i - 1][0]) for i, (_, k) in enumerate(least)], f"k {'double' if number else 'string'}, before int")
+    guest = rows.join(F.broadcast(table), "k", "left")
+    both = F.array(F.struct(F.col("p").alias("p"), F.lit(0).alias("g")), F.struct(F.col("before").alias("p"), F.lit(1).alias("g")))
+    dealt = guest.withColumn("at", F.explode(F.filter(both, lambda x: x.p.isNotNull())))
+    dealt = dealt.select("key", "k", "z", "name", F.col("at.p").alias("p"), F.col("at.g").alias("guest"), F.lit(None).cast(kind).alias("class_id"), F.lit(1).alias("row"))
+    if found is not None:
+        told = deal(ranked(found)).select("key", "k", F.lit(None).cast("binary").alias("z"), "name", "p", F.lit(0).alias("guest"), "class_id", F.lit(0).alias("row"))
+        dealt = dealt.unionByName(told)
+    return dealt.repartitionById(max(1, len(splits) + 1), F.col("p")).sortWithinPartitions("guest", "k", "key", "row", "name").select("key", "z", "name", "guest", "class_id", "row")
+
+
+def fingerprints(docs: DataFrame, near: bool = False) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and, if
+    ``near``, class_id (see ``near_classes``).
+
+    Null text is empty (its fingerprint is the empty string); a lone document is its own next; null ids
+    come first, rows of one id in the order of their texts' digests; an empty table gives no rows.
+    Other columns of ``docs``, whatever their names, are not looked at."""
+    kind = docs.schema["doc_id"]
+    sketched = sketch(docs)
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"] + ["class_id"] * near
+    schema = StructType([StructField("doc_id", kind.dataType), *StructType.fromDDL("n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double").fields] + [StructField("class_id", kind.dataType)] * near)
+
+    def run(batches):
+        held, told = None, {}  # the last row seen, waiting for its next; what is known of rows' classes
+        for whole_batch in batches:
+            for part in per_block(lambda b: b, "z", 1_500_000)([whole_batch]):
+                isrow = np.asarray(part.column("row")) == 1
+                for key, name, cls in zip(*(part.column(c).filter(pa.array(~isrow)).to_pylist() for c in ("key", "name", "class_id")), strict=True):
+                    told[key, name] = (cls,)
+                own = part.filter(pa.array(isrow))
+                ids, packed, guests, marks = (own.column(c).to_pylist() for c in ("key", "z", "guest", "name"))
+                texts = [_unpacked(x) for x in packed]
+                if held is not None and not held[2]:
+                    ids, texts, guests, marks = [held[0], *ids], [held[1], *texts], [held[2], *guests], [held[3], *marks]
+                elif held is not None:
+                    return  # guests after the first are not needed
+                if not ids:
+                    continue
+                held = (ids[-1], texts[-1], guests[-1], marks[-1])
+                n = next((i for i, g in enumerate(guests) if g), len(ids) - 1)
+                if n:
+                    yield block(ids, texts, n, [told.get((k, m), (k,))[0] for k, m in zip(ids[:n], marks[:n], strict=True)])
+                if n < len(ids) - 1:
+                    held = (None, "", 1, None)
+                    break
+
+    def block(ids: list, texts: list[str], n: int, found: list) -> pa.RecordBatch:
+        changed = [edited(a, b) for a, b in zip(texts[:n], texts[1 : n + 1], strict=True)]
+        both = embed(texts[: n + 1] + changed)
+        own, after, new = both[:n], both[1 : n + 1], both[n + 1 :]
+        cols = [
+            pa.array(ids[:n], arrow),
+            pa.array([len(t) for t in texts[:n]], pa.int64()),
+            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
+            pa.array(as_strings(own), pa.string()),
+            pa.array(as_strings(new), pa.string()),
+            pa.array(likeness(own, new)),
+            pa.array(likeness(own, after)),
+        ] + [pa.array(found, arrow)] * near
+        return pa.RecordBatch.from_arrays(cols, names)
+
+    arrow = to_arrow_type(kind.dataType)
+    rows = _in_order(sketched, _classes(sketched) if near else None)
+    return rows.mapInArrow(run, schema)

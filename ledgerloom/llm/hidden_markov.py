@@ -10,9 +10,12 @@ the word-within-shape factors.
 2. One pass turns each text into symbol numbers, written to the shared folder. At most
    ``FREQUENT`` words' counts go to the workers; of other words a text's occurrences meet the
    counts in a join, whose keys are rare by construction (and combined per text first).
-3. Baum-Welch: from a start fitted on a bounded sample, ``ROUNDS`` rounds over all training texts.
-   Each task sums its expected counts, groups of about the square root of the tasks add theirs up,
-   the driver adds up the groups' and re-estimates. Parameters have a fixed size.
+3. Baum-Welch: from a start fitted on a bounded sample (``START_SYMBOLS`` symbols of texts of at most
+   ``START_TEXT``, the lowest hashes of their symbols first), rounds over all training texts: at most
+   ``ROUNDS``, ``BARE_ROUNDS`` if there is no such sample, and none after one that raises the
+   likelihood by less than ``GAIN`` of it. Each task sums its expected counts, groups of about the
+   square root of the tasks add theirs up, the driver adds up the groups' and re-estimates.
+   Parameters have a fixed size.
 4. One pass runs the forward recursion over all texts.
 """
 
@@ -30,7 +33,8 @@ from pyspark.sql import functions as F
 from ._common import TimeMajor, lower_words, per_block, staged, whole
 
 STATES, OWN, FREQUENT, SHAPES = 8, 4096, 150_000, 64
-START_TEXTS, START_SYMBOLS, START_ROUNDS, ROUNDS = 600, 300_000, 20, 2
+START_TEXTS, START_TEXT, START_SYMBOLS, START_ROUNDS = 600, 15_000, 300_000, 20
+ROUNDS, BARE_ROUNDS, GAIN = 2, 8, 1e-4
 SEED = 7
 
 
@@ -148,6 +152,7 @@ class Chain:
     start: np.ndarray
     trans: np.ndarray
     emit: np.ndarray  # states x symbols
+    likelihood: float = 0.0  # of expected counts: the natural logarithm of what they were made of
 
 
 def _split(symbols: list[bytes]) -> tuple[np.ndarray, TimeMajor]:
@@ -190,7 +195,7 @@ def expected_counts(symbols: list[bytes], chain: Chain) -> Chain:
         beta[o[t] : o[t] + m] = msg @ chain.trans.T
     beta *= alpha
     emit = np.stack([np.bincount(flat, weights=beta[:, k], minlength=chain.emit.shape[1]) for k in range(len(chain.start))])
-    return Chain(beta[: n[0]].sum(0) if lay.steps else np.zeros_like(chain.start), pairs * chain.trans, emit)
+    return Chain(beta[: n[0]].sum(0) if lay.steps else np.zeros_like(chain.start), pairs * chain.trans, emit, float(np.log(scale).sum()))
 
 
 def maximise(counts: Chain, mass: np.ndarray) -> Chain:
@@ -219,26 +224,31 @@ def train(encoded: DataFrame, vocab: Vocabulary) -> Chain:
             mass[symbol] += n
     mass[vocab.own :] += vocab.shape_total[:, 0]
     mass = mass / mass.sum() * 50
-    rows = training.select("n_tokens", "uid").orderBy(F.xxhash64("uid")).limit(START_TEXTS).collect()
-    uids = [(r["uid"],) for r, total in zip(rows, np.cumsum([r["n_tokens"] for r in rows]), strict=True) if total <= START_SYMBOLS]
+    rows = training.where(F.col("n_tokens") <= START_TEXT).select("n_tokens", "uid", F.xxhash64("symbols").alias("h")).orderBy("h", "uid").limit(START_TEXTS).collect()
+    uids, room = [], START_SYMBOLS
+    for r in rows:
+        if r["n_tokens"] <= room:
+            uids.append((r["uid"],))
+            room -= r["n_tokens"]
     few = []
     if uids:
         ids = encoded.sparkSession.createDataFrame(uids, "uid long")
-        few = [bytes(r["symbols"]) for r in training.join(F.broadcast(ids), "uid").orderBy("uid").select("symbols").collect()]
+        few = sorted(bytes(r["symbols"]) for r in training.join(F.broadcast(ids), "uid").select("symbols").collect())
     chain = first_chain(few, size, mass)
-    names = ["start", "trans", "emit"]
+    names = ["start", "trans", "emit", "likelihood"]
 
     def blob(c: Chain) -> list[bytes]:
-        return [np.ascontiguousarray(x).tobytes() for x in (c.start, c.trans, c.emit)]
+        return [np.ascontiguousarray(x, float).tobytes() for x in (c.start, c.trans, c.emit, c.likelihood)]
 
     def add(a: Chain | None, b: Chain) -> Chain:
-        return b if a is None else Chain(a.start + b.start, a.trans + b.trans, a.emit + b.emit)
+        return b if a is None else Chain(a.start + b.start, a.trans + b.trans, a.emit + b.emit, a.likelihood + b.likelihood)
 
     def read(row) -> Chain:
-        return Chain(np.frombuffer(row["start"]), np.frombuffer(row["trans"]).reshape(STATES, STATES), np.frombuffer(row["emit"]).reshape(shape))
+        return Chain(np.frombuffer(row["start"]), np.frombuffer(row["trans"]).reshape(STATES, STATES), np.frombuffer(row["emit"]).reshape(shape), float(np.frombuffer(row["likelihood"])[0]))
 
     groups = max(1, int(training.rdd.getNumPartitions() ** 0.5))
-    for _ in range(ROUNDS):
+    before = -np.inf
+    for _ in range(ROUNDS if few else BARE_ROUNDS):
         now = chain
 
         def local(batches):
@@ -260,19 +270,23 @@ def train(encoded: DataFrame, vocab: Vocabulary) -> Chain:
                 total = add(total, read(row))
             return pd.DataFrame([blob(total)], columns=names)
 
-        sums = training.select("symbols").mapInArrow(local, "start binary, trans binary, emit binary")
-        merged = sums.groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("g")).applyInPandas(merge, "start binary, trans binary, emit binary")
+        sums = training.select("symbols").mapInArrow(local, "start binary, trans binary, emit binary, likelihood binary")
+        merged = sums.groupBy(F.pmod(F.spark_partition_id(), F.lit(groups)).alias("g")).applyInPandas(merge, "start binary, trans binary, emit binary, likelihood binary")
         total = None
         for row in merged.toLocalIterator():
             total = add(total, read(row))
         if total is None:
             break
         chain = maximise(total, mass)
+        if total.likelihood - before < GAIN * abs(total.likelihood):
+            break
+        before = total.likelihood
     return chain
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10). Other columns of
+    ``docs``, whatever their names, are not looked at; an empty table gives no rows.
 
     Null text is empty: one token, the end. Rows are told apart by where they are read, so repeated
     and null ids get rows of their own. With no training row every word is unknown, and the base

@@ -6,8 +6,8 @@
 3. Dual-feasible functions give each partition, and the whole, a lower bound on the bins. A
    partition that meets its bound with at most one bin not full is done; the others have gaps.
    While the whole is over its bound, the documents of bins that are not full are exchanged: dealt
-   anew among fewer partitions and packed again. A round that saves no bin is discarded and ends
-   the exchange, so none makes it worse.
+   anew among fewer partitions and packed again, as long as that saves bins; the round that saves
+   none is discarded and ends the exchange.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ from .byte_pairs import encode
 CAPACITY, END_ID = 2048, 0
 #: Pieces per partition that one best-fit run holds.
 GROUP = 8192
-ROUNDS = 6
 
 
 @cache
@@ -205,7 +204,7 @@ def _pack(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return pd.DataFrame({"uid": group["uid"], "length": lengths, "part": group["part"], "bin": bins, "offset": offset, "open": opened[bins], "certified": certified})
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = ROUNDS) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """items: uid long (unique), length long in 1..capacity. Returns uid, sequence_id, offset."""
 
     def deal(df: DataFrame, n: int, salt: int) -> DataFrame:
@@ -228,9 +227,9 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds:
     for length, many in items.groupBy("length").count().collect():  # as many rows as there are lengths
         count[length] = many
     bound = bin_bound(np.empty(0), capacity, count)
-    for salt in range(1, rounds):
-        if not gaps or full + bins <= bound:
-            break
+    salt = 0
+    while gaps and full + bins > bound:
+        salt += 1
         again = deal(now.where("open"), n, salt)
         made = again.select("part", "bin").distinct().count()
         if made >= bins:

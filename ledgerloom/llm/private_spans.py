@@ -5,9 +5,10 @@ written so that a long text costs time in proportion to its length: repeats are
 match may only begin where a run of its characters begins or where the last match ended, which
 changes no match.
 
-Bootstrapping: base spans are the seeds. Candidates are number groups of seven digits and more and
-words with an @ that no base span overlaps. Contexts (two words before; a word before and one
-after) are patterns, and patterns and the distinct strings met in them form a graph:
+Bootstrapping: base spans are the seeds. Candidates are number groups of 7 to 25 digits, and words of
+5 to 64 characters that hold a digit or an @ (without the signs around them), that no base span
+overlaps. Contexts (two words before; a word before and one after, whole words within ``REACH``
+characters) are patterns, and patterns and the distinct strings met in them form a graph:
 
 * a pattern's reliability is the confidence of its strings, summed, over their number plus one; it
   needs ``LEAST_SEEDS`` distinct confident strings;
@@ -36,7 +37,7 @@ PATTERNS = {
     # 12 to 19 digits that no further one precedes or follows with at most one sign between
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){11,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "context": r"(?<![\p{L}\p{N}_])[0-9](?:[\x20./()-]{0,2}+[0-9]){6,24}+(?![\p{L}\p{N}_])|(?<!\S)[^\s@]++@[^\s@]++(?!\S)",
+    "context": r"(?<![\p{L}\p{N}_])[0-9](?:[\x20./()-]{0,2}+[0-9]){6,24}+(?![\p{L}\p{N}_])|(?<![^\s(\[<\"':=])(?=\S{0,63}[0-9@])[\p{L}\p{N}#@+_][^\s\"'<>]{3,62}(?<=[\p{L}\p{N}])(?=[.,;:!?)\]>\"']{0,4}(?:\s|$))",
 }
 
 
@@ -97,29 +98,32 @@ def _placed(parts: Column, kind: int) -> Column:
     )
 
 
-def base_spans(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """_uid, the key, base (spans of the four kinds) and maybe (candidates), written out: what
-    follows never reads the texts again."""
+def base_spans(docs: DataFrame, key: Column) -> DataFrame:
+    """uid, key (whatever the caller wants to keep), base (spans of the four kinds) and maybe
+    (candidates), written out: what follows never reads the expressions' texts again."""
     span = "array<struct<start:int,kind:int,end:int,text:string,before:string,after:string>>"
-    df = docs.select(key, F.translate(whole(), _MARK, _SPARE).alias("_t"))
+    df = docs.select(key.alias("key"), F.translate(whole(), _MARK, _SPARE).alias("t"))
     needs = {"email": "@", "phone": "+"}
     marked = {
-        k: F.when(F.col("_t").contains(needs[k]), F.regexp_replace("_t", p, f"{_MARK}$0{_MARK}")) if k in needs else F.regexp_replace("_t", p, f"{_MARK}$0{_MARK}")
+        k: F.when(F.col("t").contains(needs[k]), F.regexp_replace("t", p, f"{_MARK}$0{_MARK}")) if k in needs else F.regexp_replace("t", p, f"{_MARK}$0{_MARK}")
         for k, p in PATTERNS.items()
     }
-    df = df.select(key, *(v.alias(f"_m_{k}") for k, v in marked.items()))
-    df = df.select(key, *(F.when(F.col(f"_m_{k}").contains(_MARK), F.split(f"_m_{k}", _MARK, -1)).alias(f"_p_{k}") for k in KINDS))
-    df = df.select(key, *(F.coalesce(F.when(F.col(f"_p_{k}").isNotNull(), _placed(F.col(f"_p_{k}"), i)), F.array().cast(span)).alias(k) for i, k in enumerate(KINDS)))
+    df = df.select("key", *(v.alias(f"m_{k}") for k, v in marked.items()))
+    df = df.select("key", *(F.when(F.col(f"m_{k}").contains(_MARK), F.split(f"m_{k}", _MARK, -1)).alias(f"p_{k}") for k in KINDS))
+    df = df.select("key", *(F.coalesce(F.when(F.col(f"p_{k}").isNotNull(), _placed(F.col(f"p_{k}"), i)), F.array().cast(span)).alias(k) for i, k in enumerate(KINDS)))
     kept = [F.filter(k, _passes(k)) for k in KINDS]
-    df = df.select(key, F.array_sort(F.concat(*kept[:4])).alias("base"), kept[4].alias("maybe"))
+    df = df.select("key", F.array_sort(F.concat(*kept[:4])).alias("base"), kept[4].alias("maybe"))
     clear = F.filter("maybe", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"])))
-    return staged(df.select(F.monotonically_increasing_id().alias("_uid"), key, "base", clear.alias("maybe")), "spans")
+    return staged(df.select(F.monotonically_increasing_id().alias("uid"), "key", "base", clear.alias("maybe")), "spans")
 
 
 def _contexts(span: Column) -> Column:
-    before, after = F.lower(span["before"]), F.lower(span["after"])
-    two = F.regexp_extract(before, r"(\S+\s+\S+)\s*$", 1)
-    left, right = F.regexp_extract(before, r"(\S+)\s*$", 1), F.regexp_extract(after, r"^\s*(\S+)", 1)
+    # a blank in front of a window that is not full: the text begins there, so its first word is whole
+    edge = lambda side: F.when(F.length(side) < REACH, F.lit(" ")).otherwise(F.lit(""))
+    before = F.concat(edge(span["before"]), F.lower(span["before"]))
+    after = F.concat(F.lower(span["after"]), edge(span["after"]))
+    two = F.regexp_extract(before, r"\s(\S+\s+\S+)\s*$", 1)
+    left, right = F.regexp_extract(before, r"\s(\S+)\s*$", 1), F.regexp_extract(after, r"^\s*(\S+)\s", 1)
     both = F.when((left != "") & (right != ""), F.concat(F.lit("LR:"), left, F.lit(" _ "), right))
     return F.filter(F.array(F.when(two != "", F.concat(F.lit("L:"), F.regexp_replace(two, r"\s+", " "))), both), lambda p: p.isNotNull())
 
@@ -147,22 +151,26 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _found(spans: DataFrame, key: str) -> DataFrame:
-    """key, base and found (base and added), arrays of start, kind, end in order, of each row."""
-    sure = discover(spans).where(F.col("confidence") >= LEAST_CONFIDENCE).select("text")
-    maybe = spans.select("_uid", F.explode("maybe").alias("s")).withColumn("text", F.col("s.text"))
+def _found(spans: DataFrame) -> DataFrame:
+    """key, base and found (base and added), arrays of start, kind, end in order, of each row. Rows
+    without a candidate pass through; the others meet what is added to them by their uid."""
     slim = "array<struct<start:int,kind:int,end:int>>"
-    added = maybe.join(sure, "text", "left_semi").groupBy("_uid").agg(F.collect_list(F.struct("s.start", "s.kind", "s.end")).alias("added"))
-    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).cast(slim)
-    both = spans.join(added, "_uid", "left").select(key, base.alias("base"), F.coalesce(F.col("added").cast(slim), F.array().cast(slim)).alias("added"))
-    return both.select(key, "base", F.array_sort(F.concat("base", "added")).alias("found"))
+    short = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).cast(slim)
+    open_ = spans.where(F.size("maybe") > 0)
+    sure = discover(spans).where(F.col("confidence") >= LEAST_CONFIDENCE).select("text")
+    maybe = open_.select("uid", F.explode("maybe").alias("s")).withColumn("text", F.col("s.text"))
+    added = maybe.join(sure, "text", "left_semi").groupBy("uid").agg(F.collect_list(F.struct("s.start", "s.kind", "s.end")).alias("added"))
+    # a merge join at every size: how many texts have a candidate is not bounded
+    both = open_.join(added.hint("merge"), "uid", "left").select("key", short.alias("base"), F.coalesce(F.col("added").cast(slim), F.array().cast(slim)).alias("added"))
+    met = both.select("key", "base", F.array_sort(F.concat("base", "added")).alias("found"))
+    return met.unionByName(spans.where(F.size("maybe") == 0).select("key", short.alias("base"), short.alias("found")))
 
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (text) and found (array of start,
     kind, end), a row per row of ``docs``. Offsets are code points, ends are exclusive. Null text is
     empty; a text without a span has an empty string (and its digest)."""
-    all_ = _found(base_spans(docs), "doc_id")
+    all_ = _found(base_spans(docs, F.col("doc_id"))).withColumnRenamed("key", "doc_id")
     count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
     return all_.select("doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(KINDS[:4])), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"), "found")
 
@@ -181,17 +189,14 @@ def _masked(text: Column, found: Column) -> Column:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The rows and columns of ``docs`` with personal data in text replaced by <KIND>, and n_chars,
-    where there is such a column, that of the new text. Spans meet texts by a digest of the text,
-    so only rows with a span travel; equal texts have equal spans. Null texts stay null."""
-    names = docs.columns
-    keyed = docs.withColumn("_digest", F.sha2(whole(), 256))
-    found = _found(base_spans(keyed.select("_digest", "text"), "_digest"), "_digest").where(F.size("found") > 0)
-    once = found.groupBy("_digest").agg(F.max("found").alias("_found"))
-    # a merge join at every size: how many texts have a span is not bounded
-    met = keyed.join(once.hint("merge"), "_digest", "left")
-    text = F.when(F.col("_found").isNull(), F.col("text")).otherwise(_masked(F.col("text"), F.col("_found")))
-    out = met.withColumn("text", text)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*names)
+    """The rows and columns of ``docs``, whatever their names, with personal data in text replaced by
+    <KIND>, and n_chars, where there is such a column, that of the new text. Rows are written once
+    beside their spans; only those with a candidate meet anything by a join. Null texts stay null."""
+    row = F.struct(*(F.col(f"`{c}`").alias(c) for c in docs.columns))
+    met = _found(base_spans(docs, row)).select("key", "found")
+    text = F.when(F.size("found") == 0, F.col("key")["text"]).otherwise(_masked(F.col("key")["text"], F.col("found")))
+    met = met.withColumn("text", text)
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.size("found") == 0, F.col("key")["n_chars"]).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    return met.select(*(new.get(c, F.col("key")[c]).alias(c) for c in docs.columns))

@@ -11,37 +11,23 @@ classes are the connected components of such pairs.
    arrival. All shingles of a block advance arrival by arrival, and a shingle ends as soon as its
    next arrival is later than all of its text's registers.
 2. Equal bags become one node. Banding: five registers to a band.
-3. Families: the members of a band's bucket are compared, by signature, with its most central member
-   (the one whose buckets hold the most texts), so a bucket of n costs n pairs. A pair whose
-   signatures agree in too few registers is no link (a pair of 0.8 passes but for one in a million).
-   Where some members do not agree with that one, all pairs that it has not settled are compared.
-   Texts connected by agreeing pairs are a family.
-4. Each text of a family is verified with the family's most central one.
-5. Within each family that is not one class yet, all pairs of different classes whose signatures
-   agree are verified, the most agreeing first; a pair that a link has meanwhile brought into one
-   class needs no look. So every pair that shares a bucket is verified, excluded by its signature,
-   or in one class.
-
-All pairs of a group are compared in blocks of bounded size, every two of which meet in one task. A
-meeting yields fewer links than it has rows, so nothing that is written grows with the square of a
-group.
+3. Buckets, families and exact verification as ``near`` has them. A pair whose signatures agree in
+   too few registers is no link (a pair of 0.8 passes but for one in a million).
 
 Verification is by the exact index over the whole texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from ._common import components, linked_in_blocks, lower_words, per_block, rows_to_meet, staged, whole, width
+from ._common import lower_words, mix, per_block, staged, whole
+from .near import Rule, classes, maybe_in
 
 SHINGLE, BANDS, PER_BAND = 5, 25, 5
 REGISTERS = BANDS * PER_BAND
@@ -50,19 +36,10 @@ LEAST_AGREE = 78
 LEAST = 0.8
 #: What the sum of an index may lack by rounding.
 ROUNDING = 1e-9
-#: Members that meet one copy of their family's central text.
-SHARE = 1000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """The finaliser of the splitmix generator: 64 bits to 64 bits."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, shingle hash, weight) of all texts, sorted by text and hash."""
     words = lower_words(texts)
@@ -78,7 +55,7 @@ def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         code = code * np.uint64(0xD6E8FEB86659FD93)
         inside = k < length
         code[inside] += hashed[np.minimum(np.arange(n) + k, n - 1)][inside] if n else 0
-    code = _mix(code + length.astype(np.uint64))
+    code = mix(code + length.astype(np.uint64))
     owner, code = owner[starts], code[starts]
     order = np.lexsort((code, owner))
     owner, code = owner[order], code[order]
@@ -100,13 +77,13 @@ def signatures(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, texts: i
     element, rate = code[live], weight[live]
     while len(element):
         step += 1
-        draw = _mix(element + np.uint64(step * int(_GOLD) % 2**64))
+        draw = mix(element + np.uint64(step * int(_GOLD) % 2**64))
         time = time - np.log(((draw >> np.uint64(11)).astype(float) + 0.5) / 2**53) / rate
         soon = time < latest[at]
         element, rate, at, time, draw = element[soon], rate[soon], at[soon], time[soon], draw[soon]
         if not len(element):
             break
-        register = at * registers + (_mix(draw ^ _GOLD) % np.uint64(registers)).astype(np.int64)
+        register = at * registers + (mix(draw ^ _GOLD) % np.uint64(registers)).astype(np.int64)
         np.minimum.at(early, register, time)
         won = early[register] == time
         held[register[won]] = element[won]
@@ -119,7 +96,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     """One key per band (texts x BANDS), the band's number mixed in."""
     key = np.zeros((len(sig), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD
     for k in range(PER_BAND):
-        key = _mix(key ^ sig[:, k::PER_BAND])
+        key = mix(key ^ sig[:, k::PER_BAND])
     return key.view(np.int64)
 
 
@@ -173,14 +150,15 @@ class Bags:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """All columns (doc_id, text and what ``parted`` adds), with _uid, _h (16 bytes that name the
-    bag), _keys (band keys; none for a text without words) and _sig (a byte per register); written to
-    the shared folder."""
-    names = docs.columns
-    schema = StructType([*docs.schema.fields, StructField("_h", BinaryType()), StructField("_keys", ArrayType(LongType())), StructField("_sig", BinaryType())])
+    """docs: text (t) and any other columns but these: uid, name (16 bytes that name the bag), keys
+    (band keys; none for a text without words), sig (a byte per register), w (characters); written to
+    the shared folder with all columns."""
+    own = docs.columns
+    schema = StructType([*docs.schema.fields, StructField("name", BinaryType()), StructField("keys", ArrayType(LongType())), StructField("sig", BinaryType()), StructField("w", IntegerType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, code, weight = bags(batch.column("_whole"))
+        texts = pa.compute.fill_null(batch.column("t"), "")
+        owner, code, weight = bags(texts)
         n = batch.num_rows
         at = np.searchsorted(owner, np.arange(n + 1))
         name = [xxhash.xxh3_128_digest(code[a:b].tobytes() + weight[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
@@ -188,181 +166,22 @@ def sketch(docs: DataFrame) -> DataFrame:
         keys = band_keys(sig)
         some = np.diff(at) > 0
         lists = [k if ok else [] for k, ok in zip(keys.tolist(), some.tolist(), strict=True)]
-        short = (_mix(sig) >> np.uint64(56)).astype(np.uint8)
-        cols = [*(batch.column(c) for c in names), pa.array(name, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array([r.tobytes() for r in short], pa.binary())]
-        return pa.RecordBatch.from_arrays(cols, [*names, "_h", "_keys", "_sig"])
+        short = (mix(sig) >> np.uint64(56)).astype(np.uint8)
+        cols = [*(batch.column(c) for c in own), pa.array(name, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array([r.tobytes() for r in short], pa.binary()), pa.compute.utf8_length(texts).cast(pa.int32())]
+        return pa.RecordBatch.from_arrays(cols, [*own, "name", "keys", "sig", "w"])
+
+    return staged(docs.mapInArrow(per_block(run, "t", 2_000_000), schema).withColumn("uid", F.monotonically_increasing_id()), "sketches")
+
+
+RULE = Rule(REGISTERS, LEAST_AGREE, Bags)
+
 
-    out = docs.withColumn("_whole", whole()).mapInArrow(per_block(run, "_whole", 2_000_000), schema)
-    return staged(out.withColumn("_uid", F.monotonically_increasing_id()), "sketches")
+def _classes(sketched: DataFrame) -> DataFrame:
+    def texts(asked: DataFrame) -> DataFrame:
+        some = sketched.where(maybe_in(asked.select("id"))(F.col("uid"))).select(F.col("uid").alias("id"), whole("t").alias("t"))
+        return some.join(asked.select("id"), "id")
 
-
-#: Bits of the filter that tells which rows a join can leave out: 1 MB, whatever the input.
-FILTER_BITS = 1 << 23
-
-
-def _places(ids: np.ndarray) -> np.ndarray:
-    return (_mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def _maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
-    """A condition on ids that holds for all of ``ids`` (one long column) and few others: one hash
-    into a bit map of fixed size. Where very many ids fill it, it only lets more rows through."""
-    name = ids.columns[0]
-
-    def local(batches):
-        bits = np.zeros(FILTER_BITS, bool)
-        for batch in batches:
-            bits[_places(np.asarray(batch.column(name)))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
-
-    def merge(group):
-        total = np.zeros(FILTER_BITS // 8, np.uint8)
-        for raw in group["bits"]:
-            total |= np.frombuffer(raw, np.uint8)
-        return pd.DataFrame({"bits": [total.tobytes()]})
-
-    parts = ids.mapInArrow(local, "bits binary")
-    merged = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(16)).alias("g")).applyInPandas(merge, "bits binary")
-    total = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in merged.collect():
-        total |= np.frombuffer(bytes(row["bits"]), np.uint8)
-    packed = total.tobytes()
-
-    @F.pandas_udf("boolean")
-    def hit(col: pd.Series) -> pd.Series:
-        at = _places(col.to_numpy())
-        return pd.Series((np.frombuffer(packed, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
-
-    return lambda column: hit(column)
-
-
-def _signs(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, REGISTERS)
-
-
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of the pairs (lead, id) those whose signatures agree in enough registers."""
-
-    def agree(batches):
-        for batch in batches:
-            same = (_signs(batch.column("x")) == _signs(batch.column("y"))).sum(1)
-            yield batch.select(["lead", "id"]).filter(pa.array(same >= LEAST_AGREE))
-
-    sig = nodes.select("id", "_sig")
-    met = pairs.join(sig.toDF("lead", "x"), "lead").join(sig.toDF("id", "y"), "id").select("lead", "id", "x", "y")
-    return staged(met.mapInArrow(agree, "lead bigint, id bigint"), "candidates")
-
-
-def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """id and text (t) of all ``ids`` (one column, distinct)."""
-    some = texts.where(_maybe_in(ids)(F.col("_uid"))).select(F.col("_uid").alias("id"), whole().alias("t"))
-    return staged(some.join(ids, "id"), "candidate-texts")
-
-
-def _verified(best: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b): of each id with its lead, if that is near enough. A lead's text travels once to
-    every ``SHARE`` of its members."""
-    spark = best.sparkSession
-    many = best.groupBy("lead").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
-    member = best.where("lead <> id").join(many, "lead").select("lead", F.pmod(F.xxhash64("id"), "shares").cast("int").alias("share"), F.lit(1).alias("kind"), "id")
-    leader = many.select("lead", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("kind"), F.col("lead").alias("id"))
-
-    def run(batches):
-        lead = None  # the text of the leader whose members come
-        for batch in batches:
-            for part in per_block(lambda b: b, "t", 2_000_000)([batch]):
-                texts = part.column("t").to_pylist()
-                kind, own, share, ids = (part.column(c).to_numpy() for c in ("kind", "lead", "share", "id"))
-                shift = int(lead is not None)
-                held = Bags(pa.array(([lead] if shift else []) + texts, pa.string()))
-                starts = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (share[1:] != share[:-1])])
-                a, b = [], []
-                for x, y in zip(starts.tolist(), np.r_[starts[1:], len(ids)].tolist(), strict=True):
-                    first = x + (kind[x] == 0)
-                    at = x + shift if kind[x] == 0 else 0
-                    if kind[x] == 0:
-                        lead = texts[x]
-                    hit = np.arange(first, y)[held.alike(at, np.arange(first, y) + shift)]
-                    a.append(np.full(len(hit), own[x])), b.append(ids[hit])
-                a, b = np.concatenate(a), np.concatenate(b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
-
-    met = member.unionByName(leader).join(texts, "id").repartition(width(spark), "lead", "share").sortWithinPartitions("lead", "share", "kind")
-    return staged(met.select("lead", "share", "kind", "id", "t").mapInArrow(run, "a bigint, b bigint"), "links")
-
-
-def _agree(ids: np.ndarray, roots: np.ndarray, held: pa.Table, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs whose signatures agree, as many as connect all that do."""
-    order, of, look = rows_to_meet(roots)
-    ids, sig = ids[order], _signs(held.column("_sig"))[order]
-    side = None if side is None else side[order]
-    a, b = [], []
-    for i in range(look):
-        other = of[i + 1 :] != of[i]
-        if side is not None:
-            other &= side[i + 1 :] != side[i]
-        at = i + 1 + np.flatnonzero(other)
-        at = at[(sig[at] == sig[i]).sum(1) >= LEAST_AGREE]
-        for k, j in zip(*np.unique(of[at], return_index=True), strict=True):
-            a.append(ids[i]), b.append(ids[at[j]])
-            of[of == k] = of[i]
-    return np.array(a, np.int64), np.array(b, np.int64)
-
-
-def _near(ids: np.ndarray, roots: np.ndarray, held: pa.Table, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Near-duplicates, as many pairs as connect all; the most agreeing are verified first."""
-    order, of, look = rows_to_meet(roots)
-    ids, sig = ids[order], _signs(held.column("_sig"))[order]
-    side = None if side is None else side[order]
-    texts = Bags(held.column("t").combine_chunks().take(pa.array(order)))
-    a, b = [], []
-    for i in range(look):
-        other = of[i + 1 :] != of[i]
-        if side is not None:
-            other &= side[i + 1 :] != side[i]
-        at = i + 1 + np.flatnonzero(other)
-        same = (sig[at] == sig[i]).sum(1)
-        at = at[np.argsort(-same, kind="stable")][: (same >= LEAST_AGREE).sum()]
-        step = 8
-        while len(at):
-            now, at = at[:step], at[step:]
-            for j in now[texts.alike(i, now)].tolist():
-                if of[j] != of[i]:
-                    a.append(ids[i]), b.append(ids[j])
-                    of[of == of[j]] = of[i]
-            at, step = at[of[at] != of[i]], 4 * step
-    return np.array(a, np.int64), np.array(b, np.int64)
-
-
-def classes(sketched: DataFrame) -> DataFrame:
-    """_uid, root (the least _uid of the class) of every row of ``sketch``'s result."""
-    rows = sketched.select("_uid", "_h")
-    named = rows.groupBy("_h").agg(F.min("_uid").alias("id"))
-    nodes = staged(named.join(sketched.select(F.col("_uid").alias("id"), "_keys", "_sig", F.length(whole()).alias("w")), "id"), "nodes")
-    texts, sig = sketched.select("_uid", "text"), nodes.select("id", "_sig")
-    keyed = staged(nodes.select("id", F.explode("_keys").alias("key")), "bands")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = staged(keyed.join(sizes, "key"), "buckets")
-    central = staged(shared.groupBy("id").agg(F.struct(F.sum("n").alias("c"), F.xxhash64("id").alias("h")).alias("rank")), "central")
-    ranked = shared.join(central, "id").select("key", "id", "rank")
-    hubs = ranked.groupBy("key").agg(F.max_by("id", "rank").alias("lead"))
-    met = staged(shared.select("key", "id").join(hubs, "key"), "members")
-    close = _agreeing(met.select("lead", "id").where("lead <> id").distinct(), nodes)
-    settled = met.join(close.withColumn("same", F.lit(True)), ["lead", "id"], "left")
-    open_ = settled.select(F.col("key").alias("g"), "id", F.when(F.coalesce("same", F.lit(False)), F.col("lead")).otherwise(F.col("id")).alias("r"), F.lit(REGISTERS).alias("w"))
-    more = linked_in_blocks(open_, sig, _agree, "family-links")
-    families = components(close.select(F.col("lead").alias("a"), F.col("id").alias("b")).unionByName(more))
-    inside = families.select(F.col("root").alias("g"), F.col("node").alias("id")).join(central, "id")
-    leads = inside.groupBy("g").agg(F.max_by("id", "rank").alias("lead"))
-    inside = staged(inside.select("g", "id").join(leads, "g"), "families")
-    text = _texts_of(inside.select("id"), texts)
-    links = _verified(inside.select("lead", "id"), text)
-    hit = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("hit", F.lit(True))
-    inside = inside.join(hit, "id", "left").withColumn("r", F.when(F.coalesce("hit", F.lit(False)), F.col("lead")).otherwise(F.col("id")))
-    inside = inside.join(nodes.select("id", "w"), "id").select("g", "id", "r", "w")
-    roots = components(links.unionByName(linked_in_blocks(inside, sig.join(text, "id"), _near, "late-links")))
-    rooted = named.join(roots, named["id"] == roots["node"], "left").select("_h", F.coalesce("root", "id").alias("root"))
-    return rows.join(rooted, "_h").select("_uid", "root")
+    return classes(sketched, texts, RULE)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -372,24 +191,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Null and empty texts, and those of white space alone, have no shingle and are one class. Null
     ids keep their rows; a class of null ids alone has a null class_id. Repeated rows are copies.
     Other columns of ``docs``, whatever their names, are not looked at."""
-    sketched = sketch(docs.select("doc_id", "text"))
-    found = sketched.select("_uid", "doc_id", "_h").join(classes(sketched), "_uid")
-    texts = found.groupBy("root", "_h").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    sketched = sketch(docs.select(F.col("doc_id").alias("key"), F.col("text").alias("t")))
+    found = sketched.select("uid", "key", "name").join(_classes(sketched), "uid")
+    texts = found.groupBy("root", "name").agg(F.min("key").alias("least"), F.count("*").alias("n"))
     sizes = texts.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"), (F.count("*") - 1).alias("links"))
-    return found.join(sizes, "root").select("doc_id", "class_id", "class_size", "links")
+    return found.join(sizes, "root").select(F.col("key").alias("doc_id"), "class_id", "class_size", "links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The row of the least doc_id of each class, with the columns of ``docs``, whatever their names
     (of rows that share that id, the one read first)."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    slim = docs.select("doc_id", "text", *([F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest")] if others else []))
+    slim = docs.select(F.col("doc_id").alias("key"), F.col("text").alias("t"), *([F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest")] if others else []))
     sketched = sketch(slim)
-    rooted = sketched.select("_uid", "doc_id").join(classes(sketched), "_uid")
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_uid"))["_uid"].alias("_uid"))
-    dropped = staged(rooted.select("_uid").join(first, "_uid", "left_anti"), "dropped")
+    rooted = sketched.select("uid", "key").join(_classes(sketched), "uid")
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "uid"))["uid"].alias("uid"))
+    dropped = staged(rooted.select("uid").join(first, "uid", "left_anti"), "dropped")
     # only rows that the filter cannot clear meet the join, so texts that stay are not moved
-    maybe = sketched.withColumn("_maybe", _maybe_in(dropped)(F.col("_uid")))
-    clear, rest = maybe.where("not _maybe"), maybe.where("_maybe").join(dropped, "_uid", "left_anti")
-    own = [F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns]
+    marked = sketched.withColumn("maybe", maybe_in(dropped)(F.col("uid")))
+    clear, rest = marked.where("not maybe"), marked.where("maybe").join(dropped, "uid", "left_anti")
+    own = [F.col({"doc_id": "key", "text": "t"}[c]).alias(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns]
     return clear.select(*own).unionByName(rest.select(*own))

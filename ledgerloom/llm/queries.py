@@ -17,12 +17,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 def op1_toxic_spans_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold("doc_id", 3) != 1)
-    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    scored = toxicity.score(docs, toxicity.train(docs, labels), spans=True)
     return scored.select(
         "doc_id",
         (fold("doc_id", 3) == 1).alias("held_out"),
         F.col("toxic_score").alias("score"),
         (F.col("toxic_score") >= toxicity.REJECT).cast("int").alias("predicted"),
+        F.array_join(F.transform("toxic_spans", lambda x: F.concat_ws(":", x.start.cast("string"), x.end.cast("string"))), ",").alias("spans"),
     )
 
 
@@ -35,7 +36,7 @@ def op3_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_embedding.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return edit_embedding.fingerprints(table(spark, sf_dir, "documents"), near=True)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

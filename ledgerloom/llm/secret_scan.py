@@ -3,8 +3,8 @@
 The CRF tags the words between white space as begin, inside or outside of a secret. A word's
 emission has weights for its shape, coarse and fine, for the words before and after it (those that stand beside
 known secrets in the sample) and for the file it stands in (whether it names a secret or holds a
-match at all) together with its shape. Viterbi decodes every whole text. What it tags and no base
-match overlaps is added as kind ``crf``; base matches always stay.
+match at all) together with its shape. Viterbi decodes every whole text. What it tags, if it has the least length of a value and no base match
+overlaps it, is added as kind ``crf``; base matches always stay.
 
 It is fitted on a bounded sample of ``SAMPLE_CHARS`` characters whose words are labelled by the base
 patterns: of all texts with a base match those among the ``SAMPLE_ROWS`` ids with the lowest hashes,
@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import TimeMajor, Words, per_block, staged, whole
+from ._common import TimeMajor, Words, bounded_texts, per_block, staged, whole
 from .crf import fit, viterbi
 
 SAMPLE_ROWS, SAMPLE_CHARS, MARKED_TEXTS, PLAIN_TEXTS = 8000, 32_000_000, 300, 300
@@ -59,6 +59,8 @@ def _words(texts: pa.Array) -> Words:
     return Words(texts, lambda x: pc.split_pattern(x, " ")).drop_empty()
 
 
+_EDGE = ".,;:!?\"'()[]{}<>|"
+
 #: Shapes: 0 is no feature, 1 a plain word; the rest combine what _shape looks at.
 SHAPES = 2 + 6 * 4 * 3 * 2 * 3
 
@@ -122,30 +124,21 @@ def _files(texts: list[str], spans: list[list]) -> np.ndarray:
 
 
 def _sample(docs: DataFrame) -> list[str]:
-    """Distinct whole texts to fit on, sorted. One pass finds the texts with a base match and all
-    sizes; a text that does not fit is skipped, so no more than ``SAMPLE_CHARS`` reaches the driver."""
-    texts = docs.where("doc_id is not null").select("doc_id", whole().alias("_text"))
+    """Distinct whole texts to fit on, in order of their ids' hashes: plain ones, then those with a base
+    match, one text per id. One pass over all texts finds which hold a match."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def look(batch: pa.RecordBatch) -> pa.RecordBatch:
         hit = [bool(base_spans(t)) for t in batch.column("_text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pc.utf8_length(batch.column("_text")).cast(pa.int64()), pa.array(hit, pa.bool_())], ["doc_id", "n", "hit"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(hit, pa.bool_())], ["doc_id", "hit"])
 
-    seen = staged(texts.mapInArrow(per_block(look, "_text"), f"doc_id {kind}, n bigint, hit boolean"), "sizes")
-    first = lambda df, most: df.orderBy(F.xxhash64("doc_id"), "doc_id", "n").limit(most).collect()
-    few = [r for r in first(seen, SAMPLE_ROWS) if r["hit"]]
+    texts = docs.where("doc_id is not null").select("doc_id", whole().alias("_text"))
+    seen = staged(texts.mapInArrow(per_block(look, "_text"), f"doc_id {kind}, hit boolean"), "hits").groupBy("doc_id").agg(F.max("hit").alias("hit"))
+    first = lambda df, most: [tuple(r) for r in df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
+    few = [r for r in first(seen, SAMPLE_ROWS) if r[1]]
     marked = max(few, first(seen.where("hit"), MARKED_TEXTS), key=len)
-    taken, left = [], SAMPLE_CHARS
-    for rows, room in ((first(seen.where("not hit"), PLAIN_TEXTS), SAMPLE_CHARS // 2), (marked, SAMPLE_CHARS)):
-        room = min(room, left)
-        for r in rows:
-            if r["n"] <= room:
-                taken.append((r["doc_id"],))
-                room, left = room - r["n"], left - r["n"]
-    if not taken:
-        return []
-    ids = docs.sparkSession.createDataFrame(taken, f"doc_id {kind}").distinct()
-    return sorted({r["_text"] for r in texts.join(F.broadcast(ids), "doc_id").select("_text").collect()})
+    found = bounded_texts(docs, first(seen.where("not hit"), PLAIN_TEXTS) + marked, "hit boolean", lambda r: str(r[1]), {"False": SAMPLE_CHARS // 2, "True": SAMPLE_CHARS // 2})
+    return list(dict.fromkeys(t for t, *_ in found))
 
 
 def train(docs: DataFrame) -> Model:
@@ -201,7 +194,8 @@ def scan(texts: pa.Array, model: Model) -> list[list[tuple[int, int, int]]]:
             while last + 1 < len(mine) and mine[last + 1] == INSIDE:
                 last += 1
             start, end = places[k][0], places[last][1]
-            if not any(a < end and b > start for a, _, b in taken):
+            kept = len(plain[i][start:end].strip(_EDGE)) >= LEAST_VALUE
+            if kept and not any(a < end and b > start for a, _, b in taken):
                 added.append((start, 3, end))
             k = last + 1
         spans[i] = sorted(taken + added)
@@ -214,7 +208,9 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 def scan_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans. Offsets are code points, ends are
-    exclusive. Null text is empty; a text without a span has an empty string (and its digest)."""
+    exclusive. Null text is empty; a text without a span has an empty string (and its digest). Null
+    ids stay, repeated rows repeat, an empty table gives no rows, and where spans begin together the
+    kind listed first comes first; other columns, whatever their names, are not looked at."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = scan(batch.column("_text"), model)

@@ -6,7 +6,8 @@
    and paths splits names that run words together, by Viterbi over all cuts. Multinomial naive
    Bayes over the segmented tokens of host and path learns from the urls that rules decide.
 
-Distinct names are segmented once each; urls are counted by a combined aggregation. Words, tokens
+A word has at most ``LONGEST`` letters, so a longer name is always cut. Distinct names are segmented
+once each; urls are counted by a combined aggregation. Words, tokens
 and odds are tables over all names: a name meets the words it may hold, and its tokens their odds,
 by equi-joins. Only the odds of the most frequent ``VOCABULARY`` names reach the driver and all
 workers; urls with any other name get theirs by a join.
@@ -165,10 +166,12 @@ def _compounds(known: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, url: str = "url", key: str = "page_id", rules: tuple = RULES) -> DataFrame:
-    """key, host, path, rule (null where none fits), verdict. Null urls and those without :// have
-    an empty host and path; no rule fits them and the prior decides. Repeated rows repeat."""
+    """key, host, path, rule (null where none fits), verdict, block_odds (null where a rule decides).
+    Null urls and those without :// have an empty host and path; no rule fits them and the prior
+    decides. Null keys stay, repeated rows repeat, an empty table gives no rows; odds of zero allow.
+    Other columns of ``pages``, whatever their names, are not looked at."""
     host, path = host_of(F.col(url)), path_of(F.col(url))
-    parts = pages.select(F.col(key), host.alias("host"), path.alias("path"))
+    parts = pages.select(F.col(key).alias("key"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     judged = parts.select("*", rule.alias("rule"), verdict.alias("verdict"))
     learnt = train(judged.select("host", "path", "verdict"))
@@ -181,15 +184,19 @@ def judge(pages: DataFrame, url: str = "url", key: str = "page_id", rules: tuple
 
         # null where a name is not in the head
         def one(h, p):
+            if h is None:  # a rule decides
+                return None
             known = [head.get(("h", x)) for x in h] + [head.get(("p", x)) for x in p]
             return None if None in known else prior + sum(known)
 
         return pd.Series([one(h, p) for h, p in zip(hosts, paths, strict=True)], dtype="float64")
 
-    out = judged.withColumn("block_odds", odds(names(F.col("host")), names(F.col("path"))))
+    open_ = lambda c: F.when(F.col("verdict").isNull(), names(F.col(c)))
+    out = judged.withColumn("block_odds", odds(open_("host"), open_("path")))
     if more:
         out = staged(out, "scored")
-        rest = out.where("block_odds is null").select("host", "path").distinct()
+        late_one = F.col("block_odds").isNull() & F.col("verdict").isNull()
+        rest = out.where(late_one).select("host", "path").distinct()
         pairs = F.concat(
             F.transform(names(F.col("host")), lambda x, i: F.struct(F.lit("h").alias("f"), x.alias("w"), i.alias("at"))),
             F.transform(names(F.col("path")), lambda x, i: F.struct(F.lit("p").alias("f"), x.alias("w"), i.alias("at"))),
@@ -197,6 +204,6 @@ def judge(pages: DataFrame, url: str = "url", key: str = "page_id", rules: tuple
         met = rest.select("host", "path", F.explode(pairs).alias("t")).select("host", "path", "t.*").join(learnt.names.select("f", "w", "o"), ["f", "w"])
         met = met.groupBy("host", "path").agg(F.array_sort(F.collect_list(F.struct("f", "at", "o"))).alias("os"))
         late = met.select("host", "path", F.aggregate("os", F.lit(prior), lambda acc, x: acc + x.o).alias("late"))
-        late = out.where("block_odds is null").drop("block_odds").join(late, ["host", "path"])
-        out = out.where("block_odds is not null").unionByName(late.withColumnRenamed("late", "block_odds"))
-    return out.select(key, "host", "path", "rule", F.coalesce("verdict", F.when(F.col("block_odds") > 0, "block").otherwise("allow")).alias("verdict"), "block_odds")
+        late = out.where(late_one).drop("block_odds").join(late, ["host", "path"])
+        out = out.where(~late_one).unionByName(late.withColumnRenamed("late", "block_odds"))
+    return out.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce("verdict", F.when(F.col("block_odds") > 0, "block").otherwise("allow")).alias("verdict"), "block_odds")

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import edit_embedding, prob_minhash
-from ledgerloom.llm import _common
+from ledgerloom.llm import _common, near
 from ledgerloom.llm._common import components
 
 from .test_private import base
@@ -76,9 +76,9 @@ def test_pairs_that_no_leader_resembles(spark, prose, monkeypatch, block):
     monkeypatch.setattr(_common, "BLOCK", block)
     texts = [f"{prose(60, 100 + k)}{more}" for k in range(20) for more in ("", " more")]
     # one bucket holds them all, and all signatures agree
-    rows = [(i, bytes([i]), [7], bytes(prob_minhash.REGISTERS), t) for i, t in enumerate(texts)]
-    sketched = spark.createDataFrame(rows, "_uid bigint, _h binary, _keys array<bigint>, _sig binary, text string")
-    got = {r["_uid"]: r["root"] for r in prob_minhash.classes(sketched).collect()}
+    rows = [(i, bytes([i]), [7], bytes(prob_minhash.REGISTERS), t, len(t)) for i, t in enumerate(texts)]
+    sketched = spark.createDataFrame(rows, "uid bigint, name binary, keys array<bigint>, sig binary, t string, w int")
+    got = {r["uid"]: r["root"] for r in prob_minhash._classes(sketched).collect()}
     assert got == {i: i - i % 2 for i in range(len(texts))}
 
 
@@ -86,7 +86,7 @@ def test_pairs_that_no_leader_resembles(spark, prose, monkeypatch, block):
 def test_a_group_whose_members_differ_from_its_centre(spark, prose, monkeypatch, block):
     """Copies with some to many edits: chains of links, far from every leader."""
     monkeypatch.setattr(_common, "BLOCK", block)
-    monkeypatch.setattr(prob_minhash, "SHARE", 7)
+    monkeypatch.setattr(near, "SHARE", 7)
     rng, first = random.Random(6), prose(120, 77).split()
     texts = []
     for k in range(90):
@@ -164,14 +164,9 @@ def test_walks_fall_into_step_after_edits(prose):
 
 def test_edit_distance():
     rng = random.Random(3)
-    for _ in range(200):
-        a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(9))) for _ in range(2))
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            prev, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
-        assert edit_embedding.edit_distance(a, b) == row[-1]
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(12))) for _ in range(2))
+        assert edit_embedding.edit_distance(a, b) == plain_distance(a, b)
 
 
 def test_near_classes_by_edits(spark, prose):
@@ -182,18 +177,70 @@ def test_near_classes_by_edits(spark, prose):
     assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5}
 
 
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        prev, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+    return row[-1]
+
+
 @pytest.mark.parametrize("block", [1000, 16])
-def test_near_classes_of_pairs_that_share_a_key(spark, monkeypatch, block):
+def test_edit_classes_against_all_pairs(spark, prose, monkeypatch, block):
+    """Every pair that shares a key and enough registers, and nothing else; most alike pairs do."""
     monkeypatch.setattr(_common, "BLOCK", block)
     rng, texts = random.Random(11), []
-    while len(texts) < 120:
-        word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(10))
-        pair = [word, "Q" + word[1:]]
-        x, y = edit_embedding.band_keys(edit_embedding.embed(pair))
-        texts += pair if set(x) & set(y) else []
+    for k in range(14):
+        first = prose(60, 300 + k)
+        texts.append(first)
+        for n in range(4):
+            changed = first.split()
+            for _ in range(2 * n):
+                changed[rng.randrange(len(changed))] = rng.choice(["x", "changed", "yz"])
+            texts.append(" ".join(changed))
+    least, has = edit_embedding.registers(texts)
+    keys = [set(k) for k in edit_embedding.band_keys(least).tolist()]
+    root, alike, met = list(range(len(texts))), 0, 0
+    for i in range(len(texts)):
+        for j in range(i):
+            longer = max(len(texts[i]), len(texts[j]))
+            if plain_distance(texts[i], texts[j]) <= int(0.1 * longer + 1e-9):
+                alike += 1
+                if keys[i] & keys[j] and (least[i] == least[j]).sum() >= edit_embedding.LEAST_AGREE:
+                    met += 1
+                    a, b = root[i], root[j]
+                    root = [min(a, b) if r in (a, b) else r for r in root]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r["doc_id"]: r["class_id"] for r in edit_embedding.near_classes(docs).collect()}
-    assert got == {i: i - i % 2 for i in range(len(texts))}
+    assert [got[i] for i in range(len(texts))] == root and met >= 0.8 * alike > 20
+
+
+def test_aligned_distance_is_a_bound(prose):
+    text = prose(4000, 5)
+    other = text[:5000] + "zz" + text[5040:12000] + prose(20, 6) + text[12000:]
+    far = edit_embedding.aligned_distance(text, other)
+    assert edit_embedding.edit_distance(text, other) <= far <= 0.1 * len(text)
+    assert edit_embedding.aligned_distance("ab" * 9000, "") == 18000
+
+
+def test_classes_come_with_the_fingerprints(spark, odd, prose):
+    rows = [(f"k{i}" if i else None, t) for i, t in enumerate([prose(40, 1), prose(40, 1), prose(40, 1)[:-3], prose(40, 2), "", None])] + [("k1", prose(40, 2))]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {(r["doc_id"], r["n_chars"]): r["class_id"] for r in edit_embedding.fingerprints(docs, near=True).collect()}
+    n = len(prose(40, 1))
+    assert got == {(None, n): "k1", ("k1", n): "k1", ("k2", n - 3): "k1", ("k3", len(prose(40, 2))): "k1", ("k4", 0): "k4", ("k5", 0): "k4", ("k1", len(prose(40, 2))): "k1"}
+    assert edit_embedding.fingerprints(odd, near=True).count() == odd.count()
+
+
+def test_order_of_ids(spark):
+    """The next document of each kind of id: beyond 2^53, as text, and many rows of one id."""
+    for ids, kind in (([2**60 + 1, 2**60, 2**60 + 2], "bigint"), (["b", "\u00e9", "a"], "string"), ([5] * 6 + [4, 7], "int")):
+        docs = spark.createDataFrame([(k, f"{i}" * 8) for i, k in enumerate(ids)], f"doc_id {kind}, text string")
+        rows = edit_embedding.fingerprints(docs).collect()
+        order = sorted(((k, hashlib.md5((f"{i}" * 8).encode()).digest(), f"{i}" * 8) for i, k in enumerate(ids)), key=lambda x: (x[0].encode() if kind == "string" else x[0], x[1]))
+        want = {(k, hashlib.sha256((t[:6] + order[(n + 1) % len(order)][2][:2]).encode()).hexdigest()) for n, (k, _, t) in enumerate(order)}
+        assert {(r["doc_id"], r["edited_sha256"]) for r in rows} == want and len(rows) == len(ids)
 
 
 def test_pipeline_against_its_parts(spark, tmp_path, copies):

@@ -104,4 +104,5 @@ def test_rare_names_are_learnt_and_looked_up(spark, monkeypatch):
         found.append({r["page_id"]: r for r in url_filter.judge(pages).collect()})
     assert found[0].keys() == found[1].keys() and len(found[0]) == len(urls) + 2
     for i, r in found[0].items():
-        assert abs(r["block_odds"] - found[1][i]["block_odds"]) < 1e-9 and r["verdict"] == found[1][i]["verdict"]
+        assert (r["block_odds"] is None) == (r["rule"] is not None) == (found[1][i]["block_odds"] is None)
+        assert abs((r["block_odds"] or 0) - (found[1][i]["block_odds"] or 0)) < 1e-9 and r["verdict"] == found[1][i]["verdict"]
