@@ -162,3 +162,35 @@ PAST_DUE: tuple[tuple[str, str], ...] = (
     (r"90|150|greaterthan90|equaltogreaterthan90", "dpd_90_plus"),
     (r"pastdue", "past_due_total"),
 )
+
+# Axes that become columns of a fact, per column in the order in which they are tried.
+PROMOTED_AXES: dict[str, tuple[str, ...]] = {
+    "segment": ("FinancingReceivablePortfolioSegmentAxis", "ProductOrServiceAxis", "PortfolioSegmentAxis", "FinancingReceivableInformationByPortfolioSegmentAxis"),
+    "loan_class": ("FinancingReceivableRecordedInvestmentByClassOfFinancingReceivableAxis", "ClassOfFinancingReceivableAxis", "AccountsNotesLoansAndFinancingReceivableByReceivableTypeAxis", "FinancialInstrumentAxis"),
+    "credit_quality": ("InternalCreditAssessmentAxis", "FinancingReceivableCreditQualityIndicatorAxis", "CreditRatingMoodysAxis", "CreditScoreFicoAxis", "CreditQualityIndicatorAxis", "FinancingReceivableInformationByCreditQualityIndicatorAxis", "FinancingReceivableRecordedInvestmentByCreditQualityIndicatorAxis"),
+    "past_due": ("FinancingReceivablesPeriodPastDueAxis", "FinancingReceivableByDelinquencyStatusAxis", "FinancingReceivableInformationByDelinquencyStatusAxis", "AgingAnalysisOfLoansAndLeasesAxis"),
+    "consolidation": ("ConsolidationItemsAxis", "StatementBusinessSegmentsAxis"),
+}
+# Parts of the names of axes that cut a balance into slices of itself, and the axes of a
+# loan's class or segment that are preferred to older ones.
+SUBSLICE_AXES = ("FinancingReceivablesPeriodPastDueAxis", "InternalCreditAssessmentAxis", "CreditQualityIndicatorAxis", "CreditScoreFicoAxis", "DelinquencyStatusAxis", "AgingAnalysisOfLoansAndLeasesAxis")
+MODERN_LOAN_AXES = ("FinancingReceivablePortfolioSegmentAxis", "FinancingReceivableRecordedInvestmentByClassOfFinancingReceivableAxis", "ClassOfFinancingReceivableAxis", "FinancialInstrumentAxis", "ProductOrServiceAxis")
+
+# Names of documents that look quarterly and are not, and kinds of those that are.
+NOT_QUARTERLY = r"proxy|annual report|\b10 ?[kq]\b|prospectus|indenture|code of conduct|privacy|sustainab|\besg\b|citizenship|charter|by ?laws|underwriting|dividend announce|\bccar\b|dfast disclosure|stress test|pillar 3|resolution plan|tax form|\bw ?9\b|transcript|\baudio\b|\bxbrl\b"
+DOCUMENTS: tuple[tuple[str, str], ...] = (
+    (r"credit ?metrics|monthly charge", "credit_metrics"),
+    (r"supplement|quarterly performance summary|\bqps\b|financial highlights|statistical (supplement|summary)|financial (schedules|tables|data)", "supplement"),
+    (r"presentation|slides|\bdeck\b|investor day|conference call|earnings call", "presentation"),
+    (r"earnings release|press release|news release|reports? (first|second|third|fourth) quarter|\bresults\b|\bearnings\b", "release"),
+)
+# Kinds of documents by their opening text, its least readable length, and the kind that
+# an exhibit's number suggests where the text does not tell.
+CONTENTS: tuple[tuple[str, str], ...] = (
+    (r"for immediate release|news release|press release|reports? (first|second|third|fourth).quarter (\w+ ){0,3}results|media contact|investor contact.{0,200}media", "release"),
+    (r"earnings presentation|investor presentation|presentation slides|company update presentation|earnings deck|investor day", "presentation"),
+    (r"financial supplement|quarterly performance summary|supplemental (information|financial)|selected financial data|quarterly financial (data|schedules|supplement)|selected quarterly (financial )?data|statistical (supplement|information)|financial highlights", "supplement"),
+    (r"conference call presentation|earnings (call|conference)", "presentation"),
+)
+READABLE, OPENING = 400, 6000
+EXHIBITS: dict[str, str] = {"EX-99.1": "release", "EX-99.2": "supplement", "EX-99.3": "presentation"}

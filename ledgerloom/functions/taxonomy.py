@@ -8,16 +8,6 @@ from pyspark.sql import functions as F
 from . import members
 from .rules import first_match, lookup
 
-# Names of documents that look quarterly and are not, and kinds of those that are.
-NOT_QUARTERLY = r"(?i)proxy|annual report|\b10 ?[kq]\b|prospectus|code of conduct|privacy|sustainab|\besg\b|charter|by ?laws|dividend announce|stress test|pillar 3|resolution plan|transcript|\baudio\b|\bxbrl\b"
-DOCUMENTS: tuple[tuple[str, str], ...] = (
-    (r"credit ?metrics|monthly charge", "credit_metrics"),
-    (r"supplement|quarterly performance summary|\bqps\b|financial highlights|statistical summary|financial (schedules|tables|data)", "supplement"),
-    (r"presentation|slides|\bdeck\b|investor day|conference call|earnings call", "presentation"),
-    (r"earnings release|press release|news release|reports? (first|second|third|fourth) quarter|\bresults\b|\bearnings\b", "release"),
-)
-
-
 def scope_of(member: Column) -> Column:
     """The measurement basis that a member states: an exact entry, else a rule; null for a class."""
     return lookup(member, members.SCOPES, first_match(member, members.SCOPE_RULES))
@@ -49,8 +39,20 @@ def past_due(member: Column) -> Column:
 
 
 def document_kind(title: Column) -> Column:
+    """The kind that a title or file name tells; null for what is not quarterly."""
     plain = F.trim(F.regexp_replace(title, r"[+_\-/\\.]+", " "))
-    return F.when(~plain.rlike(NOT_QUARTERLY), first_match(plain, DOCUMENTS, ignore_case=True))
+    return F.when(~plain.rlike("(?i)" + members.NOT_QUARTERLY), first_match(plain, members.DOCUMENTS, ignore_case=True))
+
+
+def content_kind(html: Column, exhibit: Column | None = None) -> Column:
+    """The kind that a document's opening text tells, else the one that its exhibit number suggests. A
+    document with hardly any readable text (slides of images) has no kind."""
+    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
+    head = F.left(F.trim(F.regexp_replace(F.regexp_replace(bare, "<[^>]*>", " "), r"\s+", " ")), F.lit(members.OPENING))
+    told = first_match(head, members.CONTENTS, ignore_case=True)
+    if exhibit is not None:
+        told = F.coalesce(told, lookup(exhibit, members.EXHIBITS))
+    return F.when(F.length(head) >= members.READABLE, told)
 
 
 def _stated(dims: Column) -> Column:

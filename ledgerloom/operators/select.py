@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,13 +32,14 @@ def best_signature(df: DataFrame, key: list[str], tag: str, axes: str, value: st
 
     Pairs rank by the tag's place in ``tags``, whether they hold a sub-slice axis, whether they lack
     every modern axis, and then fewest axes before greatest coverage (``parsimony``) or the other
-    way round (``coverage``); ties go to the lesser axes string. ``axes`` joins names by ``|``."""
+    way round (``coverage``); ties go to the lesser axes string. ``axes`` joins names by ``|``; a
+    sub-slice is named by any part of an axis."""
     parts = F.filter(F.split(F.coalesce(axes, F.lit("")), r"\|"), lambda x: x != "")
     hits = lambda names: F.size(F.array_intersect(parts, F.array(*(F.lit(n) for n in names)).cast("array<string>"))) > 0
     place = F.array_position(F.array(*(F.lit(t) for t in tags)), F.col(tag))
     cover, n = -F.round(F.sum(F.abs(value)), 2), F.size(parts)  # sums in another order stay ties
     per_pair = df.groupBy(*key, tag, axes).agg(cover.alias("_less"))
-    rank = [F.when(place > 0, place).otherwise(len(tags) + 1), hits(subslices) if subslices else F.lit(False), ~hits(modern) if modern else F.lit(False)]
+    rank = [F.when(place > 0, place).otherwise(len(tags) + 1), reduce(lambda a, b: a | b, (F.coalesce(F.col(axes), F.lit("")).contains(x) for x in subslices), F.lit(False)), ~hits(modern) if modern else F.lit(False)]
     rank += [n, F.col("_less")] if prefer == "parsimony" else [F.col("_less"), n]
     best = per_pair.groupBy(*key).agg(F.min_by(F.struct(tag, axes), F.struct(*(r.alias(f"r{i}") for i, r in enumerate(rank)), F.col(axes), F.col(tag))).alias("_best"))
     left, right = df.alias("l"), best.alias("r")

@@ -9,11 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import taxonomy, text
 from ..functions.periods import stamp_to_date
 from ..operators import fill, graph, lineage, quality
 from ..session import checkpoint_dir
-from ..sources import discovery, documents, grids, registry
+from ..sources import discovery, documents, grids, registry, specs
 from .builds import CHARTER
 from .catalog import DAY, PANEL, query, read
 from .reports import KEY, READINGS, SCALED
@@ -138,6 +138,40 @@ def failed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.failures(documents.call_reports(_zips(read(spark, sf_dir, CHARTER))))
 
 
+def _books(rows: DataFrame) -> DataFrame:
+    """path and content: a workbook per nation, with shared texts, inline texts and a gap."""
+    wrap = '<?xml version="1.0"?><{0} xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">{1}</{0}>'
+
+    def build(frame: pd.DataFrame) -> pd.DataFrame:
+        nation, frame = frame["nation"].iloc[0], frame.sort_values("s")
+        lines = "".join(f'<row r="{i}"><c r="A{i}" t="s"><v>{i - 1}</v></c><c r="C{i}"><v>{r.s}</v></c><c r="D{i}" t="inlineStr"><is><t>n{nation}</t></is></c></row>' for i, r in enumerate(frame.itertuples(index=False), 1))
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("xl/workbook.xml", wrap.format("workbook", '<sheets><sheet name="Loans" sheetId="1" r:id="x1"/></sheets>'))
+            z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="x1" Target="worksheets/sheet1.xml"/></Relationships>')
+            z.writestr("xl/sharedStrings.xml", wrap.format("sst", "".join(f"<si><r><t>Name </t></r><r><t>{r.s}</t></r></si>" for r in frame.itertuples(index=False))))
+            z.writestr("xl/worksheets/sheet1.xml", wrap.format("worksheet", f"<sheetData>{lines}</sheetData>"))
+        return pd.DataFrame({"path": [f"{nation}.xlsx"], "content": [out.getvalue()]})
+
+    return rows.groupBy("nation").applyInPandas(build, "path string, content binary")
+
+
+@query("SELECT s_nationkey || '.xlsx' AS path, 'Loans' AS sheet, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INTEGER) AS row, concat('Name ', s_suppkey, '||', s_suppkey, '|n', s_nationkey) AS cells FROM supplier")
+def workbook_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = documents.workbooks(_books(read(spark, sf_dir, "SELECT s_nationkey AS nation, s_suppkey AS s FROM {supplier}")))
+    return out.where("error is null").select("path", "sheet", "row", F.array_join("cells", "|").alias("cells"))
+
+
+@query("""
+    SELECT s_suppkey AS k, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE CASE s_suppkey % 5 WHEN 0 THEN 'release' WHEN 1 THEN 'presentation' WHEN 2 THEN 'supplement' WHEN 3 THEN 'presentation' ELSE CASE WHEN s_suppkey % 2 = 0 THEN 'supplement' END END END AS kind FROM supplier""")
+def content_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents told by their opening text, by exhibit number where it says nothing, and not at all
+    where there is hardly any text."""
+    docs = read(spark, sf_dir, """SELECT s_suppkey AS k, CASE WHEN s_suppkey % 2 = 0 THEN 'EX-99.2' ELSE 'EX-1' END AS exhibit, concat('<style>press release</style><p>',
+        CASE s_suppkey % 5 WHEN 0 THEN 'For Immediate Release' WHEN 1 THEN 'Investor Presentation: financial highlights' WHEN 2 THEN 'Quarterly Performance Summary' WHEN 3 THEN 'earnings call' ELSE 'nothing' END, '</p>', repeat('<b>word</b> ', CASE WHEN s_suppkey % 7 = 0 THEN 3 ELSE 100 END)) AS html FROM {supplier}""")
+    return docs.select("k", taxonomy.content_kind(F.col("html"), F.col("exhibit")).alias("kind"))
+
+
 # ---- registry ----
 
 _STAMP = "date_format({}, 'yyyyMMdd')"
@@ -308,6 +342,32 @@ def grid_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grids.readings(outline, "doc", [], [AGING], "year").select("doc", "variable", "value")
 
 
+_SCHEDULE = """SELECT o_custkey AS doc, concat('<p>Loans by class (in millions)</p><table><tr><th>December 31</th><th>1996</th><th>1995</th></tr><tr><td>Commercial and industrial</td><td>$</td><td>', a, '</td></tr><tr><td>Commercial real estate</td><td>', b, '</td></tr><tr><td>Residential mortgage</td><td>', c,
+    '</td></tr><tr><td>Credit card loans held for sale</td><td>1</td></tr><tr><td>Credit card</td><td>', a + b, '</td></tr><tr><td>Total loans</td><td>', a + b + c, '</td></tr></table><p>', CASE WHEN o_custkey % 2 = 0 THEN 'Term loans by origination year' ELSE 'Comparative balances' END,
+    '</p><table><tr><th>Class</th><th>2019</th><th>2018 (1)</th><th>2017</th><th>2016</th><th>2015</th><th>2014</th></tr><tr><td>Pass</td><td>', a, '</td><td>', b, '</td><td>3</td><td>4</td><td>5</td><td>6</td></tr><tr><td>Special mention</td><td>', c, '</td><td>2</td><td>3</td><td>4</td><td>5</td><td>6</td></tr></table>') AS html
+    FROM (SELECT o_custkey, CAST(max(o_totalprice) AS BIGINT) + 100000 AS a, CAST(min(o_totalprice) AS BIGINT) + 100000 AS b, CAST(count(*) AS BIGINT) AS c FROM {orders} GROUP BY 1) x"""
+
+
+@query(f"""
+    WITH t AS (SELECT CAST(doc AS VARCHAR) AS d, doc, a + 99000 AS a, b + 100000 AS b, c FROM ({_AMOUNTS}) x), e AS (SELECT * FROM t WHERE doc % 2 = 0)
+    SELECT d AS doc, 'loans_ci' AS variable, CAST(a AS DOUBLE) AS value FROM t UNION ALL SELECT d, 'loans_cre_total', b FROM t UNION ALL SELECT d, 'loans_resi_mortgage', c FROM t UNION ALL SELECT d, 'loans_credit_card', a + b FROM t UNION ALL SELECT d, 'loans_total', a + b + c FROM t UNION ALL SELECT d, 'cq_pass', a FROM t UNION ALL SELECT d, 'cq_special_mention', c FROM t
+    UNION ALL SELECT d, 'vintage_total_2019', a + c FROM e UNION ALL SELECT d, 'vintage_criticized_2019', c FROM e UNION ALL SELECT d, 'vintage_total_2018', b + 2 FROM e UNION ALL SELECT d, 'vintage_criticized_2018', 2 FROM e
+    UNION ALL SELECT d, 'vintage_total_' || y, v * 2 FROM e, (VALUES (2017, 3), (2016, 4), (2015, 5)) q(y, v) UNION ALL SELECT d, 'vintage_criticized_' || y, v FROM e, (VALUES (2017, 3), (2016, 4), (2015, 5)) q(y, v)""")
+def catalogue_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue's loan schedule and vintage table; a table of reporting periods is no vintage."""
+    outline = documents.html_outline(read(spark, sf_dir, _SCHEDULE), "doc", "html")
+    out = grids.readings(outline, "doc", specs.TABLES, skip=specs.SKIP_LABEL, vintage=(specs.VINTAGE_CAPTION, specs.VINTAGE_YEAR, specs.VINTAGE_GRADES, specs.VINTAGE_KEPT))
+    return out.select("doc", "variable", "value")
+
+
+@query("SELECT count(*) AS n, 18 AS by_class, 60 AS by_vintage FROM (VALUES (1)) x(a)")
+def document_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many columns only documents fill."""
+    names = specs.new_columns()
+    n = sum(c.startswith("dpd") for c in names)
+    return spark.createDataFrame([(1, n, len(names) - n)], "n bigint, by_class int, by_vintage int")
+
+
 @query(" UNION ALL ".join(f"SELECT '{stem}_{row}' AS variable" for stem in ("dpd_30_89", "dpd_90_plus") for row in ("resi", "card")))
 def grid_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(c,) for c in grids.grid_columns([AGING])], "variable string")

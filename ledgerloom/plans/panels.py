@@ -46,9 +46,9 @@ def values(facts: DataFrame, variables: list[Variable]) -> DataFrame:
     parts = both.where(F.col("by_loan") & F.col("loan_cat").isNotNull() & F.col("scope").isNull())
     named = parts.withColumn("_tag", F.concat(F.lpad(F.col("place").cast("string"), 3, "0"), F.lit(" "), "tag"))
     order = [f"{i:03d} {t}" for i, t in sorted({(p, t) for _, t, p, *_ in spec})]
-    cut = select.best_signature(named, [*KEY, "variable", "loan_cat"], "_tag", "dim_axes", "value", order)
+    cut = select.best_signature(named, [*KEY, "variable", "loan_cat"], "_tag", "dim_axes", "value", order, subslices=members.SUBSLICE_AXES, modern=members.MODERN_LOAN_AXES)
     by_class = select.sum_members(cut, [*KEY, "variable", "loan_cat"], MEMBERS, "value", ["filed"], "value")
-    spread = select.best_signature(named, [*KEY, "variable"], "_tag", "dim_axes", "value", order, prefer="coverage")
+    spread = select.best_signature(named, [*KEY, "variable"], "_tag", "dim_axes", "value", order, prefer="coverage", subslices=members.SUBSLICE_AXES, modern=members.MODERN_LOAN_AXES)
     leaves = select.sum_members(spread, [*KEY, "variable", "loan_cat"], MEMBERS, "value", ["filed"], "value")
     built = partition.partition_total(leaves, [*KEY, "variable"], "loan_cat", "value", closure(spark, LOAN_TREE), "value")
     totals = partition.with_fallback(total, built, [*KEY, "variable"], "value").withColumn("loan_cat", F.lit("total"))

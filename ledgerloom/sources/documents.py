@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.members import PROMOTED_AXES
 from ..functions.text import filed_value
 
 
@@ -166,7 +167,7 @@ def instances(found: DataFrame) -> DataFrame:
     return parsed(found, instance_facts, FACT_SCHEMA)
 
 
-def promote_axes(df: DataFrame, promoted: dict[str, list[str]], dims: str = "dims") -> DataFrame:
+def promote_axes(df: DataFrame, promoted: dict[str, tuple[str, ...]] = PROMOTED_AXES, dims: str = "dims") -> DataFrame:
     """One column per promoted group, from the first of its axes that is there; the axes' signature
     and what no column took stay as text."""
     keys = F.array_sort(F.map_keys(dims))
@@ -347,6 +348,52 @@ def html_outline(df: DataFrame, key: str, html: str) -> DataFrame:
     return df.select(key, html).mapInPandas(run, f"{key} {kind}, headings array<string>, tables array<struct<caption:string,cells:array<array<string>>>>")
 
 
+# ---- workbooks ----
+
+WORKBOOK_SCHEMA = "sheet string, row int, cells array<string>"
+
+
+def workbook(path: str, content: bytes) -> list[tuple]:
+    """sheet, row (from 1) and cells of an xlsx file: shared and inline texts, numbers and booleans as
+    they are stored; gaps between cells are empty, rows without a cell are left out."""
+
+    def texts(node) -> str:
+        return "".join(t.text or "" for t in node.iter() if _local(t.tag) == "t")
+
+    def column(ref: str) -> int:
+        n = 0
+        for ch in ref:
+            if ch.isalpha():
+                n = 26 * n + ord(ch.upper()) - 64
+        return n
+
+    out = []
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        names = set(z.namelist())
+        shared = [texts(x) for x in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
+        links = {r.attrib["Id"]: r.attrib["Target"] for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        sheets = [n for n in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if _local(n.tag) == "sheet"]
+        for sheet in sheets:
+            target = links[next(v for k, v in sheet.attrib.items() if _local(k) == "id")]
+            root = ElementTree.fromstring(z.read(target.lstrip("/") if target.startswith("/") else f"xl/{target}"))
+            for at, row in enumerate((n for n in root.iter() if _local(n.tag) == "row"), 1):
+                cells: list[str] = []
+                for cell in row:
+                    kind = cell.attrib.get("t", "n")
+                    value = next((v.text or "" for v in cell if _local(v.tag) == "v"), "")
+                    text = shared[int(value)] if kind == "s" else texts(cell) if kind == "inlineStr" else value
+                    place = column(cell.attrib["r"]) if "r" in cell.attrib else len(cells) + 1
+                    cells += [""] * (place - 1 - len(cells)) + [text]
+                if cells:
+                    out.append((sheet.attrib["name"], int(row.attrib.get("r", at)), cells))
+    return out
+
+
+def workbooks(found: DataFrame) -> DataFrame:
+    """Rows of every sheet, with path and error."""
+    return parsed(found, workbook, WORKBOOK_SCHEMA)
+
+
 # ---- sinks ----
 
 

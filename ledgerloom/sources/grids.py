@@ -130,6 +130,31 @@ def read_grid(caption: str, cells: list[list[str]], spec: Grid, year: int | None
     return [(k, label, v) for k, (label, v) in sums.items()]
 
 
+def read_vintage(caption: str, cells: list[list[str]], asked: str, year: str, grades: tuple[tuple[str, str], ...], kept: int = 5) -> list[tuple[str, str, float]]:
+    """(vintage_total_yyyy or vintage_criticized_yyyy, label, value): balances by origination year, the
+    ``kept`` latest, summed over the rows of grades, of which there must be two at least; a table that
+    its caption does not name is none, for its years may be reporting periods."""
+    if not re.search(asked, caption, re.IGNORECASE):
+        return []
+    columns: dict[int, list[int]] = {}
+    for row in cells[:6]:
+        for c, cell in enumerate(row):
+            if m := re.search(year, cell.strip()):
+                columns.setdefault(int(m[1]), []).append(c)
+    rows = [(next((g for p, g in grades if row and re.search(p, row[0], re.IGNORECASE)), None), row) for row in map(joined_parentheses, cells)]
+    rows = [(g, row) for g, row in rows if g]
+    if len(rows) < 2:
+        return []
+    out: dict[str, float] = {}
+    for when in sorted(columns, reverse=True)[:kept]:
+        for grade, row in rows:
+            value = next((n for c in dict.fromkeys(columns[when]) if c < len(row) and (n := number(row[c])) is not None), None)
+            if value is not None:
+                for name in ("total", "criticized")[: 1 + (grade == "criticized")]:
+                    out[f"vintage_{name}_{when}"] = out.get(f"vintage_{name}_{when}", 0.0) + value
+    return [(k, caption[-80:], v) for k, v in out.items()]
+
+
 def read_lines(text: str, rows: tuple[tuple[str, str], ...]) -> list[tuple[str, str, float, float | None]]:
     """(variable, label, value, scale) of text lines: a line that states a unit sets the scale, one
     that speaks of averages stops reading until one of period-end balances; figures followed by %
@@ -152,8 +177,9 @@ def read_lines(text: str, rows: tuple[tuple[str, str], ...]) -> list[tuple[str,
     return list(out.values())
 
 
-def readings(outlines: DataFrame, key: str, tables: list[Table], grids: list[Grid] = (), year: str | None = None) -> DataFrame:
-    """All readings of documents whose tables ``documents.html_outline`` has found; per variable and
+def readings(outlines: DataFrame, key: str, tables: list[Table], grids: list[Grid] = (), year: str | None = None, skip: str | None = None, vintage: tuple | None = None) -> DataFrame:
+    """``skip`` names rows that are never read, ``vintage`` the caption, year and grades of a vintage
+    table. All readings of documents whose tables ``documents.html_outline`` has found; per variable and
     document the most confident, then the largest, is kept by the caller (operators.select.top_one)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,6 +189,10 @@ def readings(outlines: DataFrame, key: str, tables: list[Table], grids: list[Gri
                 for t in found:
                     caption, cells = t["caption"] or "", [list(r) for r in t["cells"]]
                     scale = scale_of(caption, *(" ".join(r) for r in cells[:2]))
+                    if skip:
+                        cells = [r for r in cells if not (r and re.search(skip, r[0], re.IGNORECASE))]
+                    if vintage:
+                        rows += [(str(frame[key].iloc[i]), caption, v, label, n, scale, 0.5) for v, label, n in read_vintage(caption, cells, *vintage)]
                     if spec := choose(caption, cells, tables):
                         rows += [(str(frame[key].iloc[i]), caption, v, label, n, scale, 0.6) for v, label, n in read_rows(caption, cells, spec)]
                     asked = int(frame[year].iloc[i]) if year else None
