@@ -24,14 +24,13 @@ upper bound, so what it calls alike is alike.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
@@ -136,11 +135,11 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - m] + following[:m]
 
 
-WINDOW, EVERY, SAMPLES, BANDS, PER_BAND = 32, 16, 10, 18, 3
+WINDOW, EVERY, SAMPLES, BANDS, PER_BAND = 32, 16, 10, 16, 3
 REGISTERS = BANDS * PER_BAND
 #: Registers that a pair has in common at least: two alike texts share 0.4 of their windows and more
-#: unless their edits are spread evenly, which makes 21 of 54.
-LEAST_AGREE, LEAST, GRAM, LONG = 10, 0.9, 5, 20_000
+#: unless their edits are spread evenly, which makes 19 of 48.
+LEAST_AGREE, LEAST, GRAM, LONG = 13, 0.9, 5, 20_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -224,14 +223,19 @@ def edit_distance(a: str, b: str) -> int:
     return score
 
 
-def aligned_distance(a: str, b: str) -> int:
+def _single(owner: np.ndarray, start: np.ndarray, key: np.ndarray, i: int) -> dict[int, int]:
+    """Where the windows lie that text i holds once."""
+    a, b = np.searchsorted(owner, [i, i + 1])
+    keys, at, n = np.unique(key[a:b], return_index=True, return_counts=True)
+    return dict(zip(keys[n == 1].tolist(), start[a:b][at[n == 1]].tolist(), strict=True))
+
+
+def aligned_distance(a: str, b: str, once: tuple[dict, dict] | None = None, most: int | None = None) -> int:
     """An upper bound on the edit distance: the windows that occur once in either text, as many as
-    keep one order, stay where they are; between them distances are exact."""
-    owner, start, key = windows([a, b])
-    once = []
-    for k in (0, 1):
-        keys, at, n = np.unique(key[owner == k], return_index=True, return_counts=True)
-        once.append(dict(zip(keys[n == 1].tolist(), start[owner == k][at[n == 1]].tolist(), strict=True)))
+    keep one order, stay where they are; between them distances are exact. Beyond ``most`` it may stop."""
+    if once is None:
+        found = windows([a, b])
+        once = (_single(*found, 0), _single(*found, 1))
     pairs = sorted((p, once[1][k]) for k, p in once[0].items() if k in once[1])
     tails, ends, back = [], [], [-1] * len(pairs)  # the longest run that rises in both texts
     for i, (_, q) in enumerate(pairs):
@@ -244,7 +248,10 @@ def aligned_distance(a: str, b: str) -> int:
         i = back[i]
     total, x, y = 0, 0, 0
     for p, q in [*chain[::-1], (len(a), len(b))]:
-        total += edit_distance(a[x:p], b[y:q])
+        if a[x:p] != b[y:q]:
+            total += edit_distance(a[x:p], b[y:q])
+            if most is not None and total > most:
+                break
         x, y = p, q
     return total
 
@@ -254,39 +261,47 @@ class Edits:
 
     def __init__(self, packed: pa.Array):
         self.texts = [_unpacked(x) for x in packed.to_pylist()]
-        n = np.array([max(0, len(t) - GRAM + 1) for t in self.texts], np.int64)
-        flat = np.frombuffer("".join(t + "\0" * GRAM for t in self.texts).encode("utf-32-le"), "<u4").astype(np.uint64)
-        code = np.zeros(len(flat), np.uint64)
-        for k in range(GRAM):
-            code = code * _GOLD + np.roll(flat, -k)
-        first = np.r_[0, np.cumsum([len(t) + GRAM for t in self.texts])][:-1].astype(np.int64)
-        at = np.repeat(first - np.r_[0, np.cumsum(n)][:-1], n) + np.arange(int(n.sum()))
-        owner, code = np.repeat(np.arange(len(n)), n), mix(code[at])
-        order = np.lexsort((code, owner))
-        owner, code = owner[order], code[order]
-        new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])]) if len(owner) else np.empty(0, np.int64)
-        self.code, self.count = code[new], np.diff(np.r_[new, len(owner)])
-        self.at = np.searchsorted(owner[new], np.arange(len(n) + 1))
+        self.found = windows(self.texts)
+        self.once: dict[int, dict[int, int]] = {}
+        self.held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def singles(self, i: int) -> dict[int, int]:
+        if i not in self.once:
+            self.once[i] = _single(*self.found, i)
+        return self.once[i]
+
+    def grams(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in self.held:
+            flat = np.frombuffer(self.texts[i].encode("utf-32-le"), "<u4").astype(np.uint64)
+            n = max(0, len(flat) - GRAM + 1)
+            code = np.zeros(n, np.uint64)
+            for k in range(GRAM):
+                code = code * _GOLD + flat[k : k + n]
+            self.held[i] = np.unique(mix(code), return_counts=True)
+        return self.held[i]
 
     def alike(self, i: int, others: np.ndarray) -> np.ndarray:
-        """An edit spoils at most GRAM of the grams that two texts share, so most pairs need no distance."""
-        out = np.zeros(len(others), bool)
-        mine, many = self.code[self.at[i] : self.at[i + 1]], self.count[self.at[i] : self.at[i + 1]]
-        for k, j in enumerate(others.tolist()):
-            a, b = self.texts[i], self.texts[j]
-            longer = max(len(a), len(b))
-            most = int((1 - LEAST) * longer + 1e-9)
-            if longer - min(len(a), len(b)) > most:
-                continue
-            code, count = self.code[self.at[j] : self.at[j + 1]], self.count[self.at[j] : self.at[j + 1]]
-            if len(mine) and len(code):
-                place = np.minimum(np.searchsorted(mine, code), len(mine) - 1)
-                both = int(np.minimum(count, many[place])[mine[place] == code].sum())
-            else:
-                both = 0
-            if both >= longer - GRAM + 1 - GRAM * most:
-                out[k] = (aligned_distance if longer > LONG else edit_distance)(a, b) <= most
-        return out
+        """Texts that share most of their windows are aligned first, whose bound mostly says yes. Of
+        others an edit spoils at most GRAM of the grams that they share, which mostly says no."""
+        return np.array([self._alike(i, int(j)) for j in others.tolist()], bool)
+
+    def _alike(self, i: int, j: int) -> bool:
+        a, b = self.texts[i], self.texts[j]
+        longer = max(len(a), len(b))
+        most = int((1 - LEAST) * longer + 1e-9)
+        if longer - min(len(a), len(b)) > most:
+            return False
+        x, y = self.singles(i), self.singles(j)
+        if 2 * len(x.keys() & y.keys()) >= max(len(x), len(y)) > 0 and aligned_distance(a, b, (x, y), most) <= most:
+            return True
+        (code, count), (mine, many) = self.grams(i), self.grams(j)
+        both = 0
+        if len(mine) and len(code):
+            place = np.minimum(np.searchsorted(mine, code), len(mine) - 1)
+            both = int(np.minimum(count, many[place])[mine[place] == code].sum())
+        if both < longer - GRAM + 1 - GRAM * most:
+            return False
+        return (aligned_distance(a, b, (x, y), most) if longer > LONG else edit_distance(a, b)) <= most
 
 
 RULE = Rule(REGISTERS, LEAST_AGREE, Edits)
@@ -296,40 +311,62 @@ def _unpacked(packed: bytes) -> str:
     return zstandard.decompress(packed).decode() if packed else ""
 
 
+def _name(text: str) -> Column:
+    return F.unhex(F.md5(text))
+
+
 def sketch(docs: DataFrame) -> DataFrame:
-    """uid, key (doc_id), z (the text, compressed; null counts as empty), name, keys, sig and w, written
-    to the shared folder: texts move and are stored in no other form."""
-    kind = docs.schema["doc_id"]
-    schema = StructType([StructField("key", kind.dataType), StructField("z", BinaryType()), StructField("name", BinaryType()), StructField("keys", ArrayType(LongType())), StructField("sig", BinaryType()), StructField("w", IntegerType())])
+    """uid, key (doc_id), name (of the text; null counts as empty), keys, sig and w, written to the
+    shared folder."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("t").to_pylist()
         least, has = registers(texts)
         lists = [k if ok else [] for k, ok in zip(band_keys(least).tolist(), has.tolist(), strict=True)]
-        raw = [t.encode() for t in texts]
-        pack = zstandard.ZstdCompressor(level=3)
-        cols = [
-            batch.column("key"),
-            pa.array([pack.compress(t) if t else b"" for t in raw], pa.binary()),
-            pa.array([hashlib.md5(t).digest() for t in raw], pa.binary()),
-            pa.array(lists, pa.list_(pa.int64())),
-            pa.array([r.tobytes() for r in (mix(least) >> np.uint64(56)).astype(np.uint8)], pa.binary()),
-            pa.array([len(t) for t in texts], pa.int32()),
-        ]
-        return pa.RecordBatch.from_arrays(cols, ["key", "z", "name", "keys", "sig", "w"])
-
-    out = docs.select(F.col("doc_id").alias("key"), whole().alias("t")).mapInArrow(per_block(run, "t", 2_000_000), schema)
+        sig = [r.tobytes() for r in (mix(least) >> np.uint64(56)).astype(np.uint8)]
+        cols = [batch.column("key"), batch.column("name"), pa.array(lists, pa.list_(pa.int64())), pa.array(sig, pa.binary()), pa.array([len(t) for t in texts], pa.int32())]
+        return pa.RecordBatch.from_arrays(cols, ["key", "name", "keys", "sig", "w"])
+
+    schema = StructType([StructField("key", docs.schema["doc_id"].dataType), StructField("name", BinaryType()), StructField("keys", ArrayType(LongType())), StructField("sig", BinaryType()), StructField("w", IntegerType())])
+    rows = docs.select(F.col("doc_id").alias("key"), whole().alias("t"))
+    out = rows.withColumn("name", _name("t")).mapInArrow(per_block(run, "t", 2_000_000), schema)
     return staged(out.withColumn("uid", F.monotonically_increasing_id()), "sketches")
 
 
-def _classes(sketched: DataFrame) -> DataFrame:
-    """key, name, class_id of the rows whose class has several texts; class_id is its least key."""
+def _packed(docs: DataFrame, column: str, cuts: list | None = None, number: bool = True) -> DataFrame:
+    """key, name and ``column``: the text compressed, the form in which texts move; with ``cuts`` also p,
+    the range that the key falls into."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pack = zstandard.ZstdCompressor(level=3)
+        z = pa.array([pack.compress(t.encode()) if t else b"" for t in batch.column("t").to_pylist()], pa.binary())
+        ranges = [] if cuts is None else [_range(batch.column("key"), cuts, number)]
+        return pa.RecordBatch.from_arrays([batch.column("key"), batch.column("name"), z, *ranges], ["key", "name", column] + ["p"] * (cuts is not None))
+
+    schema = StructType([StructField("key", docs.schema["doc_id"].dataType), StructField("name", BinaryType()), StructField(column, BinaryType())] + [StructField("p", IntegerType())] * (cuts is not None))
+    rows = docs.select(F.col("doc_id").alias("key"), whole().alias("t"))
+    return rows.withColumn("name", _name("t")).mapInArrow(per_block(run, "t", 4_000_000), schema)
+
+
+def _range(keys: pa.Array, cuts: list, number: bool) -> pa.Array:
+    """How many cuts are not beyond the key; a null key comes first."""
+    if number:
+        values = np.array([-np.inf if k is None else float(k) for k in keys.to_pylist()])
+        return pa.array(np.searchsorted(np.array(cuts, float), values, side="right").astype(np.int32))
+    return pa.array([0 if k is None else bisect_right(cuts, k.encode()) for k in keys.to_pylist()], pa.int32())
+
+
+def _classes(sketched: DataFrame, docs: DataFrame) -> DataFrame:
+    """key, name, class_id of the rows whose class has several members; class_id is its least key."""
 
     def texts(asked: DataFrame) -> DataFrame:
-        some = sketched.where(maybe_in(asked.select("id"))(F.col("uid"))).select(F.col("uid").alias("id"), F.col("z").alias("t"))
-        return some.join(asked.select("id"), "id")
+        ids = asked.select("id", "name").withColumn("h", F.xxhash64("name"))
+        rows = docs.select(whole().alias("t")).withColumn("name", _name("t"))
+        some = rows.where(maybe_in(ids.select("h").distinct())(F.xxhash64("name"))).join(ids, "name")
+        one = some.groupBy("id", "name").agg(F.any_value("t").alias("text"))
+        return _packed(one.withColumnRenamed("id", "doc_id"), "t").select(F.col("key").alias("id"), "t")
 
-    found = staged(sketched.select("uid", "key", "name").join(classes(sketched.drop("z"), texts, RULE), "uid").groupBy("root", "key", "name").agg(F.count("*").alias("n")), "members")
+    found = staged(sketched.select("uid", "key", "name").join(classes(sketched, texts, RULE), "uid").groupBy("root", "key", "name").agg(F.count("*").alias("n")), "members")
     least = found.groupBy("root").agg(F.min("key").alias("class_id"), F.sum("n").alias("n")).where("n > 1")
     return found.select("root", "key", "name").join(least.select("root", "class_id"), "root").select("key", "name", "class_id")
 
@@ -339,46 +376,44 @@ def near_classes(docs: DataFrame) -> DataFrame:
     alike by edits that share a band key. Null texts are empty, null ids stay, an empty table gives no
     rows. A text without a partner is its own class; of one id's texts each has its class."""
     sketched = sketch(docs)
-    found = _classes(sketched).withColumnRenamed("key", "k").withColumnRenamed("name", "n")
+    found = _classes(sketched, docs).withColumnRenamed("key", "k").withColumnRenamed("name", "n")
     met = sketched.select("key", "name").join(found, F.col("key").eqNullSafe(F.col("k")) & (F.col("name") == F.col("n")), "left")
     return met.select(F.col("key").alias("doc_id"), F.when(F.col("n").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"))
 
 
-def _in_order(rows: DataFrame, found: DataFrame | None, chars: int = 64_000_000) -> DataFrame:
-    """Rows (key, z, name) dealt by ranges of the key and sorted; before each row what ``found`` (key,
-    name, class_id) says of its key; after each range's rows the first of the next range (of the first
-    range, after the last), marked as guest. Null keys come first; rows of one key are in the order of
-    their names. Keys are numbers or strings."""
-    spark, kind = rows.sparkSession, rows.schema["key"].dataType
+def _in_order(docs: DataFrame, keys: DataFrame, found: DataFrame | None, chars: int = 64_000_000) -> DataFrame:
+    """Rows dealt by ranges of the key and sorted, texts compressed (z); before each row what ``found``
+    (key, name, class_id) says of its key; after each range's rows the first of the next range (of the
+    first range, after the last), marked as guest. keys: key and w of all rows. Null keys come first;
+    rows of one key are in the order of their names. Keys are numbers or strings."""
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType
     number = not isinstance(kind, StringType)
-
-    def ranked(df: DataFrame) -> DataFrame:
-        own = F.coalesce(F.col("key").cast("double"), F.lit(float("-inf"))) if number else F.when(F.col("key").isNull(), "0").otherwise(F.concat(F.lit("1"), "key"))
-        return df.withColumn("k", own)
-
-    rows = ranked(rows.select("key", "z", "name", "w"))
-    parts = max(width(spark), -(-int(rows.agg(F.sum("w")).first()[0] or 0) // chars))
+    rank = F.coalesce(F.col("key").cast("double"), F.lit(float("-inf"))) if number else F.when(F.col("key").isNull(), "0").otherwise(F.concat(F.lit("1"), "key"))
+    ranked = keys.select("key", "w", rank.alias("k"))
+    parts = max(width(spark), -(-int(keys.agg(F.sum("w")).first()[0] or 0) // chars))
     shares = [i / parts for i in range(1, parts)] or [0.5]
     if number:
-        cuts = rows.agg(F.percentile_approx("k", shares, 20_000)).first()[0] or []
-        splits = [-float("inf"), *sorted({c for c in cuts if abs(c) != float("inf")}), float("inf")]
-        deal = (lambda df: Bucketizer(splits=splits, inputCol="k", outputCol="p", handleInvalid="keep").transform(df).withColumn("p", F.col("p").cast("int"))) if len(splits) > 2 else (lambda df: df.withColumn("p", F.lit(0)))
-    else:  # the ranges come of a sample by hash; which rows they hold does not depend on it
-        few = sorted((r[0] for r in rows.select("k").distinct().orderBy(F.xxhash64("k")).limit(20 * parts).collect()), key=str.encode)
-        splits = [few[len(few) * i // parts] for i in range(parts)][1:] if few else []
-        deal = lambda df: df.withColumn("p", F.size(F.filter(F.array(*map(F.lit, splits)).cast("array<string>"), lambda c: c <= F.col("k"))))
-    rows = deal(rows)
-    least = sorted((r[0], r[1]) for r in rows.groupBy("p").agg(F.min("k")).collect())
-    # as many as there are ranges
+        cuts = sorted({c for c in ranked.agg(F.percentile_approx("k", shares, 20_000)).first()[0] or [] if abs(c) != float("inf")})
+    else:  # ranges come of a sample by hash; which rows they hold does not change what a row's next is
+        few = sorted(r[0].encode() for r in keys.where("key is not null").select("key").distinct().orderBy(F.xxhash64("key")).limit(20 * parts).collect())
+        cuts = sorted({few[len(few) * i // parts] for i in range(1, parts)}) if few else []
+
+    def dealt(df: DataFrame, *more: str) -> DataFrame:
+        run = lambda b: pa.RecordBatch.from_arrays([*(b.column(c) for c in ("key", *more)), _range(b.column("key"), cuts, number)], ["key", *more, "p"])
+        schema = StructType([df.schema["key"], *(df.schema[c] for c in more), StructField("p", IntegerType())])
+        return df.select("key", *more).mapInArrow(lambda batches: map(run, batches), schema)
+
+    least = sorted((r[0], r[1]) for r in dealt(ranked, "k").groupBy("p").agg(F.min("k")).collect())
+    # as many rows as there are ranges
     table = spark.createDataFrame([(k, least[i - 1][0]) for i, (_, k) in enumerate(least)], f"k {'double' if number else 'string'}, before int")
-    guest = rows.join(F.broadcast(table), "k", "left")
+    rows = _packed(docs, "z", cuts, number).withColumn("k", rank).join(F.broadcast(table), "k", "left")
     both = F.array(F.struct(F.col("p").alias("p"), F.lit(0).alias("g")), F.struct(F.col("before").alias("p"), F.lit(1).alias("g")))
-    dealt = guest.withColumn("at", F.explode(F.filter(both, lambda x: x.p.isNotNull())))
-    dealt = dealt.select("key", "k", "z", "name", F.col("at.p").alias("p"), F.col("at.g").alias("guest"), F.lit(None).cast(kind).alias("class_id"), F.lit(1).alias("row"))
+    at = rows.withColumn("at", F.explode(F.filter(both, lambda x: x.p.isNotNull())))
+    out = at.select("key", "z", "name", F.col("at.p").alias("p"), F.col("at.g").alias("guest"), F.lit(None).cast(kind).alias("class_id"), F.lit(1).alias("row"))
     if found is not None:
-        told = deal(ranked(found)).select("key", "k", F.lit(None).cast("binary").alias("z"), "name", "p", F.lit(0).alias("guest"), "class_id", F.lit(0).alias("row"))
-        dealt = dealt.unionByName(told)
-    return dealt.repartitionById(max(1, len(splits) + 1), F.col("p")).sortWithinPartitions("guest", "k", "key", "row", "name").select("key", "z", "name", "guest", "class_id", "row")
+        told = dealt(found, "name", "class_id")
+        out = out.unionByName(told.select("key", F.lit(None).cast("binary").alias("z"), "name", "p", F.lit(0).alias("guest"), "class_id", F.lit(0).alias("row")))
+    return out.repartitionById(len(cuts) + 1, F.col("p")).sortWithinPartitions("guest", "key", "row", "name").select("key", "z", "name", "guest", "class_id", "row")
 
 
 def fingerprints(docs: DataFrame, near: bool = False) -> DataFrame:
@@ -389,7 +424,6 @@ def fingerprints(docs: DataFrame, near: bool = False) -> DataFrame:
     come first, rows of one id in the order of their texts' digests; an empty table gives no rows.
     Other columns of ``docs``, whatever their names, are not looked at."""
     kind = docs.schema["doc_id"]
-    sketched = sketch(docs)
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"] + ["class_id"] * near
     schema = StructType([StructField("doc_id", kind.dataType), *StructType.fromDDL("n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double").fields] + [StructField("class_id", kind.dataType)] * near)
 
@@ -433,5 +467,9 @@ def fingerprints(docs: DataFrame, near: bool = False) -> DataFrame:
         return pa.RecordBatch.from_arrays(cols, names)
 
     arrow = to_arrow_type(kind.dataType)
-    rows = _in_order(sketched, _classes(sketched) if near else None)
+    if near:
+        keys = sketch(docs)
+        rows = _in_order(docs, keys, _classes(keys, docs))
+    else:
+        rows = _in_order(docs, docs.select(F.col("doc_id").alias("key"), F.length(whole()).alias("w")), None)
     return rows.mapInArrow(run, schema)
