@@ -142,6 +142,15 @@ class TimeMajor:
         self.index = starts[np.arange(len(step)) - self.offset[step]] + step
         self.lengths, self.steps = lengths, longest
 
+    def spans(self, most: int) -> list[tuple[int, int]]:
+        """Steps cut into spans of about ``most`` positions, so that what is held per position and state
+        stays bounded however long a sequence is."""
+        cuts = [0]
+        while cuts[-1] < self.steps:
+            far = int(np.searchsorted(self.offset, self.offset[cuts[-1]] + most, side="right")) - 1
+            cuts.append(min(self.steps, max(far, cuts[-1] + 1)))
+        return list(zip(cuts[:-1], cuts[1:], strict=True))
+
     def take(self, flat: np.ndarray) -> np.ndarray:
         return flat[self.index]
 

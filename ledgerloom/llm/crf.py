@@ -12,35 +12,54 @@ import numpy as np
 from ._common import TimeMajor
 
 
+#: Positions whose messages are held at once.
+SPAN = 1_000_000
+
+
 def forward_backward(emit: np.ndarray, trans: np.ndarray, start: np.ndarray, lay: TimeMajor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Marginals per position (sequence-major), expected transition counts and the log partition
-    function of each sequence. ``emit`` is sequence-major (positions x states)."""
-    e = lay.take(emit)
-    top = e.max(1, keepdims=True)
-    e = np.exp(e - top)
+    function of each sequence. ``emit`` is sequence-major (positions x states). Messages are held for
+    ``SPAN`` positions at a time; a first pass keeps those at the spans' borders."""
     a, first = np.exp(trans), np.exp(start)
-    alpha, scale = np.empty_like(e), np.empty(len(e))
-    o, n = lay.offset, lay.active
-    for t in range(lay.steps):
-        s = slice(o[t], o[t + 1])
-        x = (first if t == 0 else alpha[o[t - 1] : o[t - 1] + n[t]] @ a) * e[s]
-        c = x.sum(1)
-        alpha[s] = x / c[:, None]
-        scale[s] = c
-    beta = np.ones_like(e)
-    pairs = np.zeros_like(a)
-    for t in range(lay.steps - 2, -1, -1):
-        m = n[t + 1]
-        nxt = slice(o[t + 1], o[t + 2])
-        msg = e[nxt] * beta[nxt] / scale[nxt, None]
-        here = slice(o[t], o[t] + m)
-        pairs += a * (alpha[here].T @ msg)
-        beta[here] = msg @ a.T
-    gamma = lay.put(alpha * beta)
-    z = np.zeros(len(lay.lengths))
-    owner = np.repeat(np.arange(len(lay.lengths)), lay.lengths)
-    if len(owner):
-        z = np.bincount(owner, weights=lay.put(np.log(scale) + top[:, 0]), minlength=len(z))
+    o, n, spans = lay.offset, lay.active, lay.spans(SPAN)
+    border: list[np.ndarray | None] = [None] * len(spans)
+    gamma, pairs, z = np.empty_like(emit), np.zeros_like(a), np.zeros(len(lay.lengths))
+    of = np.repeat(np.arange(len(lay.lengths)), lay.lengths)
+
+    def forward(k: int, keep: bool):
+        t0, t1 = spans[k]
+        at = lay.index[o[t0] : o[t1]]
+        e = emit[at]
+        top = e.max(1, keepdims=True)
+        e = np.exp(e - top)
+        alpha, scale, state = (np.empty_like(e), np.empty(len(e)), border[k]) if keep else (e, e, border[k])
+        for t in range(t0, t1):
+            here = slice(o[t] - o[t0], o[t + 1] - o[t0])
+            x = (first if t == 0 else state[: n[t]] @ a) * e[here]
+            c = x.sum(1)
+            state = x / c[:, None]
+            if keep:
+                alpha[here], scale[here] = state, c
+        if k + 1 < len(spans):
+            border[k + 1] = state
+        return at, e, alpha, scale, top[:, 0]
+
+    for k in range(len(spans) - 1):
+        forward(k, False)
+    later = None  # the message of the step behind
+    for k in range(len(spans) - 1, -1, -1):
+        t0, t1 = spans[k]
+        at, e, alpha, scale, top = forward(k, True)
+        z += np.bincount(of[at], weights=np.log(scale) + top, minlength=len(z))
+        beta = np.ones_like(alpha)
+        for t in range(t1 - 1, t0 - 1, -1):
+            here = slice(o[t] - o[t0], o[t + 1] - o[t0])
+            if later is not None:
+                part = slice(here.start, here.start + len(later))
+                pairs += a * (alpha[part].T @ later)
+                beta[part] = later @ a.T
+            later = e[here] * beta[here] / scale[here, None]
+        gamma[at] = alpha * beta
     return gamma, pairs, z
 
 

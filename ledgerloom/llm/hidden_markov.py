@@ -35,6 +35,8 @@ from ._common import TimeMajor, lower_words, per_block, staged, whole
 STATES, OWN, FREQUENT, SHAPES = 8, 4096, 150_000, 64
 START_TEXTS, START_TEXT, START_SYMBOLS, START_ROUNDS = 600, 15_000, 300_000, 20
 ROUNDS, BARE_ROUNDS, GAIN = 2, 8, 1e-4
+#: Positions whose messages are held at once.
+SPAN = 400_000
 SEED = 7
 
 
@@ -177,25 +179,54 @@ def log_likelihood(symbols: list[bytes], chain: Chain) -> np.ndarray:
 
 
 def expected_counts(symbols: list[bytes], chain: Chain) -> Chain:
-    """The E-step: expected starts, transitions and emissions (not normalised)."""
+    """The E-step: expected starts, transitions and emissions (not normalised).
+
+    Messages are held for ``SPAN`` positions at a time: where there are more, a first pass keeps those
+    at the spans' borders only, and each span's are made anew when the backward pass comes to it."""
     flat, lay = _split(symbols)
     flat, by_symbol = lay.take(flat), np.ascontiguousarray(chain.emit.T)
-    e = by_symbol[flat]
-    alpha, scale, o, n = np.empty_like(e), np.empty(len(e)), lay.offset, lay.active
-    for t in range(lay.steps):
-        x = (chain.start if t == 0 else alpha[o[t - 1] : o[t - 1] + n[t]] @ chain.trans) * e[o[t] : o[t + 1]]
-        c = x.sum(1)
-        alpha[o[t] : o[t + 1]], scale[o[t] : o[t + 1]] = x / c[:, None], c
-    e /= scale[:, None]
-    pairs, beta = np.zeros_like(chain.trans), np.ones_like(alpha)
-    for t in range(lay.steps - 2, -1, -1):
-        m = n[t + 1]
-        msg = e[o[t + 1] : o[t + 2]] * beta[o[t + 1] : o[t + 2]]
-        pairs += alpha[o[t] : o[t] + m].T @ msg
-        beta[o[t] : o[t] + m] = msg @ chain.trans.T
-    beta *= alpha
-    emit = np.stack([np.bincount(flat, weights=beta[:, k], minlength=chain.emit.shape[1]) for k in range(len(chain.start))])
-    return Chain(beta[: n[0]].sum(0) if lay.steps else np.zeros_like(chain.start), pairs * chain.trans, emit, float(np.log(scale).sum()))
+    o, n, states = lay.offset, lay.active, len(chain.start)
+    spans = lay.spans(SPAN)
+    border: list[np.ndarray | None] = [None] * len(spans)
+
+    def forward(k: int, keep: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        t0, t1 = spans[k]
+        e, state = by_symbol[flat[o[t0] : o[t1]]], border[k]
+        alpha, scale = (np.empty_like(e), np.empty(len(e))) if keep else (e, e)
+        for t in range(t0, t1):
+            here = slice(o[t] - o[t0], o[t + 1] - o[t0])
+            x = (chain.start if t == 0 else state[: n[t]] @ chain.trans) * e[here]
+            c = x.sum(1)
+            state = x / c[:, None]
+            if keep:
+                alpha[here], scale[here] = state, c
+        if k + 1 < len(spans):
+            border[k + 1] = state
+        return e, alpha, scale
+
+    for k in range(len(spans) - 1):
+        forward(k, False)
+    pairs, emit, first = np.zeros_like(chain.trans), np.zeros_like(chain.emit), np.zeros_like(chain.start)
+    likelihood, later = 0.0, None  # the message that the next span sends back
+    for k in range(len(spans) - 1, -1, -1):
+        t0, t1 = spans[k]
+        e, alpha, scale = forward(k, True)
+        likelihood += float(np.log(scale).sum())
+        e /= scale[:, None]
+        beta = np.ones_like(alpha)
+        for t in range(t1 - 1, t0 - 1, -1):
+            here = slice(o[t] - o[t0], o[t + 1] - o[t0])
+            if later is not None:
+                m = len(later)
+                part = slice(here.start, here.start + m)
+                pairs += alpha[part].T @ later
+                beta[part] = later @ chain.trans.T
+            later = e[here] * beta[here]
+        gamma = beta * alpha
+        if t0 == 0 and len(gamma):
+            first = gamma[: n[0]].sum(0)
+        emit += np.stack([np.bincount(flat[o[t0] : o[t1]], weights=gamma[:, s], minlength=chain.emit.shape[1]) for s in range(states)])
+    return Chain(first, pairs * chain.trans, emit, likelihood)
 
 
 def maximise(counts: Chain, mass: np.ndarray) -> Chain:

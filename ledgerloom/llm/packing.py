@@ -142,7 +142,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep: tuple[str
         names = [*keep, "piece", "start", "length", "ids_crc32"]
         return pa.RecordBatch.from_arrays(cols + [pa.array(ids, pa.binary())] * with_ids, names + ["ids"] * with_ids)
 
-    return docs.select(*keep, whole().alias("_text")).mapInArrow(per_block(run, "_text", 8_000_000), schema)
+    return docs.select(*keep, whole().alias("_text")).mapInArrow(per_block(run, "_text", 3_000_000), schema)
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:

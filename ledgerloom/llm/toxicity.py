@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from ._common import TimeMajor, Words, bounded_texts, lower_words, per_block, whole
+from ._common import TimeMajor, Words, bounded_texts, lower_words, per_block
 from .crf import fit, forward_backward
 
 SAMPLE_ROWS, SAMPLE_CHARS = 1500, 8_000_000
@@ -272,11 +272,11 @@ def score(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     marginal is a half or more. Null and empty texts have no tokens and score what the curve gives
     for none; repeated rows and null ids are scored each; an empty table gives no rows."""
     docs = docs.drop("toxic_score", "toxic_spans")
-    names, text = docs.columns, "text_" + "_" * max(map(len, docs.columns))
+    names = docs.columns
     more = [StructField("toxic_score", DoubleType())] + [StructField("toxic_spans", SPANS)] * spans
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(text)
+        texts = pc.fill_null(batch.column("text"), "")
         words, vocab = _tokens(texts)
         p, _ = _marginals(words, model.weights(words, vocab), model)
         value = 1 / (1 + np.exp(-np.clip(_summary(p, words.counts) @ model.curve, -30, 30)))
@@ -285,7 +285,7 @@ def score(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
             cols.append(pa.array(_spans(texts, words.counts, p), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))))
         return pa.RecordBatch.from_arrays(cols, [*names, "toxic_score"] + ["toxic_spans"] * spans)
 
-    return docs.withColumn(text, whole()).mapInArrow(per_block(run, text), StructType([*docs.schema.fields, *more]))
+    return docs.mapInArrow(per_block(run, "text", 2_000_000), StructType([*docs.schema.fields, *more]))
 
 
 def _spans(texts: pa.Array, counts: np.ndarray, p: np.ndarray) -> list[list[dict]]:

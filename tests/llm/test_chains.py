@@ -13,7 +13,9 @@ from ledgerloom.llm import crf, hidden_markov, secret_scan, toxicity
 from ledgerloom.llm._common import TimeMajor, fold, lower_words
 
 
-def test_forward_backward_and_viterbi_against_all_paths():
+@pytest.mark.parametrize("span", [1_000_000, 1, 4])
+def test_forward_backward_and_viterbi_against_all_paths(monkeypatch, span):
+    monkeypatch.setattr(crf, "SPAN", span)
     rng = np.random.default_rng(0)
     lengths, states = np.array([3, 0, 5, 1, 4]), 3
     emit, trans, start = rng.normal(size=(lengths.sum(), states)), rng.normal(size=(states, states)), rng.normal(size=states)
@@ -62,6 +64,20 @@ def test_toxicity_on_held_out_rows(labelled):
     assert {hit["text"][s["start"] : s["end"]].strip("!").lower() for s in hit["toxic_spans"]} <= {"grumblefex", "snarkwort"}
 
 
+def test_toxic_words_that_no_labelled_text_holds(spark, prose):
+    """Beginnings and neighbours tell forms of a word that was not in the sample; spans are its offsets."""
+    ends = [a + b for a in "abcdefgh" for b in "xyz"]
+    docs = [(i, f"{prose(25, i)} snarkle{ends[i % 20]} {prose(15, 700 + i)}" if i % 3 == 0 else prose(45, i)) for i in range(300)]
+    docs += [(1000 + i, f"{prose(30, 5000 + i)} snarkle{e}! {prose(8, 6000 + i)}") for i, e in enumerate(ends[20:])]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    rows = {r["doc_id"]: r for r in toxicity.score(frame, toxicity.train(frame, labels), spans=True).collect()}
+    for i, e in enumerate(ends[20:]):
+        r = rows[1000 + i]
+        assert r["toxic_score"] >= toxicity.REJECT and f"snarkle{e}!" in [r["text"][s["start"] : s["end"]] for s in r["toxic_spans"]]
+    assert all(rows[i]["toxic_score"] < toxicity.REJECT for i in range(300) if i % 3)
+
+
 def test_toxicity_edges(labelled, odd, none):
     docs, labels = labelled
     model = toxicity.train(docs, labels)
@@ -99,6 +115,29 @@ def test_language_model_edges(odd, none):
     assert all(r["train_tokens"] == 0 and r["base_score"] == 0 and r["n_known"] == 0 for r in alone)
 
 
+@pytest.mark.parametrize("span", [400_000, 1, 5])
+def test_expected_counts_are_those_of_all_paths(monkeypatch, span):
+    monkeypatch.setattr(hidden_markov, "SPAN", span)
+    rng = np.random.default_rng(9)
+    norm = lambda x: x / x.sum(-1, keepdims=True)
+    chain = hidden_markov.Chain(norm(rng.random(2)), norm(rng.random((2, 2))), norm(rng.random((2, 4))))
+    seqs = [[0, 3, 1, 1, 2], [2], [1, 0], [3, 3, 3]]
+    start, trans, emit, total = np.zeros(2), np.zeros((2, 2)), np.zeros((2, 4)), 0.0
+    for s in seqs:
+        weight = {p: chain.start[p[0]] * chain.emit[p[0], s[0]] * math.prod(chain.trans[p[t - 1], p[t]] * chain.emit[p[t], s[t]] for t in range(1, len(s))) for p in itertools.product(range(2), repeat=len(s))}
+        whole = sum(weight.values())
+        total += math.log(whole)
+        for p, w in weight.items():
+            start[p[0]] += w / whole
+            for t, symbol in enumerate(s):
+                emit[p[t], symbol] += w / whole
+                if t:
+                    trans[p[t - 1], p[t]] += w / whole
+    got = hidden_markov.expected_counts([np.array(s, "<u2").tobytes() for s in seqs], chain)
+    assert np.allclose(got.start, start) and np.allclose(got.trans, trans) and np.allclose(got.emit, emit) and got.likelihood == pytest.approx(total)
+    assert np.allclose(hidden_markov.expected_counts([], chain).emit, 0)
+
+
 def test_forward_recursion_is_the_sum_over_paths():
     rng = np.random.default_rng(3)
     norm = lambda x: x / x.sum(-1, keepdims=True)

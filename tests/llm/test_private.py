@@ -46,9 +46,11 @@ def test_contexts_find_what_patterns_miss(spark, odd, none):
     # distinct seeds in one context, then identifiers of that context which no base pattern takes
     cards = ["4539148803436467", "4111111111111111", "5500005555555559", "340000000000009"]
     texts = known + [f"the member card {c} was seen" for c in cards] + ["the member card 123-456-789 was seen", "some other words 987-654-321 stay", "reach him at operator@localhost please"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    others = ["the member card ZX-81-Q7 was seen", "the member card user_77, was seen", "our product ZX-81-Q7X is here", "the member card plainword was seen"]
+    docs = spark.createDataFrame(list(enumerate(others + texts)), "doc_id bigint, text string")
     rows = {r["doc_id"]: r["spans"] for r in private_spans.find(docs).collect()}
-    n = len(texts)
+    n = len(texts) + len(others)
+    assert [rows[i] for i in range(4)] == ["context:16:24", "context:16:23", "", ""]
     assert rows[n - 3] == "context:16:27" and rows[n - 2] == "" and rows[n - 1].startswith("context:13:")
     assert private_spans.find(odd).count() == odd.count() and private_spans.find(none).count() == 0
 
