@@ -47,7 +47,7 @@ def filing_index_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT s_suppkey + 5000 AS rssd, s_suppkey AS cert, DATE '2010-12-31' AS period, s_acctbal * 1000 AS assets, CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey * 1000.0 END AS deposits, 'tfr' AS source FROM supplier WHERE s_suppkey % 4 <> 0""")
+    SELECT s_suppkey + 5000 AS rssd, s_suppkey AS cert, DATE '2010-12-31' AS period, s_acctbal * 1000 AS assets, CASE WHEN s_suppkey % 3 = 0 THEN CAST(s_nationkey * 1000 AS DOUBLE) END AS deposits, 'tfr' AS source FROM supplier WHERE s_suppkey % 4 <> 0""")
 def bankfind_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = read(spark, sf_dir, "SELECT to_json(named_struct('CERT', s_suppkey, 'REPDTE', '20101231', 'ASSET', s_acctbal, 'DEP', CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey END)) AS j FROM {supplier}")
     rows = raw.select(F.from_json("j", "struct<CERT:bigint,REPDTE:string,ASSET:double,DEP:double>").alias("r")).select("r.*")
@@ -381,7 +381,7 @@ def line_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grids.line_readings(docs, "doc", "text", ((r"^total loans", "total_loans"), (r"^credit card", "credit_card"))).select("doc", "variable", "value", "scale")
 
 
-@query("SELECT s_suppkey AS doc, CASE WHEN s_suppkey % 5 <> 0 THEN 100.0 - s_suppkey % 60 END AS north, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey % 60 AS DOUBLE) END AS south FROM supplier")
+@query("SELECT s_suppkey AS doc, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(100 - s_suppkey % 60 AS DOUBLE) END AS north, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey % 60 AS DOUBLE) END AS south FROM supplier")
 def phrase_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of one phrase, where they add up to about 100."""
     docs = read(spark, sf_dir, "SELECT s_suppkey AS doc, concat('Mix by region: North ', 100 - s_suppkey % 60 + CASE WHEN s_suppkey % 5 = 0 THEN 20 ELSE 0 END, '% and South ', s_suppkey % 60, '%.\\n\\nNorth 5%') AS t FROM {supplier}")
