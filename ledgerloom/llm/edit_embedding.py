@@ -50,6 +50,12 @@ def _bits() -> np.ndarray:
     return bits
 
 
+@cache
+def _rows() -> list[bytes]:
+    """The same, a byte string per step."""
+    return [r.tobytes() for r in _bits().astype(np.uint8)]
+
+
 @cache
 def sampled_steps(octaves: int) -> np.ndarray:
     """The first steps, then FIRST random ones of each [FIRST * 2^k, FIRST * 2^(k+1))."""
@@ -66,49 +72,77 @@ def sample_weights(n: int) -> np.ndarray:
     return np.exp2(np.maximum(0, np.arange(n) // FIRST - 1).astype(float))
 
 
+#: Steps between two looks at which walks have ended, and which changed texts' walks begin.
+STRIDE, FEW = 256, 24
+
+
 def embed(texts: list[str]) -> np.ndarray:
     """Samples of each text's embedded string: 0 to 15, or PAD (texts x samples)."""
-    if not texts:
-        return np.full((0, FIRST), PAD, np.uint8)
-    lengths = np.array([len(t) for t in texts], np.int64)
-    chars = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le"), "<u4").astype(np.uint32)
+    return embed_edited(texts, [])[0]
+
+
+def embed_edited(texts: list[str], changed: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Samples of the texts, and of the first of them as ``edited``. A changed text's walk is its text's
+    until it comes near what was replaced, and starts there."""
+    n, all_ = len(texts), [*texts, *changed]
+    if not all_:
+        return np.full((0, FIRST), PAD, np.uint8), np.full((0, FIRST), PAD, np.uint8)
+    lengths = np.array([len(t) for t in all_], np.int64)
+    chars = np.frombuffer("\0".join([*all_, ""]).encode("utf-32-le"), "<u4").astype(np.uint32)
     kind = (chars * np.uint32(2654435761) >> np.uint32(16)) % np.uint32(255) + np.uint32(1)
     two = chars * np.uint32(0x85EBCA6B) + np.roll(chars, -1) * np.uint32(0xC2B2AE35)
     symbol = ((two ^ (two >> np.uint32(15))) * np.uint32(0x27D4EB2F) >> np.uint32(28)).astype(np.uint8)
     end = np.cumsum(lengths + 1) - 1
     kind = kind.astype(np.uint8)
     kind[end], symbol[end] = 0, PAD
-    at = (end - lengths).astype(np.int32 if len(chars) < 2**31 else np.int64)
+    first = (end - lengths).astype(np.int32 if len(chars) < 2**31 else np.int64)
+    # where a text's walk must have been left: a sample also looks at the next character
+    near = first[: len(changed)] + lengths[: len(changed)] - lengths[: len(changed)] // 4 - 2 - STRIDE
+    left = np.zeros(len(changed), bool)
     # a walk of n characters takes 2n steps on average; octaves are added as walks need them
-    rows, bits, columns = np.arange(len(texts)), _bits(), []
-    octaves, step = 0, 0
-    steps = sampled_steps(0)
-    done = 0
-    c = np.take(kind, at)
+    rows, at = np.arange(n), first[:n].copy()
+    c, bits, columns = np.take(kind, at), _bits(), []
+    octaves, step, done, steps, flat = 0, 0, 0, sampled_steps(0), None
     while True:
-        column = np.full(len(texts), PAD, np.uint8)
-        while step < steps[done]:
-            stop = min(int(steps[done]), (step // 256 + 1) * 256)
+        if step % STRIDE == 0:
+            if step:
+                live = c != 0
+                rows, at, c = rows[live], at[live], c[live]
+            own = rows < len(changed)
+            go = np.flatnonzero(own)[at[own] > near[rows[own]]]
+            go = go[~left[rows[go]]]
+            if len(go):
+                mine = rows[go]
+                left[mine] = True
+                rows, at = np.r_[rows, n + mine], np.r_[at, at[go] - first[mine] + first[n + mine]]
+                c = np.take(kind, at)
+        if step == steps[done]:
+            column = np.full(len(all_), PAD, np.uint8)
+            column[rows] = np.take(symbol, at)
+            column[n:][~left] = column[: len(changed)][~left]
+            columns.append(column)
+            done += 1
+            if done == len(steps):
+                if not c.any():
+                    break
+                octaves += 1
+                steps = sampled_steps(octaves)
+        stop = min(int(steps[done]), (step // STRIDE + 1) * STRIDE)
+        if len(rows) > FEW:
             for j in range(step, stop):
                 at += np.take(bits[j % PERIOD], c)
                 np.take(kind, at, out=c)
-            step = stop
-            if step % 256 == 0 and (live := c != 0).sum() < len(c):
-                rows, at, c = rows[live], at[live], c[live]
-                if not len(rows):
-                    break
-        column[rows] = np.take(symbol, at)
-        columns.append(column)
-        done += 1
-        if done == len(steps):
-            if not len(rows) or not c.any():
-                break
-            octaves += 1
-            steps = sampled_steps(octaves)
-        elif not len(rows):
-            columns += [np.full(len(texts), PAD, np.uint8)] * (len(steps) - done)
-            break
-    return np.stack(columns, 1)
+        elif len(rows):  # the longest texts' ends: a vector of a few walks costs as much as one of many
+            flat = kind.tobytes() if flat is None else flat
+            moves = _rows()[step % PERIOD : step % PERIOD + stop - step]
+            for w, place in enumerate(at.tolist()):
+                for move in moves:
+                    place += move[flat[place]]
+                at[w] = place
+            c = np.take(kind, at)
+        step = stop
+    samples = np.stack(columns, 1)
+    return samples[:n], samples[n:]
 
 
 def as_strings(samples: np.ndarray) -> list[str]:
@@ -137,9 +171,9 @@ def edited(text: str, following: str) -> str:
 
 WINDOW, EVERY, SAMPLES, BANDS, PER_BAND = 32, 16, 10, 16, 3
 REGISTERS = BANDS * PER_BAND
-#: Registers that a pair has in common at least: two alike texts share 0.4 of their windows and more
-#: unless their edits are spread evenly, which makes 19 of 48.
-LEAST_AGREE, LEAST, GRAM, LONG = 13, 0.9, 5, 20_000
+#: Registers that a pair has in common at least: of texts with a tenth of their words replaced 27 of 48
+#: on average, 18 at least of forty; of texts that share a passage 10 or so.
+LEAST_AGREE, LEAST, GRAM, LONG = 17, 0.9, 5, 3000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -191,9 +225,9 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def edit_distance(a: str, b: str) -> int:
+def edit_distance(a: str, b: str, most: int | None = None) -> int:
     """Levenshtein distance by bit vectors as long as the shorter text, without what both begin and
-    end with."""
+    end with. With ``most`` it stops where every way on costs more, with a bound beyond it."""
     low, high = 0, min(len(a), len(b))
     while low < high:
         mid = (low + high + 1) // 2
@@ -213,7 +247,10 @@ def edit_distance(a: str, b: str) -> int:
         where[ch] = where.get(ch, 0) | 1 << i
     mask, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, score = mask, 0, len(a)
-    for ch in b:
+    looks = {len(b) * k // 8 for k in range(2, 8)} if most is not None and len(b) > 400 else ()
+    for r, ch in enumerate(b):
+        if r in looks and (bound := _least_on(up, down, len(a), len(b), r)) > most:
+            return bound
         eq = where.get(ch, 0)
         diag = (((eq & up) + up) ^ up) | eq | down
         plus, minus = down | (mask & ~(diag | up)), up & diag
@@ -223,6 +260,13 @@ def edit_distance(a: str, b: str) -> int:
     return score
 
 
+def _least_on(up: int, down: int, n: int, total: int, r: int) -> int:
+    """The least that a way through row r costs: its distance there, and what the lengths left differ by."""
+    unpack = lambda v: np.unpackbits(np.frombuffer(v.to_bytes(-(-n // 8), "little"), np.uint8), bitorder="little")[:n].astype(np.int64)
+    there = r + np.r_[0, np.cumsum(unpack(up) - unpack(down))]
+    return int((there + np.abs((n - np.arange(n + 1)) - (total - r))).min())
+
+
 def _single(owner: np.ndarray, start: np.ndarray, key: np.ndarray, i: int) -> dict[int, int]:
     """Where the windows lie that text i holds once."""
     a, b = np.searchsorted(owner, [i, i + 1])
@@ -281,8 +325,8 @@ class Edits:
         return self.held[i]
 
     def alike(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Texts that share most of their windows are aligned first, whose bound mostly says yes. Of
-        others an edit spoils at most GRAM of the grams that they share, which mostly says no."""
+        """An edit spoils at most GRAM of the grams that two texts share, which often says no; the aligned
+        distance is a bound that mostly says yes; the exact one decides the rest."""
         return np.array([self._alike(i, int(j)) for j in others.tolist()], bool)
 
     def _alike(self, i: int, j: int) -> bool:
@@ -292,16 +336,19 @@ class Edits:
         if longer - min(len(a), len(b)) > most:
             return False
         x, y = self.singles(i), self.singles(j)
-        if 2 * len(x.keys() & y.keys()) >= max(len(x), len(y)) > 0 and aligned_distance(a, b, (x, y), most) <= most:
+        many = 5 * len(x.keys() & y.keys()) >= 4 * max(len(x), len(y)) > 0
+        if not many and self._shared(i, j) < longer - GRAM + 1 - GRAM * most:
+            return False
+        if aligned_distance(a, b, (x, y), most) <= most:
             return True
+        return longer <= LONG and edit_distance(a, b, most) <= most
+
+    def _shared(self, i: int, j: int) -> int:
         (code, count), (mine, many) = self.grams(i), self.grams(j)
-        both = 0
-        if len(mine) and len(code):
-            place = np.minimum(np.searchsorted(mine, code), len(mine) - 1)
-            both = int(np.minimum(count, many[place])[mine[place] == code].sum())
-        if both < longer - GRAM + 1 - GRAM * most:
-            return False
-        return (aligned_distance(a, b, (x, y), most) if longer > LONG else edit_distance(a, b)) <= most
+        if not len(mine) or not len(code):
+            return 0
+        place = np.minimum(np.searchsorted(mine, code), len(mine) - 1)
+        return int(np.minimum(count, many[place])[mine[place] == code].sum())
 
 
 RULE = Rule(REGISTERS, LEAST_AGREE, Edits)
@@ -359,10 +406,10 @@ def _range(keys: pa.Array, cuts: list, number: bool) -> pa.Array:
 def _classes(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     """key, name, class_id of the rows whose class has several members; class_id is its least key."""
 
-    def texts(asked: DataFrame) -> DataFrame:
+    def texts(asked: DataFrame, n: int) -> DataFrame:
         ids = asked.select("id", "name").withColumn("h", F.xxhash64("name"))
         rows = docs.select(whole().alias("t")).withColumn("name", _name("t"))
-        some = rows.where(maybe_in(ids.select("h").distinct())(F.xxhash64("name"))).join(ids, "name")
+        some = rows.where(maybe_in(ids.select("h"), n)(F.xxhash64("name"))).join(ids, "name")
         one = some.groupBy("id", "name").agg(F.any_value("t").alias("text"))
         return _packed(one.withColumnRenamed("id", "doc_id"), "t").select(F.col("key").alias("id"), "t")
 
@@ -453,8 +500,8 @@ def fingerprints(docs: DataFrame, near: bool = False) -> DataFrame:
 
     def block(ids: list, texts: list[str], n: int, found: list) -> pa.RecordBatch:
         changed = [edited(a, b) for a, b in zip(texts[:n], texts[1 : n + 1], strict=True)]
-        both = embed(texts[: n + 1] + changed)
-        own, after, new = both[:n], both[1 : n + 1], both[n + 1 :]
+        both, new = embed_edited(texts[: n + 1], changed)
+        own, after = both[:n], both[1 : n + 1]
         cols = [
             pa.array(ids[:n], arrow),
             pa.array([len(t) for t in texts[:n]], pa.int64()),

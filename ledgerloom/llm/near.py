@@ -49,42 +49,47 @@ class Rule:
         return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, self.registers)
 
 
-#: Bits of the filter that tells which rows a join can leave out: 1 MB, whatever the input.
-FILTER_BITS = 1 << 23
+#: Bits of the filter that tells which rows a join can leave out: 16 for each id, at most 16 MB in all.
+LEAST_BITS, MOST_BITS, SLICES = 1 << 16, 1 << 27, 16
 
 
-def _places(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+def maybe_in(ids: DataFrame, n: int) -> Callable[[Column], Column]:
+    """A condition on ids that holds for all of ``ids`` (one long column of n rows) and few others: one
+    hash into a bit map. Where very many ids fill it, it only lets more rows through. Tasks send the
+    map in slices, which are joined as they come."""
+    name, bits = ids.columns[0], min(MOST_BITS, max(LEAST_BITS, 1 << (16 * n).bit_length()))
+    size = bits // 8 // SLICES
 
+    def places(values: np.ndarray) -> np.ndarray:
+        return (mix(values.astype(np.int64).view(np.uint64)) % np.uint64(bits)).astype(np.int64)
 
-def maybe_in(ids: DataFrame) -> Callable[[Column], Column]:
-    """A condition on ids that holds for all of ``ids`` (one long column) and few others: one hash
-    into a bit map of fixed size. Where very many ids fill it, it only lets more rows through."""
-    name = ids.columns[0]
+    def rows(found: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([x.tobytes() for x in found.values()], pa.binary())], ["slice", "bits"])
 
     def local(batches):
-        bits = np.zeros(FILTER_BITS, bool)
+        held = np.zeros(bits, bool)
         for batch in batches:
-            bits[_places(np.asarray(batch.column(name)))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
-
-    def merge(group):
-        total = np.zeros(FILTER_BITS // 8, np.uint8)
-        for raw in group["bits"]:
-            total |= np.frombuffer(raw, np.uint8)
-        return pd.DataFrame({"bits": [total.tobytes()]})
-
-    parts = ids.mapInArrow(local, "bits binary")
-    merged = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(16)).alias("g")).applyInPandas(merge, "bits binary")
-    total = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in merged.collect():
-        total |= np.frombuffer(bytes(row["bits"]), np.uint8)
-    packed = total.tobytes()
+            held[places(np.asarray(batch.column(name)))] = True
+        packed = np.packbits(held).reshape(SLICES, size)
+        yield rows({k: x for k, x in enumerate(packed) if x.any()})
+
+    def merge(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column("slice").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                found[k] = np.frombuffer(raw, np.uint8) | found.get(k, np.uint8(0))
+        yield rows(found)
+
+    schema = "slice int, bits binary"
+    total = np.zeros((SLICES, size), np.uint8)
+    for row in ids.mapInArrow(local, schema).repartition(SLICES, "slice").mapInArrow(merge, schema).collect():
+        total[row["slice"]] |= np.frombuffer(bytes(row["bits"]), np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(total.tobytes())
 
     @F.pandas_udf("boolean")
     def hit(col: pd.Series) -> pd.Series:
-        at = _places(col.to_numpy())
-        return pd.Series((np.frombuffer(packed, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+        at = places(col.to_numpy())
+        return pd.Series((np.frombuffer(shared.value, np.uint8)[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
 
     return lambda column: hit(column)
 
@@ -185,9 +190,9 @@ def _near(rule: Rule):
     return find
 
 
-def classes(sketched: DataFrame, texts: Callable[[DataFrame], DataFrame], rule: Rule) -> DataFrame:
+def classes(sketched: DataFrame, texts: Callable[[DataFrame, int], DataFrame], rule: Rule) -> DataFrame:
     """uid, root (the least uid of the class) of every row of the sketch. ``texts`` gives id and text
-    (t) of the nodes asked for (id, name; an id is the least uid of its name)."""
+    (t) of the nodes asked for (id, name; an id is the least uid of its name) and how many they are."""
     rows = sketched.select("uid", "name")
     named = rows.groupBy("name").agg(F.min("uid").alias("id"))
     nodes = staged(named.join(sketched.select(F.col("uid").alias("id"), "keys", "sig", "w"), "id"), "nodes")
@@ -207,7 +212,7 @@ def classes(sketched: DataFrame, texts: Callable[[DataFrame], DataFrame], rule:
     inside = families.select(F.col("root").alias("g"), F.col("node").alias("id")).join(central, "id")
     leads = inside.groupBy("g").agg(F.max_by("id", "rank").alias("lead"))
     inside = staged(inside.select("g", "id").join(leads, "g"), "families")
-    text = staged(texts(inside.select("id").join(nodes.select("id", "name"), "id")), "candidate-texts")
+    text = staged(texts(inside.select("id").join(nodes.select("id", "name"), "id"), inside.count()), "candidate-texts")
     links = _verified(inside.select("lead", "id"), text, rule)
     hit = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("hit", F.lit(True))
     inside = inside.join(hit, "id", "left").withColumn("r", F.when(F.coalesce("hit", F.lit(False)), F.col("lead")).otherwise(F.col("id")))

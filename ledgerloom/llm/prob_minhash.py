@@ -177,8 +177,8 @@ RULE = Rule(REGISTERS, LEAST_AGREE, Bags)
 
 
 def _classes(sketched: DataFrame) -> DataFrame:
-    def texts(asked: DataFrame) -> DataFrame:
-        some = sketched.where(maybe_in(asked.select("id"))(F.col("uid"))).select(F.col("uid").alias("id"), whole("t").alias("t"))
+    def texts(asked: DataFrame, n: int) -> DataFrame:
+        some = sketched.where(maybe_in(asked.select("id"), n)(F.col("uid"))).select(F.col("uid").alias("id"), whole("t").alias("t"))
         return some.join(asked.select("id"), "id")
 
     return classes(sketched, texts, RULE)
@@ -208,7 +208,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "uid"))["uid"].alias("uid"))
     dropped = staged(rooted.select("uid").join(first, "uid", "left_anti"), "dropped")
     # only rows that the filter cannot clear meet the join, so texts that stay are not moved
-    marked = sketched.withColumn("maybe", maybe_in(dropped)(F.col("uid")))
+    marked = sketched.withColumn("maybe", maybe_in(dropped, dropped.count())(F.col("uid")))
     clear, rest = marked.where("not maybe"), marked.where("maybe").join(dropped, "uid", "left_anti")
     own = [F.col({"doc_id": "key", "text": "t"}[c]).alias(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns]
     return clear.select(*own).unionByName(rest.select(*own))

@@ -167,6 +167,21 @@ def test_edit_distance():
     for _ in range(300):
         a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(12))) for _ in range(2))
         assert edit_embedding.edit_distance(a, b) == plain_distance(a, b)
+    for _ in range(20):
+        a = "".join(rng.choice("abcdef") for _ in range(700))
+        b = "".join(rng.choice("abcdef") if rng.random() < 0.2 else c for c in a)[rng.randrange(9) :]
+        d = edit_embedding.edit_distance(a, b)
+        for most in (d // 3, d - 1, d, d + 5):
+            got = edit_embedding.edit_distance(a, b, most)
+            assert got == d if got <= most or d <= most else most < got <= d
+
+
+def test_walks_taken_up_again(prose):
+    texts = [prose(n, n) for n in (1, 3, 40, 300, 900, 2500)] + ["", "x", "\u00e9" * 50]
+    changed = [edit_embedding.edited(t, u) for t, u in zip(texts[:-1], texts[1:])]
+    own, new = edit_embedding.embed_edited(texts, changed)
+    assert edit_embedding.as_strings(own) == edit_embedding.as_strings(edit_embedding.embed(texts))
+    assert edit_embedding.as_strings(new) == edit_embedding.as_strings(edit_embedding.embed(changed))
 
 
 def test_near_classes_by_edits(spark, prose):
