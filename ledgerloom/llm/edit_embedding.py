@@ -305,7 +305,11 @@ class Edits:
 
     def __init__(self, packed: pa.Array):
         self.texts = [_unpacked(x) for x in packed.to_pylist()]
-        self.found = windows(self.texts)
+        # some texts at a time: while windows are found, a character takes about 30 bytes
+        part = np.cumsum([len(t) for t in self.texts]) // 500_000 if self.texts else np.empty(0, int)
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else part
+        found = [(a, windows(self.texts[a:b])) for a, b in zip(starts.tolist(), [*starts.tolist()[1:], len(part)], strict=True)]
+        self.found = tuple(np.concatenate(x) for x in zip(*((o + a, p, k) for a, (o, p, k) in found), strict=True)) if found else windows([])
         self.once: dict[int, dict[int, int]] = {}
         self.held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
