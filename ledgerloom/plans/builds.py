@@ -62,13 +62,16 @@ def bank_panel_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHARTER = f"""
     SELECT s, last_day(make_date(year(d), quarter(d) * 3, 1)) AS period, floor(sum(v) / 1000) AS v, floor(sum(CASE WHEN f = 'A' THEN v ELSE 0 END) / 1000) AS a, floor(sum(CASE WHEN t = 'F' THEN v ELSE 0 END) / 1000) AS w
     FROM ({SIDES}) x GROUP BY 1, 2"""
+# What the queries read: the same sums in decimals, exact in whatever order; a sum of doubles may fall
+# just below the whole thousand that it is.
+CHARTERED = f"SELECT s, period, CAST(v AS BIGINT) AS v, CAST(a AS BIGINT) AS a, CAST(w AS BIGINT) AS w FROM ({CHARTER.replace('l_extendedprice AS v', 'CAST(l_extendedprice AS DECIMAL(22, 6)) AS v')}) y"
 _LINES = [
     ("RC", "RCON", "2170", "v", "true"), ("RC", "RCFD", "2170", "v + 7", "s % 2 = 0"), ("RC", "RCON", "2200", "w", "true"), ("RC", "RCFN", "2200", "w + 1", "s % 3 = 0"), ("RC", "RCON", "B528", "v + a", "true"),
     ("RCCI", "RCON", "1766", "a", "s % 4 = 0"), ("RCCI", "RCON", "1763", "a + 1", "s % 4 <> 0"), ("RCCI", "RCFD", "1764", "w", "s % 4 = 1"), ("RCCI", "RCON", "1480", "w", "s % 5 <> 0"), ("RCCI", "RCON", "F160", "v", "s % 5 = 0"), ("RCCI", "RCON", "F161", "a", "s % 5 = 0"),
     ("RCCI", "RCON", "2122", "v + 3", "true"), ("RCN", "RCON", "1403", "a", "s % 2 = 1"), ("RCN", "RCON", "1608", "w", "s % 2 = 0"), ("RCN", "RCON", "3495", "a", "s % 2 = 0"), ("RCN", "RCON", "1407", "a", "s % 3 <> 0"),
     ("RC", "RCON", "3210", "v", "true"), ("RCM", "RCON", "2143", "a", "s % 3 = 1"), ("RC", "RCON", "3163", "w", "s % 3 = 2"), ("RC", "RCON", "3123", "w", "true"),
 ]
-CALL_LONG = f"WITH c AS ({CHARTER}), y AS (SELECT s, period, sum(a) OVER (PARTITION BY s, year(period) ORDER BY period) AS co, sum(w) OVER (PARTITION BY s, year(period) ORDER BY period) AS re FROM c) " + " UNION ALL ".join(
+CALL_LONG = f"WITH c AS ({CHARTERED}), y AS (SELECT s, period, sum(a) OVER (PARTITION BY s, year(period) ORDER BY period) AS co, sum(w) OVER (PARTITION BY s, year(period) ORDER BY period) AS re FROM c) " + " UNION ALL ".join(
     [f"SELECT CAST(s AS BIGINT) AS rssd, period, '{sch}' AS schedule, '{p}' AS prefix, '{i}' AS item, CAST({v} AS DOUBLE) AS value FROM c WHERE {where}" for sch, p, i, v, where in _LINES]
     + [f"SELECT CAST(s AS BIGINT), period, 'RIBI', 'RIAD', '{i}', CAST({v} AS DOUBLE) FROM y" for i, v in (("4635", "co"), ("4605", "re"))]
 )

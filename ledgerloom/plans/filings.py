@@ -14,7 +14,7 @@ from ..functions.periods import stamp_to_date
 from ..operators import fill, graph, lineage, quality
 from ..session import checkpoint_dir
 from ..sources import discovery, documents, grids, registry, specs
-from .builds import CHARTER
+from .builds import CHARTER, CHARTERED
 from .catalog import DAY, PANEL, query, read
 from .reports import KEY, READINGS, SCALED
 
@@ -120,22 +120,22 @@ _READ = f"SELECT * FROM ({CHARTER}) c WHERE period <> DATE '1996-03-31'"
     UNION ALL SELECT s, period, 'RCN', 'RCON', '1403', CAST(a AS DOUBLE) FROM ({_READ}) x UNION ALL SELECT s, period, 'RCN', 'RCON', '1407', CASE WHEN s % 5 <> 0 THEN CAST(w AS DOUBLE) END FROM ({_READ}) x""")
 def call_report_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide schedules to long rows; one archive is broken and gives none."""
-    return documents.sound(documents.call_reports(_zips(read(spark, sf_dir, CHARTER)))).drop("code")
+    return documents.sound(documents.call_reports(_zips(read(spark, sf_dir, CHARTERED)))).drop("code")
 
 
 @query(f"SELECT s AS rssd, concat('BANK ', s) AS name, CASE WHEN s % 2 = 0 THEN '031' ELSE '041' END AS form, period FROM ({_READ}) x")
 def roster_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.sound(documents.rosters(_zips(read(spark, sf_dir, CHARTER))))
+    return documents.sound(documents.rosters(_zips(read(spark, sf_dir, CHARTERED))))
 
 
 @query(f"SELECT DISTINCT period, schedule, code, label FROM ({_READ}) x, (VALUES ('RC', 'RCON2170', 'Total assets'), ('RC', 'RCFD2170', 'Total assets'), ('RCN', 'RCON1403', 'Nonaccrual'), ('RCN', 'RCON1407', 'Past due')) l(schedule, code, label)")
 def label_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.sound(documents.dictionaries(_zips(read(spark, sf_dir, CHARTER))))
+    return documents.sound(documents.dictionaries(_zips(read(spark, sf_dir, CHARTERED))))
 
 
 @query("SELECT '03311996.zip' AS path, 'BadZipFile: File is not a zip file' AS error")
 def failed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.failures(documents.call_reports(_zips(read(spark, sf_dir, CHARTER))))
+    return documents.failures(documents.call_reports(_zips(read(spark, sf_dir, CHARTERED))))
 
 
 def _books(rows: DataFrame) -> DataFrame:
