@@ -32,11 +32,12 @@ def edges_at(edges: DataFrame, days: DataFrame, day: str = "period") -> DataFram
 
 def closure(roots: DataFrame, edges: DataFrame, group: list[str], depth: int | None = 12) -> DataFrame:
     """(group, root, node, depth): what each root reaches within ``depth`` steps (None: as far as the
-    edges go), breadth first, the root itself at depth 0. Cycles end by an anti-join on what was seen. Every
-    round is a checkpoint, so plans stay short and a lost executor costs one round."""
-    seen = roots.select(*group, "root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
+    edges go), breadth first, the root itself at depth 0. Cycles end by an anti-join on what was seen. Roots,
+    edges and every round are checkpoints, so no round runs again what made them, plans stay short and a
+    lost executor costs one round."""
+    seen = cut(roots.select(*group, "root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct())
     front = seen
-    keyed = edges.select(*group, F.col("parent").alias("node"), "child")
+    keyed = cut(edges.select(*group, F.col("parent").alias("node"), "child"))
     for d in count(1) if depth is None else range(1, depth + 1):
         reached = front.join(keyed, [*group, "node"]).select(*group, "root", F.col("child").alias("node")).distinct()
         front = cut(reached.join(seen, [*group, "root", "node"], "left_anti").withColumn("depth", F.lit(d)))

@@ -3,7 +3,9 @@
 from itertools import accumulate
 
 import pandas as pd
+from pyspark.sql import functions as F
 
+from ledgerloom.operators import graph
 from ledgerloom.plans import filings
 
 
@@ -15,3 +17,20 @@ def test_charters_are_summed_exactly(spark, tmp_path):
     pd.DataFrame(sold).astype({"l_shipdate": "datetime64[us]"}).to_parquet(tmp_path / "lineitem.parquet")
     got = filings.call_report_zip(spark, str(tmp_path)).collect()
     assert sorted((r["prefix"], r["item"], r["value"]) for r in got) == [("RCON", "1403", 833.0), ("RCON", "1407", 833.0), ("RCON", "2170", 833.0)]
+
+
+def test_closure_reads_edges_and_roots_once(spark):
+    """A checkpoint may run what it keeps twice, but no round runs it again."""
+    edges_read, roots_read = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counted(total):
+        def same(x):
+            total.add(1)
+            return x
+
+        return F.udf(same, "bigint")
+
+    edges = spark.range(1, 9).select(F.lit(1).alias("g"), counted(edges_read)(F.col("id")).alias("parent"), (F.col("id") + 1).alias("child"))
+    roots = spark.range(1, 2).select(F.lit(1).alias("g"), counted(roots_read)(F.col("id")).alias("root"))
+    assert graph.closure(roots, edges, ["g"]).count() == 9
+    assert edges_read.value <= 2 * 8 and roots_read.value <= 2
