@@ -62,11 +62,13 @@ def uncached_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- XML ----
 
+_LINES_OF = """SELECT l_orderkey, collect_list(line) AS lines FROM (SELECT l_orderkey, struct(l_linenumber, l_partkey, l_returnflag, CAST(l_quantity AS INT) AS quantity, CAST(CAST(l_shipdate AS DATE) AS STRING) AS day, concat(l_linenumber, 'x', l_partkey, l_returnflag, date_format(l_shipdate, 'yyyyMMdd')) AS id) AS line
+    FROM (SELECT /*+ REPARTITION(l_orderkey) */ * FROM {lineitem}) x) y GROUP BY l_orderkey"""  # rows travel, not texts
 _XML = """concat('<x xmlns="http://www.xbrl.org/2003/instance" xmlns:g="http://g/2024" xmlns:d="http://xbrl.org/2006/xbrldi" xmlns:i="http://www.w3.org/2001/XMLSchema-instance"><unit id="u"><measure>iso4217:USD</measure></unit>',
-    '<unit id="r"><divide><unitNumerator><measure>iso4217:USD</measure></unitNumerator><unitDenominator><measure>shares</measure></unitDenominator></divide></unit>', array_join(array_sort(collect_list(concat(
-    '<context id="c', l_linenumber, 'x', l_partkey, l_returnflag, date_format(l_shipdate, 'yyyyMMdd'), '"><entity><segment><d:explicitMember dimension="g:ClassAxis">g:', l_returnflag, 'Member</d:explicitMember>', CASE WHEN l_linenumber % 2 = 0 THEN concat('<d:typedMember dimension="g:PartAxis"><v>', l_partkey, '</v></d:typedMember>') ELSE '' END,
-    '</segment></entity><period>', CASE WHEN l_linenumber % 3 = 0 THEN concat('<startDate>1996-01-01</startDate><endDate>', CAST(CAST(l_shipdate AS DATE) AS STRING), '</endDate>') ELSE concat('<instant>', CAST(CAST(l_shipdate AS DATE) AS STRING), '</instant>') END, '</period></context>',
-    '<g:Quantity contextRef="c', l_linenumber, 'x', l_partkey, l_returnflag, date_format(l_shipdate, 'yyyyMMdd'), '" unitRef="', CASE WHEN l_linenumber = 2 THEN 'r' ELSE 'u' END, '" scale="3"', CASE WHEN l_returnflag = 'R' THEN ' sign="-"' ELSE '' END, CASE WHEN l_linenumber = 5 THEN ' i:nil="true"' ELSE '' END, '>', CAST(l_quantity AS INT), '</g:Quantity>'))), ''),
+    '<unit id="r"><divide><unitNumerator><measure>iso4217:USD</measure></unitNumerator><unitDenominator><measure>shares</measure></unitDenominator></divide></unit>', array_join(sort_array(transform(lines, l -> concat(
+    '<context id="c', l.id, '"><entity><segment><d:explicitMember dimension="g:ClassAxis">g:', l.l_returnflag, 'Member</d:explicitMember>', CASE WHEN l.l_linenumber % 2 = 0 THEN concat('<d:typedMember dimension="g:PartAxis"><v>', l.l_partkey, '</v></d:typedMember>') ELSE '' END,
+    '</segment></entity><period>', CASE WHEN l.l_linenumber % 3 = 0 THEN concat('<startDate>1996-01-01</startDate><endDate>', l.day, '</endDate>') ELSE concat('<instant>', l.day, '</instant>') END, '</period></context>',
+    '<g:Quantity contextRef="c', l.id, '" unitRef="', CASE WHEN l.l_linenumber = 2 THEN 'r' ELSE 'u' END, '" scale="3"', CASE WHEN l.l_returnflag = 'R' THEN ' sign="-"' ELSE '' END, CASE WHEN l.l_linenumber = 5 THEN ' i:nil="true"' ELSE '' END, '>', l.quantity, '</g:Quantity>'))), ''),
     CASE WHEN l_orderkey % 97 = 0 THEN '<broken' ELSE '</x>' END)"""
 
 
@@ -78,7 +80,7 @@ _XML = """concat('<x xmlns="http://www.xbrl.org/2003/instance" xmlns:g="http://g
 def xbrl_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An instance per order: contexts with explicit and typed members, units, scale, sign and nil; a
     broken one comes back with its message and no fact."""
-    found = read(spark, sf_dir, f"SELECT CAST(l_orderkey AS STRING) AS path, CAST({_XML} AS BINARY) AS content FROM {{lineitem}} GROUP BY l_orderkey")
+    found = read(spark, sf_dir, f"SELECT CAST(l_orderkey AS STRING) AS path, CAST({_XML} AS BINARY) AS content FROM ({_LINES_OF}) o")
     rows = documents.promote_axes(documents.instances(found), {"loan_class": ["Missing", "ClassAxis"]})
     bad = F.col("error").isNotNull()
     keep = lambda c: F.when(~bad, F.col(c)).alias(c)

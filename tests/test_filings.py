@@ -3,10 +3,12 @@
 from itertools import accumulate
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import graph
 from ledgerloom.plans import filings
+from ledgerloom.sources import documents
 
 
 def test_charters_are_summed_exactly(spark, tmp_path):
@@ -34,3 +36,24 @@ def test_closure_reads_edges_and_roots_once(spark):
     roots = spark.range(1, 2).select(F.lit(1).alias("g"), counted(roots_read)(F.col("id")).alias("root"))
     assert graph.closure(roots, edges, ["g"]).count() == 9
     assert edges_read.value <= 2 * 8 and roots_read.value <= 2
+
+
+def test_small_documents_leave_in_blocks(spark):
+    """Rows of many small documents share a block, a failed one among them."""
+
+    class Found:
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    def parse(path, content):
+        return [(int(content), {"a": path})]
+
+    n = documents.BLOCK + 5
+    batch = pa.RecordBatch.from_pydict({"path": [str(i) for i in range(n)], "content": [b"x" if i == 7 else b"%d" % i for i in range(n)]})
+    out = list(documents.parsed(Found(), parse, "v bigint, m map<string,string>")(iter([batch])))
+    assert [b.num_rows for b in out] == [documents.BLOCK, 5]
+    rows = [r for b in out for r in b.to_pylist()]
+    assert rows[8] == {"v": 8, "m": [("a", "8")], "path": "8", "error": None} and rows[7]["v"] is None and rows[7]["error"].startswith("ValueError")
